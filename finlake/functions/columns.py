@@ -95,4 +95,4 @@ def count_map(name: str, total: str) -> Column:
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     dlat, dlon = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
-    return 2 * 6371.0088 * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return 2 * 6371.0088 * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))

@@ -1,6 +1,6 @@
 """Registered queries."""
 
-from . import banking, events
+from . import banking, events, governance, ingestion
 from .registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "banking", "events"]
+__all__ = ["ORACLE", "QUERIES", "banking", "events", "governance", "ingestion"]
