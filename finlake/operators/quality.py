@@ -1,7 +1,7 @@
 """Data-quality suites.
 
 All checks of a table that compare a row with constants are one aggregate over one scan. Checks
-that list values (uniqueness, value sets) share one grouping of (check, value) pairs.
+that list values (uniqueness, value sets) give (check, value) pairs that are counted together.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -143,45 +143,45 @@ RESULT_SCHEMA = (
 )
 
 
-def _failing_rows(e: Expectation) -> Column | None:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _failing_rows(e: Expectation) -> str | None:
     """Count of failing rows for checks on single rows; NULL values pass except in not_null."""
-    value = F.col(e.column) if e.column else None
     low, high = e.args.get("min_value"), e.args.get("max_value")
     if e.kind == NOT_NULL:
-        return F.count_if(value.isNull())
-    if e.kind == REGEX:
-        return F.count_if(~value.cast("string").rlike(e.args["regex"]))
-    if e.kind == BETWEEN:
-        return F.count_if((value < low) | (value > high))
-    if e.kind == LENGTH:
-        return F.count_if(~F.length(value.cast("string")).between(low, high))
-    if e.kind == PAIR_GREATER:
-        return F.count_if(~(F.col(e.args["column_A"]) > F.col(e.args["column_B"])))
-    return None
+        failing = f"`{e.column}` IS NULL"
+    elif e.kind == REGEX:
+        failing = f"NOT CAST(`{e.column}` AS STRING) RLIKE {_quoted(e.args['regex'])}"
+    elif e.kind == BETWEEN:
+        failing = f"`{e.column}` < {low} OR `{e.column}` > {high}"
+    elif e.kind == LENGTH:
+        failing = f"NOT length(CAST(`{e.column}` AS STRING)) BETWEEN {low} AND {high}"
+    elif e.kind == PAIR_GREATER:
+        failing = f"NOT (`{e.args['column_A']}` > `{e.args['column_B']}`)"
+    else:
+        return None
+    return f"count_if({failing})"
 
 
 def _listed_values(df: DataFrame, checks: Mapping[int, Expectation]) -> DataFrame | None:
-    """(posicao, valor) pairs that break a uniqueness or value-set check, each once."""
-
-    def pairs(kind: str) -> list[Column]:
-        out = []
-        for i, e in checks.items():
-            if e.kind != kind:
-                continue
+    """(posicao, valor) pairs that break a uniqueness or value-set check, each once.
+
+    Uniqueness reads and groups one column in its own type. Value sets share one scan, from which
+    only invalid values leave, each once per task.
+    """
+    found, invalid = [], []
+    for i, e in checks.items():
+        if e.kind == UNIQUE:
+            counted = df.groupBy(F.col(e.column).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+            found.append(counted.select(F.lit(i).alias("posicao"), F.col("v").cast("string").alias("valor")))
+        elif e.kind == IN_SET:
             value = F.col(e.column).cast("string")
             pair = F.struct(F.lit(i).alias("posicao"), value.alias("valor"))
-            invalid = value.isNotNull() & ~value.isin(*e.args["value_set"]) if kind == IN_SET else F.lit(True)
-            out.append(F.when(invalid, pair))
-        return out
-
-    found = []
-    if duplicated := pairs(UNIQUE):
-        exploded = df.select(F.explode(F.array(*duplicated)).alias("p")).select("p.*")
-        counted = exploded.groupBy("posicao", "valor").agg(F.count(F.lit(1)).alias("n"))
-        found.append(counted.where(F.col("n") > 1).drop("n"))
-    if invalid := pairs(IN_SET):
-        exploded = df.select(F.explode(F.array_compact(F.array(*invalid))).alias("p")).select("p.*")
-        found.append(exploded.distinct())
+            invalid.append(F.when(value.isNotNull() & ~value.isin(*e.args["value_set"]), pair))
+    if invalid:
+        found.append(df.select(F.inline(F.array_compact(F.array(*invalid)))).distinct())
     return reduce(DataFrame.unionByName, found) if found else None
 
 
@@ -189,12 +189,10 @@ def _samples(listed: DataFrame, checks: Mapping[int, Expectation]) -> DataFrame:
     """Number of listed values per check and the first few in order."""
     counts = listed.groupBy("posicao").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("posicao").orderBy("valor"))
-    most = max(SAMPLE_SIZE[e.kind] for e in checks.values() if e.kind in SAMPLE_SIZE)
-    first = listed.withColumn("rn", rank).where(F.col("rn") <= most)
-    limits = F.create_map(
-        *[F.lit(x) for i, e in checks.items() if e.kind in SAMPLE_SIZE for x in (i, SAMPLE_SIZE[e.kind])]
-    )
-    shown = first.where(F.col("rn") <= limits[F.col("posicao")]).groupBy("posicao")
+    first = listed.withColumn("rn", rank).where(F.col("rn") <= max(SAMPLE_SIZE.values()))
+    unique_checks = [i for i, e in checks.items() if e.kind == UNIQUE]
+    size = F.when(F.col("posicao").isin(unique_checks), SAMPLE_SIZE[UNIQUE]).otherwise(SAMPLE_SIZE[IN_SET])
+    shown = first.where(F.col("rn") <= size).groupBy("posicao")
     shown = shown.agg(F.sort_array(F.collect_list(F.coalesce("valor", F.lit("None")))).alias("amostra"))
     return counts.join(shown, "posicao", "left")
 
@@ -214,24 +212,21 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) ->
             checks[i] = e
 
     scalars = {i: c for i, e in checks.items() if (c := _failing_rows(e)) is not None}
-    totals = df.agg(F.count(F.lit(1)).alias("total"), *[c.alias(f"c{i}") for i, c in scalars.items()])
+    totals = df.agg(F.count(F.lit(1)).alias("total"), *[F.expr(c).alias(f"c{i}") for i, c in scalars.items()])
     entries = []
     for i, e in enumerate(expectations):
-        failed = F.lit(None).cast("long")
+        failed = "CAST(NULL AS BIGINT)"
         if i in scalars:
-            failed = F.col(f"c{i}")
+            failed = f"c{i}"
         elif i in checks and e.kind == ROW_COUNT:
-            inside = F.col("total").between(e.args["min_value"], e.args["max_value"])
-            failed = F.when(inside, 0).otherwise(1).cast("long")
-        name = e.column or "/".join(e.columns()) or None
+            failed = f"CAST(total NOT BETWEEN {e.args['min_value']} AND {e.args['max_value']} AS BIGINT)"
+        name = e.column or "/".join(e.columns())
+        texts = [_quoted(t) if t else "CAST(NULL AS STRING)" for t in (table, e.kind, name, errors.get(i))]
         entries.append(
-            F.struct(
-                F.lit(table).alias("tabela"), F.lit(i).alias("posicao"), F.lit(e.kind).alias("expectativa"),
-                F.lit(name).cast("string").alias("coluna"), failed.alias("falhas"), F.col("total").alias("total_linhas"),
-                F.lit(errors.get(i)).cast("string").alias("erro"),
-            )
+            f"named_struct('tabela', {texts[0]}, 'posicao', {i}, 'expectativa', {texts[1]}, 'coluna', {texts[2]}, "
+            f"'falhas', {failed}, 'total_linhas', total, 'erro', {texts[3]})"
         )
-    rows = totals.select(F.inline(F.array(*entries)))
+    rows = totals.selectExpr(f"inline(array({', '.join(entries)}))")
     listed = _listed_values(df, checks)
     if listed is not None:
         rows = rows.join(F.broadcast(_samples(listed, checks)), "posicao", "left")
@@ -261,17 +256,17 @@ def run_all(
     """Results of every wanted suite, and the names that were skipped (no such suite)."""
     names = list(wanted) if wanted is not None else [t for t in suites if t in tables]
     skipped = [n for n in names if n not in suites]
-    out = spark.createDataFrame([], RESULT_SCHEMA)
+    results = []
     for name in names:
-        if name in skipped:
-            continue
-        if name in tables:
-            out = out.unionByName(run_suite(tables[name], name, suites[name]))
-        else:
+        if name in tables and name in suites:
+            results.append(run_suite(tables[name], name, suites[name]))
+        elif name in suites:
             rows = [(name, i, e.kind, e.column, False, 0, 0, [], "missing table", "missing table")
                     for i, e in enumerate(suites[name])]
-            out = out.unionByName(spark.createDataFrame(rows, RESULT_SCHEMA))
-    return out, skipped
+            results.append(spark.createDataFrame(rows, RESULT_SCHEMA))
+    if not results:
+        return spark.createDataFrame([], RESULT_SCHEMA), skipped
+    return reduce(DataFrame.unionByName, results), skipped
 
 
 def quality_report(results: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich, medallion, metrics, profile, reports, risk
+from ..sources.readers import spread
 from ..sources.testdata import clientes, contas, eventos, eventos_risco, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -444,7 +445,7 @@ IDS_30D = f"count(DISTINCT t.id) FILTER (t.data_transacao >= DATE '{BANK_DAY}' -
 
 @query("account_behaviour", sql(f"conta_id:i {BEHAVIOUR_COLUMNS}", _behaviour_sql("conta_id", "transacoes t", IDS_30D)))
 def _(spark, d):
-    return profile.account_behaviour(transacoes(spark, d), BANK_DAY)
+    return profile.account_behaviour(spread(transacoes(spark, d)), BANK_DAY)
 
 
 CUSTOMER_BEHAVIOUR = _behaviour_sql("o.cliente_id", "transacoes t JOIN contas o ON o.id = t.conta_id", IDS_30D)
@@ -462,7 +463,7 @@ CUSTOMER_BEHAVIOUR = _behaviour_sql("o.cliente_id", "transacoes t JOIN contas o
     FROM clientes c LEFT JOIN ({ROLLUP}) a ON a.cliente_id = c.id
     LEFT JOIN ({CUSTOMER_BEHAVIOUR}) b ON b.cliente_id = c.id"""), precise=["utilizacao_limite_pct"])
 def _(spark, d):
-    return profile.customer_profile(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY)
+    return profile.customer_profile(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY)
 
 
 # --- risk score -----------------------------------------------------------------------------
@@ -491,12 +492,12 @@ SCORE_DIVERSITY = """
 
 @query("score_behaviour", sql("conta_id:i score_comportamento:i", SCORE_BEHAVIOUR))
 def _(spark, d):
-    return risk.score_behaviour(transacoes(spark, d))
+    return risk.score_behaviour(spread(transacoes(spark, d)))
 
 
 @query("score_activity", sql("conta_id:i score_atividade:i", SCORE_ACTIVITY))
 def _(spark, d):
-    return risk.score_activity(transacoes(spark, d))
+    return risk.score_activity(spread(transacoes(spark, d)))
 
 
 @query("score_concentration", sql("conta_id:i score_concentracao:i", SCORE_CONCENTRATION))
@@ -525,7 +526,7 @@ CUSTOMER_SCORES = f"""
 @query("customer_account_scores", sql(
     "cliente_id:i score_comportamento:r score_atividade:r score_concentracao:r", CUSTOMER_SCORES))
 def _(spark, d):
-    return risk.customer_account_scores(contas(spark, d), transacoes(spark, d))
+    return risk.customer_account_scores(contas(spark, d), spread(transacoes(spark, d)))
 
 
 def _risk_sql(scale: int) -> str:
@@ -552,12 +553,12 @@ RISK_COLUMNS = (
 
 @query("risk_score", sql(RISK_COLUMNS, _risk_sql(1)))
 def risk_score(spark, d):
-    return risk.risk_score(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY)
+    return risk.risk_score(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY)
 
 
 @query("risk_score_scaled", sql(RISK_COLUMNS, _risk_sql(10)))
 def _(spark, d):
-    return risk.risk_score(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY, scale=10)
+    return risk.risk_score(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY, scale=10)
 
 
 @query("score_write_back", sql(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts, features, windows
 from ..operators.latest import keep_latest
+from ..sources.readers import spread
 from ..sources.testdata import clientes, contas, eventos, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -343,7 +344,7 @@ def _(spark, d):
     FROM transacoes WINDOW w AS (PARTITION BY conta_id ORDER BY data_transacao
                                  RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW)"""))
 def _(spark, d):
-    return features.rolling_30d(transacoes(spark, d).select("id", "conta_id", "data_transacao", "valor"))
+    return features.rolling_30d(spread(transacoes(spark, d).select("id", "conta_id", "data_transacao", "valor")))
 
 
 @query("rolling_7d_events", sql(

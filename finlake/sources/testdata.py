@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .readers import spread
+
 SCHEMAS = {
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
@@ -20,8 +22,13 @@ SCHEMAS = {
 }
 
 
+# Tables whose rows are costly to work on (patterns over whole texts, JSON parsing).
+COSTLY = ("documents", "events")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in COSTLY else df
 
 
 def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
