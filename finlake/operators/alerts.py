@@ -186,35 +186,46 @@ def pix_many_cities(
     )
 
 
-def _risk(df: DataFrame, prefix: str, kind: str, text: Column, action: str, score: Column, as_of: AsOf) -> DataFrame:
+def _risk(when: Column, prefix: str, kind: str, text: Column, action: str, score: Column, as_of: AsOf) -> Column:
+    """The alert where the condition holds, else NULL."""
     now = moment(as_of)
-    return df.select(
-        F.concat(F.lit(f"{prefix}_"), F.col("conta_id").cast("string"), F.lit("_"), F.unix_seconds(now).cast("string")).alias("alert_id"),
-        F.col("conta_id").alias("account_id"), F.col("id").alias("transaction_id"), score.alias("risk_score"),
-        F.lit(kind).alias("alert_type"), text.alias("description"), now.alias("timestamp"),
-        F.lit(action).alias("recommended_action"),
+    key = F.concat(F.lit(f"{prefix}_"), F.col("conta_id").cast("string"), F.lit("_"), F.unix_seconds(now).cast("string"))
+    alert = F.struct(
+        key.alias("alert_id"), F.col("conta_id").alias("account_id"), F.col("id").alias("transaction_id"),
+        score.cast("double").alias("risk_score"), F.lit(kind).alias("alert_type"), text.alias("description"),
+        now.alias("timestamp"), F.lit(action).alias("recommended_action"),
     )
+    return F.when(when, alert)
+
+
+def _high_risk(threshold: float, as_of: AsOf) -> Column:
+    score = F.col("calculated_risk_score")
+    text = F.concat(F.lit("Transação de alto risco detectada: R$ "), _money(F.col("valor")).cast("string"))
+    return _risk(score > threshold, "risk", "HIGH_RISK_TRANSACTION", text, "REVIEW_MANUAL", score, as_of)
+
+
+def _pattern(df: DataFrame, as_of: AsOf) -> Column:
+    text = F.lit("Padrão suspeito detectado na transação")
+    return _risk(is_suspicious(df), "pattern", "SUSPICIOUS_PATTERN", text, "INVESTIGATE", F.lit(None), as_of)
+
+
+def _raise(df: DataFrame, *alerts: Column) -> DataFrame:
+    return df.select(F.inline(F.array_compact(F.array(*alerts))))
 
 
 def high_risk(df: DataFrame, threshold: float = 0.7, as_of: AsOf = None) -> DataFrame:
     """R9: the score tops out at 0.7, so the default threshold never fires."""
-    scored = score_transaction(df, as_of).where(F.col("calculated_risk_score") > threshold)
-    text = F.concat(F.lit("Transação de alto risco detectada: R$ "), _money(F.col("valor")).cast("string"))
-    return _risk(
-        scored, "risk", "HIGH_RISK_TRANSACTION", text, "REVIEW_MANUAL", F.col("calculated_risk_score"), as_of
-    )
+    return _raise(score_transaction(df, as_of), _high_risk(threshold, as_of))
 
 
 def suspicious_pattern(df: DataFrame, as_of: AsOf = None) -> DataFrame:
     """R10."""
-    text = F.lit("Padrão suspeito detectado na transação")
-    none = F.lit(None).cast("double")
-    return _risk(df.where(is_suspicious(df)), "pattern", "SUSPICIOUS_PATTERN", text, "INVESTIGATE", none, as_of)
+    return _raise(df, _pattern(df, as_of))
 
 
 def risk_alerts(df: DataFrame, threshold: float = 0.7, as_of: AsOf = None) -> DataFrame:
-    """R9 and R10 together; one transaction may raise both."""
-    return high_risk(df, threshold, as_of).unionByName(suspicious_pattern(df, as_of))
+    """R9 and R10 in one pass; one transaction may raise both."""
+    return _raise(score_transaction(df, as_of), _high_risk(threshold, as_of), _pattern(df, as_of))
 
 
 def flagged_accounts(alerts: DataFrame) -> DataFrame:

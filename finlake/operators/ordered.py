@@ -58,6 +58,12 @@ def _attach(df: DataFrame, stats: DataFrame, key: str, ts: str) -> DataFrame:
     return rows.join(stats.withColumnRenamed("k", key), [key, "us"], "left").drop("us")
 
 
+def _point(kind: str, slot: Column, pos: Column, measures: Sequence[str]) -> Column:
+    return F.struct(
+        slot.alias("slot"), pos.alias("pos"), F.lit(kind).alias("kind"), *[F.col(c) for c in measures]
+    )
+
+
 def rolling_stats(
     df: DataFrame,
     key: str,
@@ -91,12 +97,9 @@ def rolling_stats(
         *[F.sum(c).over(full).alias(c) for c in ("n", "nv", "s")],
         F.min("lo").over(full).alias("lo"), F.max("hi").over(full).alias("hi"),
     )
-    own = ticks.select("k", "slot", F.col("us").alias("pos"), F.lit("own").alias("kind"), *measures)
-    tail = ticks.select(
-        "k", (F.col("slot") + span).alias("slot"), (F.col("us") + (span - int(open_start))).alias("pos"),
-        F.lit("tail").alias("kind"), *measures,
-    )
-    points = own.unionByName(tail).unionByName(middle)
+    own = _point("own", F.col("slot"), F.col("us"), measures)
+    tail = _point("tail", F.col("slot") + span, F.col("us") + (span - int(open_start)), measures)
+    points = ticks.select("k", F.inline(F.array(own, tail))).unionByName(middle)
 
     peers = Window.unboundedPreceding, Window.currentRow
     forward = Window.partitionBy("k", "slot").orderBy(F.col("pos").asc()).rangeBetween(*peers)
@@ -141,21 +144,21 @@ def totals_after(
     back = micros(lookback)
     step = micros(slot) if slot else max(back // 60, 1)
     ticks = _ticks(df, key, ts, value)
-    values = ticks.select(
-        "k", _slot(F.col("us"), step).alias("slot"), (F.col("us") * 2).alias("pos"),
-        F.lit(None).cast("long").alias("us"), "n", "s",
-    )
     start = F.col("us") - back
+    nothing = F.lit(None).cast("long")
+    value_point = F.struct(
+        _slot(F.col("us"), step).alias("slot"), (F.col("us") * 2).alias("pos"), nothing.alias("us"), F.col("n"), F.col("s")
+    )
     # A probe sorts between the values at its own time and the later ones.
-    probes = ticks.select(
-        "k", _slot(start, step).alias("slot"), (start * 2 + 1).alias("pos"), "us",
+    probe = F.struct(
+        _slot(start, step).alias("slot"), (start * 2 + 1).alias("pos"), F.col("us"),
         F.lit(0).cast("long").alias("n"), F.lit(None).cast(ticks.schema["s"].dataType).alias("s"),
     )
-    points = values.unionByName(probes)
+    points = ticks.select("k", F.inline(F.array(value_point, probe)))
     later = points.groupBy("k", "slot").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     newest_first = _before(["k"], F.col("slot").desc())
     carry = later.select(
-        "k", "slot", F.lit((1 << 63) - 1).alias("pos"), F.lit(None).cast("long").alias("us"),
+        "k", "slot", F.lit((1 << 63) - 1).alias("pos"), nothing.alias("us"),
         F.sum("n").over(newest_first).alias("n"), F.sum("s").over(newest_first).alias("s"),
     )
     down = _running(["k", "slot"], F.col("pos").desc())

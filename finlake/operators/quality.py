@@ -185,16 +185,15 @@ def _listed_values(df: DataFrame, checks: Mapping[int, Expectation]) -> DataFram
     return reduce(DataFrame.unionByName, found) if found else None
 
 
-def _samples(listed: DataFrame, checks: Mapping[int, Expectation]) -> DataFrame:
-    """Number of listed values per check and the first few in order."""
+def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation]) -> list[DataFrame]:
+    """Number of listed values per check, and the first few of them in order."""
     counts = listed.groupBy("posicao").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("posicao").orderBy("valor"))
     first = listed.withColumn("rn", rank).where(F.col("rn") <= max(SAMPLE_SIZE.values()))
     unique_checks = [i for i, e in checks.items() if e.kind == UNIQUE]
     size = F.when(F.col("posicao").isin(unique_checks), SAMPLE_SIZE[UNIQUE]).otherwise(SAMPLE_SIZE[IN_SET])
     shown = first.where(F.col("rn") <= size).groupBy("posicao")
-    shown = shown.agg(F.sort_array(F.collect_list(F.coalesce("valor", F.lit("None")))).alias("amostra"))
-    return counts.join(shown, "posicao", "left")
+    return [counts, shown.agg(F.sort_array(F.collect_list(F.coalesce("valor", F.lit("None")))).alias("amostra"))]
 
 
 def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
@@ -228,10 +227,11 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) ->
         )
     rows = totals.selectExpr(f"inline(array({', '.join(entries)}))")
     listed = _listed_values(df, checks)
+    parts = [rows.withColumns({"n": F.lit(None).cast("long"), "amostra": F.lit(None).cast("array<string>")})]
     if listed is not None:
-        rows = rows.join(F.broadcast(_samples(listed, checks)), "posicao", "left")
-    else:
-        rows = rows.withColumns({"n": F.lit(None).cast("long"), "amostra": F.lit(None).cast("array<string>")})
+        parts += _listed_results(listed, checks)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = stacked.groupBy("posicao").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "posicao"])
     failures = F.coalesce("falhas", "n", F.lit(0))
     passed = F.col("erro").isNull() & (failures == 0)
     details = (

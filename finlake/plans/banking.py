@@ -58,7 +58,7 @@ def _(spark, d):
                  F.date_format("data_transacao", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("data_transacao"))
     )
     broken = F.when(F.col("status") == "REJEITADA", F.lit("not-json-at-all")).otherwise(message)
-    scored = enrich.score_messages(eventos(spark, d).select("id", broken.alias("value")), EVENT_DAY)
+    scored = enrich.score_messages(spread(eventos(spark, d)).select("id", broken.alias("value")), EVENT_DAY)
     score = F.get_json_object("value", "$.calculated_risk_score").cast("double")
     return scored.select("id", "malformed", score.alias("risco"))
 

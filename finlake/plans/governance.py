@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.personal import PII_COLUMN_NAMES, PII_PATTERNS
 from ..operators import audit, lineage, privacy, quality, reconcile
+from ..sources.readers import spread
 from ..sources.testdata import clientes, contas, eventos, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -152,7 +153,7 @@ ANY_PII = "|".join(f"(?:{p})" for p in PII_PATTERNS.values())
     FROM (SELECT doc_id, CAST(regexp_matches(text, '{ANY_PII}') AS INT) + CAST(regexp_matches(source, '{ANY_PII}') AS INT) AS n
           FROM documents)"""))
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", "source"))
     return privacy.classify_rows(docs).select("doc_id", "campos_pii", "classificacao")
 
 
@@ -162,7 +163,7 @@ def _(spark, d):
     + ", ".join(f"len(regexp_extract_all(text, '{p}')) AS qtd_{k}" for k, p in PII_PATTERNS.items())
     + " FROM documents"))
 def _(spark, d):
-    return privacy.pii_matches(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"])
+    return privacy.pii_matches(spread(table(spark, d, "documents").select("doc_id", "text")), ["doc_id"])
 
 
 @query("pii_columns", sql(
@@ -172,7 +173,7 @@ def _(spark, d):
           UNION ALL SELECT 'lang', count(*) FILTER (regexp_matches(lang, '{ANY_PII}')), count(*) FROM documents
           UNION ALL SELECT 'source', count(*) FILTER (regexp_matches(source, '{ANY_PII}')), count(*) FROM documents)"""))
 def _(spark, d):
-    return privacy.pii_columns(table(spark, d, "documents"))
+    return privacy.pii_columns(spread(table(spark, d, "documents")))
 
 
 PEOPLE = """

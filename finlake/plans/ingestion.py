@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators.latest import latest_by_key, upsert
 from ..sources import cdc, incremental, landed
+from ..sources.readers import spread
 from ..sources.testdata import contas, eventos, table
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -34,7 +35,7 @@ def _messages(spark, d):
         .when(F.col("value") < 3, F.lit('{"op": "r", "after": null}'))
         .otherwise(envelope)
     )
-    return table(spark, d, "events").select(F.col("event_id").alias("offset"), broken.alias("value"))
+    return spread(table(spark, d, "events")).select(F.col("event_id").alias("offset"), broken.alias("value"))
 
 
 PARSED = """
@@ -142,7 +143,7 @@ def _business_messages(spark, d):
             F.when(kind != "view", F.col("user_id")).alias("clienteId"),
         )
     )
-    return table(spark, d, "events").select(key.alias("offset"), body.alias("value"))
+    return spread(table(spark, d, "events")).select(key.alias("offset"), body.alias("value"))
 
 
 @query("project_event_envelope", sql(
@@ -195,7 +196,7 @@ def _(spark, d):
 
     points = F.array(text(F.col("value")), text(F.round(F.col("value") + 1, 2)))
     empty = F.lit("[]")
-    payloads = table(spark, d, "events").select(
+    payloads = spread(table(spark, d, "events")).select(
         F.col("ts").alias("tempo"),
         F.when(kind == "purchase", "CDI").when(kind == "click", "SELIC").when(kind == "signup", "NENHUM")
         .otherwise("IPCA").alias("indicador"),
@@ -228,7 +229,7 @@ def _(spark, d):
             ((F.col("event_id") % 1300) / 100).alias("taxaCompraManha"),
         )
     )
-    return landed.bond_prices(table(spark, d, "events").select(F.col("ts").alias("tempo"), body.alias("payload")))
+    return landed.bond_prices(spread(table(spark, d, "events")).select(F.col("ts").alias("tempo"), body.alias("payload")))
 
 
 @query("alert_messages", sql(
