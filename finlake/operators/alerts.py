@@ -99,10 +99,19 @@ def value_build_up(
     )
 
 
-def location_change(df: DataFrame, slot: timedelta = timedelta(hours=1)) -> DataFrame:
-    """R4 (batch): the city differs from the account's previous transaction."""
-    rows = previous_row(df, "conta_id", "data_transacao", "id", ["cidade", "data_transacao"], slot=slot)
-    changed = rows.where(F.col("prev_cidade").isNotNull() & (F.col("cidade") != F.col("prev_cidade")))
+def location_change(
+    df: DataFrame, known: DataFrame | None = None, slot: timedelta = timedelta(hours=1)
+) -> DataFrame:
+    """R4: the city differs from the account's previous transaction.
+
+    ``known`` has earlier transactions that may be a previous one but raise no alert themselves.
+    """
+    columns = ["conta_id", "id", "cidade", "data_transacao"]
+    rows = df.select(*columns, F.lit(True).alias("novo"))
+    if known is not None:
+        rows = rows.unionByName(known.select(*columns, F.lit(False).alias("novo")))
+    rows = previous_row(rows, "conta_id", "data_transacao", "id", ["cidade", "data_transacao"], slot=slot)
+    changed = rows.where(F.col("novo") & (F.col("cidade") != F.col("prev_cidade")))
     return changed.select(
         F.concat(F.lit("ALT-R4-"), F.col("id").cast("string")).alias("alerta_id"),
         "conta_id",

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts, metrics, windows
 from ..operators.enrich import enrich_transactions
+from ..operators.latest import latest_by_key
 from ..sinks import write_batch
 from .runner import BatchWriter, run_stream
 
@@ -86,50 +87,25 @@ def running_metrics_writer(path: str, every: int = 100, sequence: str = "id") ->
     return write
 
 
-def location_changes(stream: DataFrame) -> DataFrame:
-    """R4 on a stream: alerts when an account's city differs from its previous transaction.
+def location_change_writer(path: str) -> BatchWriter:
+    """R4 over a stream: alerts when an account's city differs from its previous transaction.
 
-    State per account is its last time and city. Rows of a micro-batch arrive in Arrow batches and
-    are compared in (time, id) order within each batch.
+    A batch starts from the last transaction of its own accounts, kept below ``path/state``, and
+    runs the table rule, so an account with many rows in a batch still spreads over time slots.
     """
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    def compare(key, batches, state):
-        last_ts, last_city = state.get if state.exists else (None, None)
-        for rows in batches:
-            rows = rows.sort_values(["data_transacao", "id"])
-            before_city = rows["cidade"].shift(1)
-            before_ts = rows["data_transacao"].shift(1)
-            if len(rows):
-                before_city.iloc[0] = last_city
-                before_ts.iloc[0] = pd.NaT if last_ts is None else pd.Timestamp(last_ts)
-                last_city = rows["cidade"].iloc[-1]
-                last_ts = rows["data_transacao"].iloc[-1].to_pydatetime()
-            changed = before_city.notna() & rows["cidade"].notna() & (before_city != rows["cidade"])
-            yield pd.DataFrame({
-                "conta_id": rows["conta_id"][changed],
-                "transacao_id": rows["id"][changed],
-                "cidade_anterior": before_city[changed],
-                "cidade": rows["cidade"][changed],
-                "timestamp_anterior": before_ts[changed],
-                "timestamp_alerta": rows["data_transacao"][changed],
-            })
-        state.update((last_ts, last_city))
-
-    changes = stream.select("conta_id", "id", "cidade", "data_transacao").groupBy("conta_id").applyInPandasWithState(
-        compare,
-        "conta_id long, transacao_id long, cidade_anterior string, cidade string, "
-        "timestamp_anterior timestamp, timestamp_alerta timestamp",
-        "ultima timestamp, cidade string",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-    return changes.select(
-        F.concat(F.lit("ALT-R4-"), F.col("transacao_id").cast("string")).alias("alerta_id"),
-        "conta_id", "transacao_id", F.lit("DESVIO_GEOGRAFICO").alias("tipo_fraude"),
-        "cidade_anterior", "cidade", "timestamp_anterior", "timestamp_alerta",
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("conta_id", "id", "cidade", "data_transacao")
+        known = rows.where(F.lit(False))
+        if batch_id > 0:
+            state = batch.sparkSession.read.parquet(f"{path}/state").where(F.col("batch_id") < batch_id)
+            state = state.join(rows.select("conta_id").distinct(), "conta_id", "left_semi")
+            known = latest_by_key(state, ["conta_id"], ["batch_id"]).select(rows.columns)
+        last = latest_by_key(rows.unionByName(known), ["conta_id"], ["data_transacao", "id"])
+        write_batch(last, f"{path}/state", batch_id)
+        write_batch(alerts.location_change(rows, known), f"{path}/alerts", batch_id)
+
+    return write
 
 
 def flagged_account_stream(risk_alerts: DataFrame) -> DataFrame:

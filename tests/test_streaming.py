@@ -92,11 +92,18 @@ def test_every_nth_emission_over_batches(spark, landed, tmp_path):
     assert rows(spark.read.parquet(f"{out}/metrics").drop("batch_id").where("last_id <> -1")) == rows(expected)
 
 
-def test_location_changes_with_state(spark, landed, tmp_path):
-    expected = alerts.location_change(batch(spark, landed))
-    got = drain(pipelines.location_changes(stream(spark, landed, None)), spark, tmp_path).where("conta_id <> -1")
-    assert rows(got.select("transacao_id", "cidade_anterior", "cidade")) == rows(
-        expected.select("transacao_id", "cidade_anterior", "cidade"))
+def test_location_changes_with_state(spark, tmp_path):
+    data = eventos(spark, SF)
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, (low, high) in enumerate([("2024-01-01", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "2024-02-01")]):
+        data.where(f"data_transacao >= '{low}' AND data_transacao < '{high}'").coalesce(1).write.parquet(f"{path}/{i}")
+    source = readers.read_event_stream(spark, "parquet", data.schema, path=f"{path}/*", maxFilesPerTrigger="1")
+    write = pipelines.location_change_writer(out)
+    runner.run_stream(source, write, "r4", trigger=None, checkpoint=str(tmp_path / "cp")).awaitTermination()
+    expected = rows(alerts.location_change(data))
+    assert rows(spark.read.parquet(f"{out}/alerts").drop("batch_id")) == expected and expected
+    write(spark.read.parquet(f"{path}/2"), 2)
+    assert rows(spark.read.parquet(f"{out}/alerts").drop("batch_id")) == expected
 
 
 def test_flagged_accounts_once(spark, landed, tmp_path):
