@@ -73,14 +73,39 @@ def rolling_stats(
     *,
     open_start: bool = False,
     slots: int = 360,
+    hot_rows: int = 10_000,
     prefix: str = "",
 ) -> DataFrame:
     """Count, sum, mean, min and max of ``value`` over ``[t - width, t]`` for every row.
 
-    Rows with equal time are all inside each other's frame. ``open_start`` leaves out ``t - width``
-    itself. A frame is the running total inside the row's own slot, the full slots before it, and
-    the tail of the slot ``width`` back.
+    Rows with equal time are all inside each other's frame; rows without key or time have no frame.
+    ``open_start`` leaves out ``t - width`` itself. Keys with at most ``hot_rows`` rows go through
+    an ordinary window, so its frames are bounded; the rows of larger keys are cut into slots.
     """
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    rows = df.where(known)
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select(key)
+    few = _framed(rows.join(hot, key, "left_anti"), key, ts, value, micros(width) - int(open_start), prefix)
+    many = _sliced(rows.join(hot, key, "left_semi"), key, ts, value, width, open_start, slots, prefix)
+    return few.unionByName(many).unionByName(df.where(~known), allowMissingColumns=True)
+
+
+def _framed(df: DataFrame, key: str, ts: str, value: str, back: int, prefix: str) -> DataFrame:
+    frame = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts))).rangeBetween(-back, 0)
+    return df.withColumns({
+        f"{prefix}count": F.count(F.lit(1)).over(frame),
+        f"{prefix}sum": F.sum(value).over(frame),
+        f"{prefix}avg": F.avg(value).over(frame),
+        f"{prefix}min": F.min(value).over(frame),
+        f"{prefix}max": F.max(value).over(frame),
+    })
+
+
+def _sliced(
+    df: DataFrame, key: str, ts: str, value: str, width: timedelta, open_start: bool, slots: int, prefix: str
+) -> DataFrame:
+    """A frame is the running total inside the row's own slot, the full slots before it, and the tail of the
+    slot ``width`` back."""
     span = micros(width)
     step = span // slots
     if step * slots != span:

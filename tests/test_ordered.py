@@ -27,10 +27,11 @@ def frame(spark, data):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("open_start", [False, True])
-def test_rolling_stats(spark, seed, open_start):
+@pytest.mark.parametrize("hot_rows", [0, 50, 10_000])
+def test_rolling_stats(spark, seed, open_start, hot_rows):
     data = sample(seed)
     width = timedelta(hours=7)
-    df = ordered.rolling_stats(frame(spark, data), "conta_id", "data_transacao", "valor", width, open_start=open_start, slots=12)
+    df = ordered.rolling_stats(frame(spark, data), "conta_id", "data_transacao", "valor", width, open_start=open_start, slots=12, hot_rows=hot_rows)
     got = {r.id: (r["count"], r["sum"], r["avg"], r["min"], r["max"]) for r in df.collect()}
     for i, key, ts, *_ in data:
         lo = ts - width
