@@ -1,4 +1,8 @@
-"""Alert rules. Each takes a batch or streaming DataFrame of transactions and returns alerts."""
+"""Alert rules. Each takes a batch or streaming DataFrame of transactions and returns alerts.
+
+Fixed values: the alert ids, kinds, scores, levels, texts and recommendations below are the record
+format consumers of the alerts rely on.
+"""
 
 from __future__ import annotations
 

@@ -22,6 +22,7 @@ from ..functions.columns import (
 )
 from ..schemas import TRANSACAO_JSON
 
+# Cuts and labels of the bands.
 CLASSE_RISCO = [(800, "A"), (600, "B"), (400, "C")]
 NIVEL_RISCO = [(750, "BAIXO"), (500, "MEDIO"), (250, "ALTO")]
 FAIXA_VALOR = [(50000, "ALTO"), (10000, "MEDIO")]

@@ -31,6 +31,7 @@ class FeatureView:
         }
 
 
+# The declared feature views.
 CATALOGUE = {
     v.name: v
     for v in (
@@ -119,7 +120,10 @@ def credit_features(contas: DataFrame, transacoes: DataFrame, as_of: AsOf = None
 
 
 def other_transactions_1h(
-    transacoes: DataFrame, past_only: bool = False, lookback: timedelta = timedelta(hours=1)
+    transacoes: DataFrame,
+    past_only: bool = False,
+    lookback: timedelta = timedelta(hours=1),
+    hot_rows: int = 10_000,
 ) -> DataFrame:
     """Number and value of the account's other transactions later than one hour before each one.
 
@@ -128,10 +132,12 @@ def other_transactions_1h(
     """
     if past_only:
         rows = rolling_stats(
-            transacoes, "conta_id", "data_transacao", "valor", lookback, open_start=True, slots=60, prefix="_w"
+            transacoes, "conta_id", "data_transacao", "valor", lookback, open_start=True, slots=60, hot_rows=hot_rows, prefix="_w"
         )
     else:
-        rows = totals_after(transacoes, "conta_id", "data_transacao", "valor", lookback, prefix="_w")
+        rows = totals_after(
+            transacoes, "conta_id", "data_transacao", "valor", lookback, hot_rows=hot_rows, prefix="_w"
+        )
     own = F.coalesce(F.col("valor"), F.lit(0))
     return rows.withColumns({
         "transacoes_ultima_hora": F.col("_wcount") - 1,

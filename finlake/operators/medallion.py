@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import AsOf, band, day_of_week, days_ago
 from .enrich import FAIXA_VALOR, NIVEL_VOLUME
 
+# Columns of the staged tables.
 STG_CLIENTES = (
     "tipo_pessoa", "cpf", "nome", "cnpj", "nome_razao_social", "email", "telefone", "data_nascimento",
     "cidade", "estado", "cep", "status", "data_criacao", "data_atualizacao",

@@ -82,12 +82,21 @@ def rolling_stats(
     ``open_start`` leaves out ``t - width`` itself. Keys with at most ``hot_rows`` rows go through
     an ordinary window, so its frames are bounded; the rows of larger keys are cut into slots.
     """
+    few, many, unknown = _by_size(df, key, ts, hot_rows)
+    framed = _framed(few, key, ts, value, micros(width) - int(open_start), prefix)
+    sliced = _sliced(many, key, ts, value, width, open_start, slots, prefix)
+    return framed.unionByName(sliced).unionByName(unknown, allowMissingColumns=True)
+
+
+def _by_size(df: DataFrame, key: str, ts: str, hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of small keys, rows of keys with more than ``hot_rows`` rows, rows without key or time.
+
+    When no key is that large, AQE drops everything that would run on the second part.
+    """
     known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     rows = df.where(known)
     hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select(key)
-    few = _framed(rows.join(hot, key, "left_anti"), key, ts, value, micros(width) - int(open_start), prefix)
-    many = _sliced(rows.join(hot, key, "left_semi"), key, ts, value, width, open_start, slots, prefix)
-    return few.unionByName(many).unionByName(df.where(~known), allowMissingColumns=True)
+    return rows.join(hot, key, "left_anti"), rows.join(hot, key, "left_semi"), df.where(~known)
 
 
 def _framed(df: DataFrame, key: str, ts: str, value: str, back: int, prefix: str) -> DataFrame:
@@ -163,9 +172,34 @@ def _sliced(
 
 
 def totals_after(
-    df: DataFrame, key: str, ts: str, value: str, lookback: timedelta, *, slot: timedelta | None = None, prefix: str = ""
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    lookback: timedelta,
+    *,
+    slot: timedelta | None = None,
+    hot_rows: int = 1_000_000,
+    prefix: str = "",
+) -> DataFrame:
+    """Count and sum of all rows of the key later than ``t - lookback`` (no upper bound), per row.
+
+    Small keys use a running frame from the newest row down; larger ones are cut into slots.
+    """
+    few, many, unknown = _by_size(df, key, ts, hot_rows)
+    newest_first = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts)).desc())
+    down = newest_first.rangeBetween(Window.unboundedPreceding, micros(lookback) - 1)
+    framed = few.withColumns({
+        f"{prefix}count": F.count(F.lit(1)).over(down),
+        f"{prefix}sum": F.sum(value).over(down),
+    })
+    sliced = _sliced_after(many, key, ts, value, lookback, slot, prefix)
+    return framed.unionByName(sliced).unionByName(unknown, allowMissingColumns=True)
+
+
+def _sliced_after(
+    df: DataFrame, key: str, ts: str, value: str, lookback: timedelta, slot: timedelta | None, prefix: str
 ) -> DataFrame:
-    """Count and sum of all rows of the key later than ``t - lookback`` (no upper bound), per row."""
     back = micros(lookback)
     step = micros(slot) if slot else max(back // 60, 1)
     ticks = _ticks(df, key, ts, value)

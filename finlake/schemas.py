@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(19, 4)
 
+# Fields of a transaction message, in message order.
 TRANSACAO = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("conta_id", T.LongType()),
@@ -38,7 +39,7 @@ EVENTO_NEGOCIO = (
     "eventId string, timestamp string, tipoTransacao string, eventType string, valor double, clienteId long"
 )
 
-# Column type names of the source database and the Spark type each one lands as.
+# Column type names of the source database and the Spark type each one lands as.
 TYPE_MAP: dict[str, T.DataType] = {
     "bigint": T.LongType(),
     "integer": T.IntegerType(),

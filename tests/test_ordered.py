@@ -40,9 +40,10 @@ def test_rolling_stats(spark, seed, open_start, hot_rows):
 
 
 @pytest.mark.parametrize("past_only", [False, True])
-def test_other_transactions(spark, past_only):
+@pytest.mark.parametrize("hot_rows", [0, 50, 10_000])
+def test_other_transactions(spark, past_only, hot_rows):
     data = sample(3)
-    df = features.other_transactions_1h(frame(spark, data), past_only)
+    df = features.other_transactions_1h(frame(spark, data), past_only, hot_rows=hot_rows)
     got = {r.id: (r.transacoes_ultima_hora, r.valor_acumulado_1h) for r in df.collect()}
     for i, key, ts, value, *_ in data:
         vals = [v for j, k, t, v, *_ in data if k == key and j != i and t > ts - timedelta(hours=1) and (t <= ts or not past_only)]
@@ -112,7 +113,7 @@ def test_hot_key_is_cut_into_slots(spark):
         F.col("id"), F.lit(1).cast("long").alias("conta_id"),
         F.timestamp_seconds(F.col("id") * 130).alias("data_transacao"), F.lit(1.0).alias("valor"),
     )
-    out = ordered.rolling_stats(df, "conta_id", "data_transacao", "valor", timedelta(days=1))
+    out = ordered.rolling_stats(df, "conta_id", "data_transacao", "valor", timedelta(days=1), hot_rows=1000)
     step = 86_400_000_000 // 360
     biggest = df.groupBy(F.unix_micros("data_transacao") - F.pmod(F.unix_micros("data_transacao"), F.lit(step))).count()
     assert biggest.agg(F.max("count")).head()[0] <= 2
