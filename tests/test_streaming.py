@@ -17,7 +17,7 @@ def landed(spark, tmp_path_factory):
     """Events as files, with one far later event that moves the watermark past the others."""
     path = str(tmp_path_factory.mktemp("landed"))
     data = eventos(spark, SF)
-    late = data.limit(1).withColumns({"data_transacao": F.lit("2024-03-01").cast("timestamp"), "conta_id": F.lit(-1).cast("long"), "id": F.lit(-1).cast("long")})
+    late = data.where("id = 0").withColumns({"valor": F.lit(1.0), "data_transacao": F.lit("2024-03-01").cast("timestamp"), "conta_id": F.lit(-1).cast("long"), "id": F.lit(-1).cast("long")})
     data.coalesce(1).write.parquet(f"{path}/1")
     late.coalesce(1).write.parquet(f"{path}/2")
     return path
