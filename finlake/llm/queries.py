@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from .common import LOWER, UPPER
 from .exact_dedup import exact_dedup
 from .line_dedup import drop_repeated_lines
 from .registry import ORACLE, QUERIES, query, table
+from .token_counts import token_counts
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -48,3 +50,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
