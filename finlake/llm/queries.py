@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .line_dedup import drop_repeated_lines
 from .registry import ORACLE, QUERIES, query, table
+from .secrets import secret_spans
 from .token_counts import token_counts
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -58,3 +60,52 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op4_decontamination", f"""
+    WITH d AS (SELECT doc_id, {WORDS.format(NORMAL)} AS w FROM documents),
+    b AS (SELECT item_id, {WORDS.format(NORMAL)} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, m, array_to_string(w[i : i + m - 1], ' ') AS words
+        FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM (SELECT item_id, w, least(len(w), 10) AS m FROM b WHERE len(w) > 0))),
+    hits AS (
+        SELECT doc_id, i, m, item_id
+        FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM windows)) AS g
+        JOIN windows USING (m) WHERE array_to_string(g.w[g.i : g.i + m - 1], ' ') = windows.words),
+    places AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS place FROM hits) GROUP BY doc_id),
+    met AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(places.n, 0) AS n_hit, coalesce(met.n, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(places.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN places USING (doc_id) LEFT JOIN met USING (doc_id)""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"), RANKS)
+
+    def joined(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        F.col("id").alias("doc_id"), number("assign").alias("n_assign"), number("access").alias("n_access"),
+        number("hex").alias("n_hex"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), number("random").alias("n_random"),
+    )
