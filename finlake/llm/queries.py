@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, is_remainder, not_remainder
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .languages import languages, profiles
 from .line_dedup import drop_repeated_lines
+from .quality import fit, quality_scores
 from .registry import ORACLE, QUERIES, query, table
 from .secrets import secret_spans
 from .token_counts import token_counts
@@ -109,3 +111,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("hex").alias("n_hex"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"), number("random").alias("n_random"),
     )
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
+    model = fit(docs, table(spark, sf_dir, "labels"), not_remainder(doc_id, 4, 2))
+    found = quality_scores(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", is_remainder(doc_id, 4, 2).alias("held_out"), "score", "predicted")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
+    known = profiles(docs, not_remainder(doc_id, 3, 1))
+    return languages(docs, known, keep=(doc_id, is_remainder(doc_id, 3, 1).alias("held_out")))
