@@ -1,7 +1,7 @@
 """Quality classifier on supervised subword embeddings.
 
-A document is the average of learned vectors: one for each of its words and one for each character n-gram of its words,
-found by hashing. A softmax over the average gives the classes. Vectors and output are trained with stochastic gradient
+A document is the average of learned vectors, found by hashing: one for each of its words, one for each character
+n-gram of its words, and one that all words equal to the word before them share. A softmax over the average gives the classes. Vectors and output are trained with stochastic gradient
 descent in numpy on a bounded sample of labelled rows. Since average and output are linear, scoring keeps per word what
 it adds to each class, so a known word costs one lookup.
 """
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, per_batch
 
-BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 12, 1.0
+BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 10, 1.0
 MIN_GRAM, MAX_GRAM = 3, 4
 #: Labelled rows the model is fitted on: those with the smallest hash of the id.
 MAX_TRAIN_ROWS = 6000
-MAX_WORDS, MAX_WORD_BYTES = 300_000, 1 << 24
+REPEAT = BUCKETS  # the vector of a word that repeats the one before
+MAX_WORDS, MAX_WORD_BYTES, PART = 300_000, 1 << 24, 1 << 16
 
 
 def features_of(word: bytes) -> list[int]:
@@ -36,7 +37,7 @@ def features_of(word: bytes) -> list[int]:
 
 @dataclass
 class Model:
-    vectors: np.ndarray  # BUCKETS x DIM
+    vectors: np.ndarray  # BUCKETS + 1 x DIM
     output: np.ndarray  # DIM x classes
     bias: np.ndarray
 
@@ -49,7 +50,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs:
     """Stochastic gradient descent over (buckets, counts, class); the rate falls to zero over the epochs."""
     rng = np.random.default_rng(seed)
     model = Model(
-        rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32), np.zeros((DIM, classes), np.float32),
+        rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32), np.zeros((DIM, classes), np.float32),
         np.zeros(classes, np.float32),
     )
     rows = [(b, (c / c.sum()).astype(np.float32), y) for b, c, y in rows if len(b)]
@@ -94,10 +95,11 @@ def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             buckets, counts = [], []
             for text in as_bytes(batch.column(text_col)):
-                total = np.zeros(BUCKETS, np.int32)
+                total = np.zeros(BUCKETS + 1, np.int32)
                 words = text.split()
+                total[REPEAT] = sum(map(bytes.__eq__, words, words[1:]))
                 for i in range(0, len(words), 4096):
-                    total += np.bincount(np.concatenate([of(w) for w in words[i : i + 4096]]), minlength=BUCKETS).astype(np.int32)
+                    total += np.bincount(np.concatenate([of(w) for w in words[i : i + 4096]]), minlength=BUCKETS + 1).astype(np.int32)
                 at = np.flatnonzero(total)
                 buckets.append(at.astype(np.int32))
                 counts.append(total[at])
@@ -139,6 +141,7 @@ class _Words(dict):
         super().__init__()
         self.buckets, self.size = buckets, 0
         self.table = np.zeros((1 << 12, buckets.shape[1] + 1))
+        self.repeat = np.append(buckets[REPEAT], 1)
 
     def __missing__(self, word: bytes) -> int:
         found = features_of(word)
@@ -155,8 +158,9 @@ class _Words(dict):
         if len(self) > MAX_WORDS or self.size > MAX_WORD_BYTES:
             self.clear()
             self.size = 0
-        rows = list(map(self.__getitem__, words))
-        return self.table[rows].sum(axis=0)
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        repeats = np.count_nonzero(rows[1:] == rows[:-1])
+        return self.table[rows].sum(axis=0) + repeats * self.repeat
 
 
 def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -175,8 +179,11 @@ def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             totals = np.zeros((batch.num_rows, adds.shape[1] + 1))
             for i, text in enumerate(as_bytes(batch.column("text"))):
                 words = text.split()
-                for k in range(0, len(words), 1 << 16):
-                    totals[i] += known.sums(words[k : k + (1 << 16)])
+                for k in range(0, len(words), PART):  # a part begins with the word that ended the one before
+                    totals[i] += known.sums(words[max(0, k - 1) : k + PART])
+                    if k:
+                        before = known[words[k - 1]]
+                        totals[i] -= known.table[before]
             logits = totals[:, :-1] / np.maximum(totals[:, -1:], 1) + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
             return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(odds[:, 1] / odds.sum(axis=1))], ["id", "score"])

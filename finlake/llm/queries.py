@@ -11,6 +11,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .languages import languages, profiles
 from .line_dedup import drop_repeated_lines
+from .lm_scoring import lm_scores
 from .quality import fit, quality_scores
 from .registry import ORACLE, QUERIES, query, table
 from .secrets import secret_spans
@@ -126,3 +127,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
     known = profiles(docs, not_remainder(doc_id, 3, 1))
     return languages(docs, known, keep=(doc_id, is_remainder(doc_id, 3, 1).alias("held_out")))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
+    found = lm_scores(docs, not_remainder(doc_id, 10, 0), keep=(doc_id, is_remainder(doc_id, 10, 0).alias("held_out")))
+    return found.drop("row")
