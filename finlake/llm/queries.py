@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, is_remainder, not_remainder
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .jaccard import similarity_classes
 from .languages import languages, profiles
 from .line_dedup import drop_repeated_lines
 from .lm_scoring import lm_scores
@@ -134,3 +135,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
     found = lm_scores(docs, not_remainder(doc_id, 10, 0), keep=(doc_id, is_remainder(doc_id, 10, 0).alias("held_out")))
     return found.drop("row")
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
