@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules["finlake"])
@@ -48,7 +49,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def per_batch(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def per_batch(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """Apply a function to every Arrow batch; ``build`` makes it once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,6 +61,11 @@ def per_batch(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], pa.R
     return df.mapInArrow(run, schema)
 
 
+def fields_and(fields: list[T.StructField], more: str) -> T.StructType:
+    """Schema of kept fields and further columns given as DDL."""
+    return T.StructType([*fields, *T.StructType.fromDDL(more).fields])
+
+
 def remainder(id_col: Column, of: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.crc32(id_col.cast("string")) % of

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, per_batch, settle
+from .common import as_bytes, fields_and, per_batch, settle
 from .words import WordHashes, alnum_words, chunks, grams
 
 WINDOW, GRAM = 10, 5
@@ -104,8 +104,7 @@ def fingerprints(texts: DataFrame, window: int, gram: int, lengths: list[int], i
 
         return run
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return per_batch(texts, build, f"{schema}n_words long, prints {_PRINTS}")
+    return per_batch(texts, build, fields_and(kept, f"n_words long, prints {_PRINTS}"))
 
 
 def _bit_map(prints: DataFrame) -> bytes:
@@ -158,7 +157,7 @@ def contamination(
 ) -> DataFrame:
     """Every document row with the words that occurrences of item windows cover.
 
-    Returns id, n_words, n_hit, item_ids (sorted as text, each once), spans (first and end word of the shared runs). A
+    Returns row (monotonically_increasing_id over the scan), id, n_words, n_hit, item_ids (sorted as text, each once), spans (first and end word of the shared runs). A
     null or empty text has no words, an item without words has no window, an item without an id goes as ''. Repeated rows
     are looked at one by one; empty tables give empty results or no hits.
     """
@@ -185,6 +184,6 @@ def contamination(
     ).n
     runs = runs.withColumn("n_hit", covered)
     return of_docs.select("row", "id", "n_words").join(runs, "row", "left").select(
-        "id", "n_words", F.coalesce(F.col("n_hit"), F.lit(0)).cast("long").alias("n_hit"),
+        "row", "id", "n_words", F.coalesce(F.col("n_hit"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans",
     )

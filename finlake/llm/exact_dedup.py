@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import minimal_hash
 from .common import as_bytes, per_batch, settle
@@ -43,7 +44,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *ke
 
         return run
 
-    schema = "row long, id long, digest binary" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
+    schema = T.StructType([*T.StructType.fromDDL("row long, id long, digest binary").fields, *extra])
     return per_batch(rows, build, schema)
 
 

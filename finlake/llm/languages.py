@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, per_batch
+from .common import as_bytes, fields_and, per_batch
 
 MAX_GRAM, PROFILE, MAX_LANGUAGES = 3, 400, 1000
 MAX_WORDS, MAX_GRAMS = 200_000, 200_000
@@ -161,5 +161,4 @@ def languages(docs: DataFrame, known: dict[str, list[str]], text_col: str = "tex
 
         return run
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return per_batch(rows, build, f"{schema}lang_pred string, score double")
+    return per_batch(rows, build, fields_and(kept, "lang_pred string, score double"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, per_batch, settle
+from .common import as_bytes, fields_and, per_batch, settle
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
 
@@ -142,5 +142,4 @@ def drop_repeated_lines(
 
         return run
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return per_batch(rows, build, schema + ", __lines long, __dropped long")
+    return per_batch(rows, build, fields_and(docs.schema.fields, "__lines long, __dropped long"))

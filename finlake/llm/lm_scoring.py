@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import recurrent
-from .common import as_bytes, per_batch, settle
+from .common import as_bytes, fields_and, per_batch, settle
 
 #: Most words sent to every task, most bytes of one, and symbols of the model (two of them UNKNOWN and END).
 HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 2048
@@ -194,9 +194,8 @@ def lm_scores(
 
         return run
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     scored = settle(
-        per_batch(rows, build, f"{schema}n_tokens long, n_known long, head_log double, likely double, tail array<struct<word: string, k: long>>"),
+        per_batch(rows, build, fields_and(kept, "n_tokens long, n_known long, head_log double, likely double, tail array<struct<word: string, k: long>>")),
         "lm-scored",
     )
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k")

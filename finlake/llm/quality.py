@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, per_batch
+from .common import as_bytes, fields_and, per_batch
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 10, 1.0
 MIN_GRAM, MAX_GRAM = 3, 4
@@ -111,8 +111,7 @@ def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
 
         return run
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return per_batch(rows, build, f"{schema}buckets array<int>, counts array<int>")
+    return per_batch(rows, build, fields_and(kept, "buckets array<int>, counts array<int>"))
 
 
 def fit(
@@ -163,21 +162,18 @@ class _Words(dict):
         return self.table[rows].sum(axis=0) + repeats * self.repeat
 
 
-def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """(id, score, predicted) of every row: the probability of class 1 and whether it reaches the threshold.
-
-    A null or empty text gets the probability the bias gives; repeated rows and rows without an id are scored alike.
-    """
+def with_scores(docs: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
+    """All rows and columns with the probability of class 1 in a further column."""
     adds, bias = model.buckets().astype(np.float64), model.bias.astype(np.float64)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    at = docs.columns.index(text_col)
+    names = [*docs.columns, name]
 
     def build():
         known = _Words(adds)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             totals = np.zeros((batch.num_rows, adds.shape[1] + 1))
-            for i, text in enumerate(as_bytes(batch.column("text"))):
+            for i, text in enumerate(as_bytes(batch.column(at))):
                 words = text.split()
                 for k in range(0, len(words), PART):  # a part begins with the word that ended the one before
                     totals[i] += known.sums(words[max(0, k - 1) : k + PART])
@@ -186,9 +182,18 @@ def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
                         totals[i] -= known.table[before]
             logits = totals[:, :-1] / np.maximum(totals[:, -1:], 1) + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
-            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(odds[:, 1] / odds.sum(axis=1))], ["id", "score"])
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(odds[:, 1] / odds.sum(axis=1))], names)
 
         return run
 
-    scored = per_batch(rows, build, f"id {kind}, score double")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return per_batch(docs, build, fields_and(docs.schema.fields, f"`{name}` double"))
+
+
+def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """(id, score, predicted) of every row: the probability of class 1 and whether it reaches the threshold.
+
+    A null or empty text gets the probability the bias gives; repeated rows and rows without an id are scored alike.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    scored = with_scores(rows, model, "text", "score")
+    return scored.select("id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -13,6 +13,7 @@ from .jaccard import similarity_classes
 from .languages import languages, profiles
 from .line_dedup import drop_repeated_lines
 from .lm_scoring import lm_scores
+from .packing import pack
 from .quality import fit, quality_scores
 from .registry import ORACLE, QUERIES, query, table
 from .secrets import secret_spans
@@ -141,3 +142,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similarity_classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, per_batch
+from .common import as_bytes, fields_and, per_batch
 
 MAX_PIECES, MAX_PIECE_CHARS, CHUNK = 400_000, 64, 1 << 20
 #: Fixed value: the splitter of the byte-level tokenizers (public_tokenizers.PATTERN).
@@ -138,8 +138,7 @@ def with_token_counts(rows: DataFrame, text_col: str, tokenizer_path: str, name:
 
         return run
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return per_batch(rows, build, f"{schema}`{name}` long")
+    return per_batch(rows, build, fields_and(kept, f"`{name}` long"))
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
