@@ -1,24 +1,73 @@
-"""Training-text pipeline over ``documents``: STAGES in order, each written as Parquet before the next reads it."""
+"""Training-text pipeline over ``documents``: STAGES in order, each written as Parquet before the next reads it.
+
+Low-quality documents go, then repeated lines, then all but the first document of each group of near copies, then
+documents that hold benchmark text; the rest is packed into batches of like length. All but the last stage return the
+columns of their input.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm.common import settle
+from finlake.llm.common import not_remainder, settle
+from finlake.llm.decontaminate import contamination
+from finlake.llm.jaccard import similarity_classes
 from finlake.llm.line_dedup import drop_repeated_lines
+from finlake.llm.packing import pack
+from finlake.llm.quality import fit, with_scores
 from finlake.session import configure
 
+#: The classifier, the order of documents in slots and the batches have no SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+MIN_QUALITY = 0.7
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The stored table less the rows numbered in ``rows`` (monotonically_increasing_id over its scan)."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(rows.select(F.col("row").alias("__row")), "__row", "left_anti").select(docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below MIN_QUALITY go; labels that are held out in the classifier's query are held out here."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(docs, labels, not_remainder(F.col("doc_id"), 4, 2))
+    return with_scores(docs, model, "text", "__score").where(F.col("__score") >= MIN_QUALITY).select(docs.columns)
+
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated long lines go; n_chars follows the text."""
     kept = drop_repeated_lines(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    length = F.when(F.col("__dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", length).select(docs.columns)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their shingles the one with the smallest id stays."""
+    return without_rows(docs, similarity_classes(docs).where("row <> first_row"))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with any word inside a benchmark window go."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without_rows(docs, found.where("n_hit > 0"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, TOKENIZER).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("line dedup", line_stage)]
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("packing", packing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
