@@ -87,9 +87,9 @@ def _forward(model, symbols, begins, state, keep_all: bool):
     entered = (model["enter"] + model["start"])[symbols]
     before = np.empty((steps, lanes, hidden), np.float32)
     saved = []
-    turn, h = model["turn"], state
+    turn, h, some = model["turn"], state, begins.any(axis=1).tolist()
     for t in range(steps):
-        if begins[t].any():
+        if some[t]:
             h = h * ~begins[t][:, None]
         before[t] = h
         turned = h @ turn
@@ -99,11 +99,14 @@ def _forward(model, symbols, begins, state, keep_all: bool):
         np.tanh(gates, out=gates)
         gates *= HALF
         gates += HALF
-        z, r = gates[:, :hidden], gates[:, hidden:]
-        fresh = np.tanh(a[:, 2 * hidden :] + r * turned[:, 2 * hidden :])
+        z, fresh = gates[:, :hidden], gates[:, hidden:] * turned[:, 2 * hidden :]
+        fresh += a[:, 2 * hidden :]
+        np.tanh(fresh, out=fresh)
         if keep_all:
             saved.append((gates, fresh, turned[:, 2 * hidden :]))
-        h = fresh + z * (h - fresh)
+        h = h - fresh
+        h *= z
+        h += fresh
     return before, h, saved
 
 
@@ -126,14 +129,13 @@ def _error(odds: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarra
     return odds
 
 
-def _by_class(symbols: np.ndarray):
-    """(class, rows) of each class among the symbols."""
-    classes = (symbols // CLASS_SIZE).astype(np.int16)
+def _by_class(target: np.ndarray, rows: np.ndarray):
+    """Targets and rows in the order of the targets' classes, that order, and (class, slice) of each class met."""
+    classes = (target // CLASS_SIZE).astype(np.int16)
     order = np.argsort(classes, kind="stable")
-    cuts = np.flatnonzero(np.diff(classes[order])) + 1
-    for rows in np.split(order, cuts):
-        if len(rows):
-            yield int(classes[rows[0]]), rows
+    classes = classes[order]
+    cuts = [0, *(np.flatnonzero(classes[1:] != classes[:-1]) + 1).tolist(), len(classes)]
+    return target[order], rows[order], order, [(int(classes[i]), slice(i, j)) for i, j in zip(cuts, cuts[1:])]
 
 
 def score(model: dict[str, np.ndarray], texts: list[np.ndarray], lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
@@ -150,11 +152,14 @@ def score(model: dict[str, np.ndarray], texts: list[np.ndarray], lanes: int = LA
         before, state, _ = _forward(model, symbols, dealt.begins[places], state[: places.shape[1]], False)
         flat = inside.ravel()
         rows, target = before.reshape(-1, before.shape[2])[flat], symbols.ravel()[flat]
+        target, rows, order, classes = _by_class(target, rows)
         within = target % CLASS_SIZE
-        logp = np.log(_chance(_odds(rows, model["to_class"], model["class_bias"]), target // CLASS_SIZE))
-        for c, own in _by_class(target):
-            logp[own] += np.log(_chance(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own]))
-        total += np.bincount(names[dealt.text[places.ravel()[flat]]], weights=logp, minlength=len(total))
+        chance = _chance(_odds(rows, model["to_class"], model["class_bias"]), target // CLASS_SIZE)
+        inner = np.empty_like(chance)
+        for c, own in classes:
+            inner[own] = _chance(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own])
+        logp = np.log(chance) + np.log(inner)
+        total += np.bincount(names[dealt.text[places.ravel()[flat][order]]], weights=logp, minlength=len(total))
     return total
 
 
@@ -189,42 +194,49 @@ class Trainer:
         hidden = len(model["turn"])
         before, after, saved = _forward(model, symbols, begins, state, True)
         flat = np.flatnonzero(inside.ravel())
-        rows, target = before.reshape(-1, hidden)[flat], symbols.ravel()[flat]
-        within = target % CLASS_SIZE
+        target, rows, order, classes = _by_class(symbols.ravel()[flat], before.reshape(-1, hidden)[flat])
+        within, ones = target % CLASS_SIZE, np.ones(len(target), np.float32)
         error = _error(_odds(rows, model["to_class"], model["class_bias"]), target // CLASS_SIZE, scale)
         back = error @ model["to_class"].T
-        class_steps = (rows.T @ error, error.sum(axis=0))
-        for c, own in _by_class(target):
-            mine = rows[own]
-            inner = _error(_odds(mine, model["to_symbol"][c], model["symbol_bias"][c]), within[own], scale)
+        to_symbol, symbol_bias = np.zeros_like(model["to_symbol"]), np.zeros_like(model["symbol_bias"])
+        for c, own in classes:
+            inner = _error(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own], scale)
             back[own] += inner @ model["to_symbol"][c].T
-            self._step("to_symbol", mine.T @ inner, c)
-            self._step("symbol_bias", inner.sum(axis=0), c)
-        self._step("to_class", class_steps[0])
-        self._step("class_bias", class_steps[1])
+            np.matmul(rows[own].T, inner, out=to_symbol[c])
+            np.matmul(ones[own], inner, out=symbol_bias[c])
+        self._step("to_symbol", to_symbol)
+        self._step("symbol_bias", symbol_bias)
+        self._step("to_class", rows.T @ error)
+        self._step("class_bias", ones @ error)
 
         to_state = np.zeros((steps * lanes, hidden), np.float32)
-        to_state[flat] = back
+        to_state[flat[order]] = back
         to_state = to_state.reshape(steps, lanes, hidden)
         entered, turned = np.empty((steps, lanes, 3 * hidden), np.float32), np.empty((steps, lanes, 3 * hidden), np.float32)
-        later = np.zeros((lanes, hidden), np.float32)
+        later, some = np.zeros((lanes, hidden), np.float32), begins.any(axis=1).tolist()
+        turn_back = np.ascontiguousarray(model["turn"].T)
         for t in range(steps - 1, -1, -1):
             gates, fresh, inner = saved[t]
             z, r = gates[:, :hidden], gates[:, hidden:]
-            d_fresh = later * (1 - z) * (1 - fresh * fresh)
-            both = entered[t]
-            both[:, :hidden] = later * (before[t] - fresh)
-            both[:, hidden : 2 * hidden] = d_fresh * inner
+            both, kept = entered[t], later * z
+            d_fresh = both[:, 2 * hidden :]
+            np.multiply(fresh, fresh, out=d_fresh)
+            np.subtract(1, d_fresh, out=d_fresh)
+            d_fresh *= later - kept
+            np.subtract(before[t], fresh, out=both[:, :hidden])
+            both[:, :hidden] *= later
+            np.multiply(d_fresh, inner, out=both[:, hidden : 2 * hidden])
             both[:, : 2 * hidden] *= gates * (1 - gates)
-            both[:, 2 * hidden :] = d_fresh
-            turned[t] = both
-            turned[t][:, 2 * hidden :] *= r
-            later = later * z + turned[t] @ model["turn"].T + to_state[t]
-            if begins[t].any():
+            turned[t, :, : 2 * hidden] = both[:, : 2 * hidden]
+            np.multiply(d_fresh, r, out=turned[t, :, 2 * hidden :])
+            later = turned[t] @ turn_back
+            later += kept
+            later += to_state[t]
+            if some[t]:
                 later *= ~begins[t][:, None]
         into = entered.reshape(-1, 3 * hidden)
         self._step("turn", before.reshape(-1, hidden).T @ turned.reshape(-1, 3 * hidden))
-        self._step("start", into.sum(axis=0))
+        self._step("start", np.ones(len(into), np.float32) @ into)
         order = np.argsort(symbols.ravel().astype(np.int16), kind="stable")
         sorted_symbols = symbols.ravel()[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(sorted_symbols)) + 1])
