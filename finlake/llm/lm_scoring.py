@@ -23,9 +23,10 @@ from . import recurrent
 from .common import as_bytes, fields_and, per_batch, settle
 
 #: Most words sent to every task, most bytes of one, and symbols of the model (two of them UNKNOWN and END).
-HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 2048
-ROUNDS, SMOOTH, COUNTER_WORDS, CHUNKS, FAN_IN = 2, 0.1, 400_000, 32, 16
+HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 1024
+ROUNDS, SMOOTH, COUNTER_WORDS, CHUNKS, FAN_IN = 2, 0.1, 250_000, 32, 16
 UNKNOWN, END = 0, 1
+TAIL_ROWS = 256
 END_WORD = "\n"  # no word holds white space
 
 
@@ -127,6 +128,14 @@ def train_round(texts: DataFrame, model: dict[str, np.ndarray], numbers: dict[by
     return recurrent.unflatten(np.concatenate([np.frombuffer(r["numbers"]) / r["weight"] for r in rows]), model)
 
 
+def _tail_array(counters: list[Counter]) -> pa.Array:
+    """Words and their number for each document, as a list of structs."""
+    offsets = np.cumsum([0, *map(len, counters)]).astype(np.int32)
+    words = pa.array([w for c in counters for w in c], pa.binary()).cast(pa.string())
+    times = pa.array([k for c in counters for k in c.values()], pa.int64())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([words, times], ["word", "k"]))
+
+
 def lm_scores(
     docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = (),
     rounds: int = ROUNDS, symbols: int = SYMBOLS,
@@ -152,43 +161,45 @@ def lm_scores(
         model = train_round(training.where(F.col("round") == i).select("text"), model, numbers)
 
     others = n_train - in_model + SMOOTH * (n_distinct - len(names) - bool(n_ends) + 1)
-    kept_names = {w: (numbers.get(w, UNKNOWN), math.log10(c + SMOOTH)) for w, c in head.items()}
+    # No word holds white space, so the head travels as one text.
+    head_text = b"\n".join(head)
+    symbol = np.array([*(numbers.get(w, UNKNOWN) for w in head), UNKNOWN], np.int32)
+    logs = np.array([*(math.log10(c + SMOOTH) for c in head.values()), 0.0])
     end_log = math.log10(n_ends + SMOOTH)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *keep, text)
     kept = rows.schema.fields[:-1]
-    tail_type = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
 
     def build():
-        places = {w: i for i, w in enumerate(kept_names)}
-        symbol = np.array([s for s, _ in kept_names.values()] + [UNKNOWN], np.int32)
-        logs = np.array([x for _, x in kept_names.values()] + [0.0])
-
         class Places(dict):
             def __missing__(self, word: bytes) -> int:
                 return -1  # the last entry of symbol and logs
 
-        find = Places(places).__getitem__
+        find = Places((w, i) for i, w in enumerate(head_text.split())).__getitem__
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n_tokens, n_known, n_other, head_log, other_log, tails, texts = [], [], [], [], [], [], []
+            n_tokens, n_known, n_other, head_log, other_log, texts = [], [], [], [], [], []
+            tails, held = [], []
             for data in as_bytes(batch.column("text")):
                 words = words_of(data)
                 at = np.fromiter(map(find, words), np.int32, len(words))
                 ids = symbol[at]
                 values = logs[at]
                 unknown = ids == UNKNOWN
-                rest = Counter(compress(words, (at < 0).tolist()))
-                tails.append([{"word": w.decode(), "k": k} for w, k in rest.items()])
+                held.append(Counter(compress(words, (at < 0).tolist())))
+                if len(held) == TAIL_ROWS:
+                    tails.append(_tail_array(held))
+                    held = []
                 n_tokens.append(len(words) + 1)
                 n_known.append(int(np.count_nonzero(at >= 0)) + (n_ends > 0))
                 n_other.append(int(np.count_nonzero(unknown)))
                 head_log.append(float(values.sum()) + end_log)
                 other_log.append(float(values[unknown].sum()))
-                texts.append(np.append(ids, END))
+                texts.append(np.append(ids, END).astype(np.int32))
+            tails.append(_tail_array(held))
             likely = recurrent.score(model, texts) / math.log(10) + np.array(other_log) - np.array(n_other) * math.log10(others)
             columns = [batch.column(f.name) for f in kept] + [
                 pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(head_log, pa.float64()),
-                pa.array(likely, pa.float64()), pa.array(tails, tail_type),
+                pa.array(likely, pa.float64()), pa.concat_arrays(tails),
             ]
             return pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + ["n_tokens", "n_known", "head_log", "likely", "tail"])
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-HIDDEN, CLASS_SIZE, LANES, WINDOW, RATE = 16, 32, 512, 24, 0.1
+HIDDEN, CLASS_SIZE, LANES, WINDOW, RATE = 12, 32, 384, 24, 0.15
 HALF = np.float32(0.5)
 LIMIT = np.float32(60)  # of logits, so that their odds fit
 _NAMES = ("enter", "turn", "start", "to_class", "class_bias", "to_symbol", "symbol_bias")
@@ -34,7 +34,7 @@ class Lanes:
         flat = [i for own in dealt for i in own]
         self.symbols = np.concatenate([texts[i] for i in flat]).astype(np.int32)
         sizes = np.array([len(texts[i]) for i in flat])
-        self.text = np.repeat(np.array(flat), sizes)
+        self.text = np.repeat(np.array(flat, np.int32), sizes)
         self.begins = np.zeros(len(self.symbols), bool)
         self.begins[np.cumsum(sizes) - sizes] = True
         self.length = np.array([sum(len(texts[i]) for i in own) for own in dealt])
