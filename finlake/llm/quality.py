@@ -21,7 +21,7 @@ from .common import as_bytes, fields_and, per_batch
 BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 10, 1.0
 MIN_GRAM, MAX_GRAM = 3, 4
 #: Labelled rows the model is fitted on: those with the smallest hash of the id.
-MAX_TRAIN_ROWS = 6000
+MAX_TRAIN_ROWS = 4000
 REPEAT = BUCKETS  # the vector of a word that repeats the one before
 MAX_WORDS, MAX_WORD_BYTES, PART = 300_000, 1 << 24, 1 << 16
 
@@ -129,8 +129,10 @@ def fit(
     # The limit bounds the side sent to every task.
     rows = row_features(rows.join(F.broadcast(chosen), "__id")).limit(2 * max_rows)
     found = rows.select("__id", "__label", "buckets", "counts").toArrow().sort_by([("__id", "ascending"), ("__label", "ascending")])
-    columns = [found.column(c).to_pylist() for c in ("buckets", "counts", "__label")]
-    return train([(np.array(b, np.int64), np.array(c, np.float32), y) for b, c, y in zip(*columns, strict=True)], 2)
+    buckets, counts = (found.column(c).combine_chunks() for c in ("buckets", "counts"))
+    cuts, flat, times = buckets.offsets.to_numpy(), buckets.values.to_numpy(), counts.values.to_numpy()
+    classes = found.column("__label").to_pylist()
+    return train([(flat[i:j], times[i:j], y) for i, j, y in zip(cuts, cuts[1:], classes, strict=False)], 2)
 
 
 class _Words(dict):
