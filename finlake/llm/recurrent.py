@@ -57,8 +57,8 @@ def new_model(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 11) -> dict[
     padded[: len(counts)] = counts
     weight = np.where(padded < 0, 0, padded + 0.5).reshape(classes, CLASS_SIZE)
     with np.errstate(divide="ignore"):
-        symbol_bias = np.maximum(np.log(weight / weight.sum(axis=1, keepdims=True)), -60)
-        class_bias = np.log(weight.sum(axis=1) / weight.sum())
+        symbol_bias = np.maximum(np.log(weight / np.maximum(weight.sum(axis=1, keepdims=True), 0.5)), -LIMIT)
+        class_bias = np.maximum(np.log(weight.sum(axis=1) / weight.sum()), -LIMIT)
     model = {
         "enter": rng.normal(0, 0.3, (classes * CLASS_SIZE, 3 * hidden)), "turn": rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)),
         "start": np.zeros(3 * hidden), "to_class": np.zeros((hidden, classes)), "class_bias": class_bias,
