@@ -34,10 +34,11 @@ class Grams:
     """Numbers for n-grams and, per word, the numbers of its n-grams; both are forgotten beyond a bound."""
 
     def __init__(self, fixed: list[str] = ()):
-        self.fixed = list(fixed)
+        self.fixed, self.forgotten = list(fixed), 0
         self.forget()
 
     def forget(self) -> None:
+        self.forgotten += 1
         self.number: dict[str, int] = {g: i for i, g in enumerate(self.fixed)}
         self.words: dict[str, np.ndarray] = {}
 
@@ -114,16 +115,16 @@ def make_ranker(known: dict[str, list[str]], size: int):
     for i, lang in enumerate(langs):
         ranks[i, [place[g] for g in known[lang]]] = np.arange(len(known[lang]))
     grams = Grams(fixed)
-    order = np.zeros(0, np.uint64)
+    order, of = np.zeros(0, np.uint64), 0
 
     def find(text: str) -> tuple[str, float]:
-        nonlocal order
+        nonlocal order, of
         counts = grams.counts(text)
         at = np.flatnonzero(counts)
         if not len(at) or not langs:
             return UNKNOWN, 0.0
-        if len(order) != len(counts):
-            kept = order if len(order) < len(counts) else order[: len(fixed)]
+        if len(order) != len(counts) or of != grams.forgotten:
+            kept, of = order if of == grams.forgotten else order[: len(fixed)], grams.forgotten
             names = list(grams.number)[len(kept) :]
             order = np.concatenate([kept, np.array([xxhash.xxh3_64_intdigest(g) for g in names], np.uint64)])
         if len(at) > size:
