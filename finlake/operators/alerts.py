@@ -7,7 +7,6 @@ format consumers of the alerts rely on.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,9 +102,7 @@ def value_build_up(
     )
 
 
-def location_change(
-    df: DataFrame, known: DataFrame | None = None, slot: timedelta = timedelta(hours=1)
-) -> DataFrame:
+def location_change(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """R4: the city differs from the account's previous transaction.
 
     ``known`` has earlier transactions that may be a previous one but raise no alert themselves.
@@ -114,7 +111,7 @@ def location_change(
     rows = df.select(*columns, F.lit(True).alias("novo"))
     if known is not None:
         rows = rows.unionByName(known.select(*columns, F.lit(False).alias("novo")))
-    rows = previous_row(rows, "conta_id", "data_transacao", "id", ["cidade", "data_transacao"], slot=slot)
+    rows = previous_row(rows, "conta_id", "data_transacao", "id", ["cidade", "data_transacao"])
     changed = rows.where(F.col("novo") & (F.col("cidade") != F.col("prev_cidade")))
     return changed.select(
         F.concat(F.lit("ALT-R4-"), F.col("id").cast("string")).alias("alerta_id"),

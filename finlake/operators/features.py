@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import AsOf, ago, business_hours, day_of_week, haversine_km, is_weekend, moment, ratio, today
@@ -120,28 +120,31 @@ def credit_features(contas: DataFrame, transacoes: DataFrame, as_of: AsOf = None
 
 
 def other_transactions_1h(
-    transacoes: DataFrame,
-    past_only: bool = False,
-    lookback: timedelta = timedelta(hours=1),
-    hot_rows: int = 10_000,
+    transacoes: DataFrame, past_only: bool = False, lookback: timedelta = timedelta(hours=1)
 ) -> DataFrame:
     """Number and value of the account's other transactions later than one hour before each one.
 
     As specified there is no upper bound, so later transactions count too; ``past_only`` stops at
-    the transaction itself.
+    the transaction itself. Rows with the same ``id`` are no other transactions, rows without
+    account, time or id neither have any nor are any.
     """
+    named = F.col("id").isNotNull()
     if past_only:
         rows = rolling_stats(
-            transacoes, "conta_id", "data_transacao", "valor", lookback, open_start=True, slots=60, hot_rows=hot_rows, prefix="_w"
+            transacoes, "conta_id", "data_transacao", "valor", lookback, open_start=True, slots=60, counted=named, prefix="_w"
         )
     else:
-        rows = totals_after(
-            transacoes, "conta_id", "data_transacao", "valor", lookback, hot_rows=hot_rows, prefix="_w"
-        )
-    own = F.coalesce(F.col("valor"), F.lit(0))
+        rows = totals_after(transacoes, "conta_id", "data_transacao", "valor", lookback, counted=named, prefix="_w")
+    span = lookback // timedelta(microseconds=1)
+    same = Window.partitionBy("conta_id", "id").orderBy(F.unix_micros("data_transacao")).rangeBetween(
+        1 - span, Window.currentRow if past_only else Window.unboundedFollowing
+    )
+    complete = F.col("conta_id").isNotNull() & named & F.col("data_transacao").isNotNull()
+    zero = F.lit(0)
+    own_value = F.coalesce(F.sum("valor").over(same), zero)
     return rows.withColumns({
-        "transacoes_ultima_hora": F.col("_wcount") - 1,
-        "valor_acumulado_1h": F.coalesce(F.col("_wsum"), F.lit(0)) - own,
+        "transacoes_ultima_hora": F.when(complete, F.col("_wcount") - F.count(F.lit(1)).over(same)).otherwise(zero),
+        "valor_acumulado_1h": F.when(complete, F.coalesce(F.col("_wsum"), zero) - own_value).otherwise(zero),
     }).drop("_wcount", "_wsum", "_wavg", "_wmin", "_wmax")
 
 

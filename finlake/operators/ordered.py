@@ -17,7 +17,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR = timedelta(hours=1)
+DAY, HOUR, SECOND = timedelta(days=1), timedelta(hours=1), timedelta(seconds=1)
 
 
 def micros(span: timedelta) -> int:
@@ -37,10 +37,11 @@ def _before(partition: Sequence[str], *order: Column):
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _ticks(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """One row per key and time."""
+def _ticks(df: DataFrame, key: str, ts: str, value: str, counted: Column | None = None) -> DataFrame:
+    """One row per key and time, of the rows that have both and are counted."""
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     return (
-        df.where(F.col(ts).isNotNull())
+        df.where(known if counted is None else known & counted)
         .groupBy(F.col(key).alias("k"), F.unix_micros(F.col(ts)).alias("us"))
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -53,7 +54,7 @@ def _ticks(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
 
 
 def _attach(df: DataFrame, stats: DataFrame, key: str, ts: str) -> DataFrame:
-    """Left join on key and time; AQE splits a (key, time) pair that many rows share."""
+    """Left join on key and time; AQE splits a (key, time) pair that many rows share. Without either there is no match."""
     rows = df.withColumn("us", F.unix_micros(F.col(ts)))
     return rows.join(stats.withColumnRenamed("k", key), [key, "us"], "left").drop("us")
 
@@ -64,6 +65,13 @@ def _point(kind: str, slot: Column, pos: Column, measures: Sequence[str]) -> Col
     )
 
 
+def _typed(df: DataFrame, value: str) -> tuple[Column, Column]:
+    """Sum and mean from the columns ``s`` and ``nv``, in the types of Spark's own aggregates of ``value``."""
+    plain = df.agg(F.sum(value).alias("sum"), F.avg(value).alias("avg")).schema
+    total = F.col("s").cast(plain["sum"].dataType)
+    return total, F.when(F.col("nv") > 0, total / F.col("nv")).cast(plain["avg"].dataType)
+
+
 def rolling_stats(
     df: DataFrame,
     key: str,
@@ -73,54 +81,23 @@ def rolling_stats(
     *,
     open_start: bool = False,
     slots: int = 360,
-    hot_rows: int = 10_000,
+    counted: Column | None = None,
     prefix: str = "",
 ) -> DataFrame:
     """Count, sum, mean, min and max of ``value`` over ``[t - width, t]`` for every row.
 
     Rows with equal time are all inside each other's frame; rows without key or time have no frame.
-    ``open_start`` leaves out ``t - width`` itself. Keys with at most ``hot_rows`` rows go through
-    an ordinary window, so its frames are bounded; the rows of larger keys are cut into slots.
+    ``open_start`` leaves out ``t - width`` itself; only rows for which ``counted`` holds are in a
+    frame. A frame is the running total inside the row's own slot, the full slots before it, and the
+    tail of the slot ``width`` back.
     """
-    few, many, unknown = _by_size(df, key, ts, hot_rows)
-    framed = _framed(few, key, ts, value, micros(width) - int(open_start), prefix)
-    sliced = _sliced(many, key, ts, value, width, open_start, slots, prefix)
-    return framed.unionByName(sliced).unionByName(unknown, allowMissingColumns=True)
-
-
-def _by_size(df: DataFrame, key: str, ts: str, hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows of small keys, rows of keys with more than ``hot_rows`` rows, rows without key or time.
-
-    When no key is that large, AQE drops everything that would run on the second part.
-    """
-    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    rows = df.where(known)
-    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select(key)
-    return rows.join(hot, key, "left_anti"), rows.join(hot, key, "left_semi"), df.where(~known)
-
-
-def _framed(df: DataFrame, key: str, ts: str, value: str, back: int, prefix: str) -> DataFrame:
-    frame = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts))).rangeBetween(-back, 0)
-    return df.withColumns({
-        f"{prefix}count": F.count(F.lit(1)).over(frame),
-        f"{prefix}sum": F.sum(value).over(frame),
-        f"{prefix}avg": F.avg(value).over(frame),
-        f"{prefix}min": F.min(value).over(frame),
-        f"{prefix}max": F.max(value).over(frame),
-    })
-
-
-def _sliced(
-    df: DataFrame, key: str, ts: str, value: str, width: timedelta, open_start: bool, slots: int, prefix: str
-) -> DataFrame:
-    """A frame is the running total inside the row's own slot, the full slots before it, and the tail of the
-    slot ``width`` back."""
     span = micros(width)
     step = span // slots
     if step * slots != span:
         raise ValueError("slots must divide the width into whole microseconds")
 
-    ticks = _ticks(df, key, ts, value).withColumn("slot", _slot(F.col("us"), step))
+    ticks = _ticks(df, key, ts, value, counted).withColumn("slot", _slot(F.col("us"), step))
+    sum_of, mean_of = _typed(df, value)
     measures = ["n", "nv", "s", "lo", "hi"]
     totals = ticks.groupBy("k", "slot").agg(
         *[F.sum(c).alias(c) for c in ("n", "nv", "s")], F.min("lo").alias("lo"), F.max("hi").alias("hi")
@@ -162,8 +139,8 @@ def _sliced(
             "k",
             F.col("pos").alias("us"),
             F.col("n").alias(f"{prefix}count"),
-            F.col("s").alias(f"{prefix}sum"),
-            F.when(F.col("nv") > 0, F.col("s") / F.col("nv")).alias(f"{prefix}avg"),
+            sum_of.alias(f"{prefix}sum"),
+            mean_of.alias(f"{prefix}avg"),
             F.col("lo").alias(f"{prefix}min"),
             F.col("hi").alias(f"{prefix}max"),
         )
@@ -179,30 +156,17 @@ def totals_after(
     lookback: timedelta,
     *,
     slot: timedelta | None = None,
-    hot_rows: int = 1_000_000,
+    counted: Column | None = None,
     prefix: str = "",
 ) -> DataFrame:
     """Count and sum of all rows of the key later than ``t - lookback`` (no upper bound), per row.
 
-    Small keys use a running frame from the newest row down; larger ones are cut into slots.
+    Only rows for which ``counted`` holds count; rows without key or time get NULL.
     """
-    few, many, unknown = _by_size(df, key, ts, hot_rows)
-    newest_first = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts)).desc())
-    down = newest_first.rangeBetween(Window.unboundedPreceding, micros(lookback) - 1)
-    framed = few.withColumns({
-        f"{prefix}count": F.count(F.lit(1)).over(down),
-        f"{prefix}sum": F.sum(value).over(down),
-    })
-    sliced = _sliced_after(many, key, ts, value, lookback, slot, prefix)
-    return framed.unionByName(sliced).unionByName(unknown, allowMissingColumns=True)
-
-
-def _sliced_after(
-    df: DataFrame, key: str, ts: str, value: str, lookback: timedelta, slot: timedelta | None, prefix: str
-) -> DataFrame:
     back = micros(lookback)
     step = micros(slot) if slot else max(back // 60, 1)
-    ticks = _ticks(df, key, ts, value)
+    ticks = _ticks(df, key, ts, value, counted)
+    sum_of, _ = _typed(df, value)
     start = F.col("us") - back
     nothing = F.lit(None).cast("long")
     value_point = F.struct(
@@ -223,8 +187,9 @@ def _sliced_after(
     down = _running(["k", "slot"], F.col("pos").desc())
     stats = (
         points.unionByName(carry)
-        .select("k", "us", F.sum("n").over(down).alias(f"{prefix}count"), F.sum("s").over(down).alias(f"{prefix}sum"))
+        .select("k", "us", F.sum("n").over(down).alias("n"), F.sum("s").over(down).alias("s"))
         .where(F.col("us").isNotNull())
+        .select("k", "us", F.col("n").alias(f"{prefix}count"), sum_of.alias(f"{prefix}sum"))
     )
     return _attach(df, stats, key, ts)
 
@@ -278,24 +243,40 @@ def running_steps(df: DataFrame, key: str, ts: str, step: str, name: str, *, slo
 
 
 def previous_row(
-    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], *, slot: timedelta = HOUR, prefix: str = "prev_"
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], *, slots: Sequence[timedelta] = (DAY, SECOND),
+    prefix: str = "prev_",
 ) -> DataFrame:
-    """Values of ``columns`` in the key's previous row, ordered by (ts, tie)."""
-    seen = F.struct(*[F.col(c) for c in columns])
+    """Values of ``columns`` in the key's previous row, ordered by (ts, tie).
+
+    Time is cut into ``slots``, each a part of the one before. The last row of every finest slot is
+    found with map-side combine and handed on within the slot around it, then between those, so that
+    no task sees more than one fine slot of a key or the summaries of one coarse slot. Rows without
+    key or time have no previous row and are none.
+    """
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    names = [f"_slot{i}" for i in range(len(slots))]
     rows = df.withColumns({
-        "_slot": _slot(F.unix_micros(F.col(ts)), micros(slot)),
-        "_seen": seen,
+        # Rows that take no part are spread instead of sharing one group.
+        **{n: F.when(known, _slot(F.unix_micros(F.col(ts)), micros(w))).otherwise(F.xxhash64(tie)) for n, w in zip(names, slots, strict=True)},
+        "_seen": F.struct(*[F.col(c) for c in columns]),
+        "_known": known,
         "_row": F.lit(True),
     })
-    last = rows.groupBy(F.col(key), "_slot").agg(F.max_by("_seen", F.struct(ts, tie)).alias("_seen"))
-    entering = F.lag("_seen").over(Window.partitionBy(key).orderBy("_slot"))
-    carry = last.select(key, "_slot", entering.alias("_seen")).where(F.col("_seen").isNotNull())
-    order = Window.partitionBy(key, "_slot").orderBy(
-        F.col("_row").asc_nulls_first(), F.col(ts).asc(), F.col(tie).asc()
-    )
-    out = rows.unionByName(carry, allowMissingColumns=True).withColumn("_prev", F.lag("_seen").over(order))
+    last = [rows.where("_known").groupBy(key, *names).agg(F.max_by("_seen", F.struct(ts, tie)).alias("_seen"))]
+    for depth in range(len(names) - 1, 0, -1):
+        last.insert(0, last[0].groupBy(key, *names[:depth]).agg(F.max_by("_seen", names[depth]).alias("_seen")))
+    entering = None
+    for depth, own in enumerate(last):
+        around, name = [key, *names[:depth]], names[depth]
+        if entering is not None:
+            # What enters the slot around comes before its first part.
+            own = own.unionByName(entering.withColumn(name, F.lit(-(1 << 63))))
+        earlier = F.lag("_seen").over(Window.partitionBy(*around).orderBy(name))
+        entering = own.select(*around, name, earlier.alias("_seen")).where(F.col("_seen").isNotNull())
+    order = Window.partitionBy(key, *names).orderBy(F.col("_row").asc_nulls_first(), F.col(ts).asc(), F.col(tie).asc())
+    out = rows.unionByName(entering, allowMissingColumns=True).withColumn("_prev", F.lag("_seen").over(order))
     return out.where(F.col("_row")).select(
-        *df.columns, *[F.col(f"_prev.{c}").alias(f"{prefix}{c}") for c in columns]
+        *df.columns, *[F.when(F.col("_known"), F.col(f"_prev.{c}")).alias(f"{prefix}{c}") for c in columns]
     )
 
 
@@ -311,41 +292,39 @@ def asof_latest(
 ) -> DataFrame:
     """Newest row of ``values`` per probe that is not later than it and not older than ``ttl``.
 
-    Every probe is kept; its value columns are NULL when nothing qualifies.
+    Every probe is kept; its value columns are NULL when nothing qualifies, as for every probe
+    without key or time. Probes of equal time share one lookup.
     """
     step = micros(slot)
     fields = [c for c in values.columns if c != key]
     image = F.struct(*[F.col(c) for c in fields])
     seen = (
-        values.where(F.col(value_ts).isNotNull())
+        values.where(F.col(key).isNotNull() & F.col(value_ts).isNotNull())
         .groupBy(F.col(key).alias("k"), F.unix_micros(F.col(value_ts)).alias("us"))
         .agg(F.max_by(image, F.xxhash64(image)).alias("seen"))
+        .withColumn("kind", F.lit(0))
     )
-    seen = seen.select("k", "us", F.lit(0).alias("kind"), "seen", F.lit(None).alias("probe"))
-    asked = probes.select(
-        F.col(key).alias("k"), F.unix_micros(F.col(probe_ts)).alias("us"), F.lit(1).alias("kind"),
-        F.lit(None).cast(seen.schema["seen"].dataType).alias("seen"),
-        F.struct(*[F.col(c) for c in probes.columns]).alias("probe"),
-    )
-    seen = seen.withColumn("probe", F.lit(None).cast(asked.schema["probe"].dataType))
-    points = seen.unionByName(asked).withColumn("slot", _slot(F.col("us"), step))
+    known = probes.where(F.col(key).isNotNull() & F.col(probe_ts).isNotNull())
+    asked = known.groupBy(F.col(key).alias("k"), F.unix_micros(F.col(probe_ts)).alias("us")).agg(F.lit(1).alias("kind"))
+    points = seen.unionByName(asked, allowMissingColumns=True).withColumn("slot", _slot(F.col("us"), step))
     newest = F.max_by("seen", F.when(F.col("kind") == 0, F.col("us")))
     slots = points.groupBy("k", "slot").agg(newest.alias("seen"))
     carry = slots.select(
         "k", "slot", F.col("slot").alias("us"), F.lit(-1).alias("kind"),
         F.last("seen", ignorenulls=True).over(_before(["k"], F.col("slot"))).alias("seen"),
-        F.lit(None).cast(asked.schema["probe"].dataType).alias("probe"),
     ).where(F.col("seen").isNotNull())
     along = _running(["k", "slot"], F.col("us"), F.col("kind"))
     found = (
         points.unionByName(carry)
         .withColumn("seen", F.last("seen", ignorenulls=True).over(along))
         .where(F.col("kind") == 1)
+        .select(F.col("k").alias(key), "us", "seen")
     )
     if ttl is not None:
         fresh = F.unix_micros(F.col(f"seen.{value_ts}")) >= F.col("us") - micros(ttl)
         found = found.withColumn("seen", F.when(fresh, F.col("seen")))
     taken = set(probes.columns)
-    return found.select(
-        "probe.*", *[F.col(f"seen.{c}").alias(c if c not in taken else f"feature_{c}") for c in fields]
+    rows = probes.withColumn("us", F.unix_micros(F.col(probe_ts))).join(found, [key, "us"], "left")
+    return rows.select(
+        *probes.columns, *[F.col(f"seen.{c}").alias(c if c not in taken else f"feature_{c}") for c in fields]
     )
