@@ -66,28 +66,34 @@ def score_transaction(df: DataFrame, as_of: AsOf = None, high_value: float = 100
     })
 
 
+SCORED_FIELDS = (
+    "processed_at", "hour", "day_of_week", "is_high_value", "is_business_hours", "is_weekend", "calculated_risk_score",
+)
+
+
 def score_messages(messages: DataFrame, as_of: AsOf = None, value: str = "value") -> DataFrame:
     """JSON message in, scored JSON message out; a malformed message passes through unchanged.
 
-    The scored fields are put next to all fields the message already has.
+    The scored fields are put next to the fields the message already has and replace those of the
+    same name. A message without channel is scored without the channel's points.
     """
     data = F.from_json(F.col(value), TRANSACAO_JSON)
     ts = F.try_to_timestamp(data["data_transacao"])
-    usable = ts.isNotNull() & data["valor"].isNotNull() & data["canal"].isNotNull()
-    scored = F.to_json(
-        F.struct(
-            F.date_format(moment(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at"),
-            F.hour(ts).alias("hour"),
-            day_of_week(ts, "python").alias("day_of_week"),
-            flag(data["valor"] > 1000).alias("is_high_value"),
-            flag(business_hours(ts)).alias("is_business_hours"),
-            flag(is_weekend(ts)).alias("is_weekend"),
-            risk_points(data["valor"], ts, data["canal"]).alias("calculated_risk_score"),
-        )
+    usable = F.coalesce(ts.isNotNull() & data["valor"].isNotNull(), F.lit(False))
+    scored = F.struct(
+        F.date_format(moment(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at"),
+        F.hour(ts).alias("hour"),
+        day_of_week(ts, "python").alias("day_of_week"),
+        flag(data["valor"] > 1000).alias("is_high_value"),
+        flag(business_hours(ts)).alias("is_business_hours"),
+        flag(is_weekend(ts)).alias("is_weekend"),
+        risk_points(data["valor"], ts, data["canal"]).alias("calculated_risk_score"),
     )
-    merged = F.concat(F.regexp_replace(F.col(value), r"\}\s*$", ", "), F.substring(scored, 2, 1 << 30))
+    fields = "map<string, variant>"
+    own = F.map_filter(F.from_json(F.col(value), fields), lambda k, _: ~k.isin(*SCORED_FIELDS))
+    merged = F.to_json(F.map_concat(own, F.from_json(F.to_json(scored), fields)))
     return messages.withColumns({
-        "malformed": ~F.coalesce(usable, F.lit(False)),
+        "malformed": ~usable,
         value: F.when(usable, merged).otherwise(F.col(value)),
     })
 

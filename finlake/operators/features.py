@@ -79,6 +79,7 @@ def credit_features(contas: DataFrame, transacoes: DataFrame, as_of: AsOf = None
     by a second; no per-row window runs over the transactions.
     """
     active = contas.where(F.col("status") == status)
+    transacoes = transacoes.join(active.select(F.col("id").alias("conta_id")), "conta_id", "left_semi")
     ts = F.col("data_transacao")
     recent_score = F.avg(F.when(ts > ago("7 days", as_of), F.col("score_risco")))
     ends = transacoes.groupBy("conta_id").agg(

@@ -44,6 +44,6 @@ def upsert(
 
 
 def keep_latest(df: DataFrame, series: Sequence[str], ts: str, n: int = 100) -> DataFrame:
-    """The newest ``n`` points of each series; Spark cuts to ``n`` before the shuffle."""
-    newest_first = Window.partitionBy(*series).orderBy(F.col(ts).desc())
+    """The newest ``n`` points of each series; Spark cuts to ``n`` before the shuffle, equal times have a fixed order."""
+    newest_first = Window.partitionBy(*series).orderBy(_tie_free(df, [ts]).desc())
     return df.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= n).drop("_rn")

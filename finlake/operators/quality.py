@@ -10,8 +10,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -147,13 +149,19 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _failing_rows(e: Expectation) -> str | None:
-    """Count of failing rows for checks on single rows; NULL values pass except in not_null."""
+def _failing_rows(df: DataFrame, e: Expectation) -> str | None:
+    """Count of failing rows for checks on single rows; NULL values pass except in not_null.
+
+    A text that is no number lies outside every range.
+    """
     low, high = e.args.get("min_value"), e.args.get("max_value")
     if e.kind == NOT_NULL:
         failing = f"`{e.column}` IS NULL"
     elif e.kind == REGEX:
         failing = f"NOT CAST(`{e.column}` AS STRING) RLIKE {_quoted(e.args['regex'])}"
+    elif e.kind == BETWEEN and df.schema[e.column].dataType == T.StringType():
+        number = f"try_cast(`{e.column}` AS DOUBLE)"
+        failing = f"`{e.column}` IS NOT NULL AND coalesce(NOT {number} BETWEEN {low} AND {high}, true)"
     elif e.kind == BETWEEN:
         failing = f"`{e.column}` < {low} OR `{e.column}` > {high}"
     elif e.kind == LENGTH:
@@ -185,9 +193,11 @@ def _listed_values(df: DataFrame, checks: Mapping[int, Expectation]) -> DataFram
     return reduce(DataFrame.unionByName, found) if found else None
 
 
-def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation]) -> list[DataFrame]:
+def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation], samples: bool) -> list[DataFrame]:
     """Number of listed values per check, and the first few of them in order."""
     counts = listed.groupBy("posicao").agg(F.count(F.lit(1)).alias("n"))
+    if not samples:
+        return [counts]
     rank = F.row_number().over(Window.partitionBy("posicao").orderBy("valor"))
     first = listed.withColumn("rn", rank).where(F.col("rn") <= max(SAMPLE_SIZE.values()))
     unique_checks = [i for i, e in checks.items() if e.kind == UNIQUE]
@@ -196,8 +206,11 @@ def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation]) -> lis
     return [counts, shown.agg(F.sort_array(F.collect_list(F.coalesce("valor", F.lit("None")))).alias("amostra"))]
 
 
-def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
-    """One result row per expectation. A check that cannot run is a failed result with its error."""
+def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation], samples: bool = True) -> DataFrame:
+    """One result row per expectation. A check that cannot run is a failed result with its error.
+
+    Without ``samples`` listed values are only counted.
+    """
     errors: dict[int, str] = {}
     checks: dict[int, Expectation] = {}
     known = {NOT_NULL, UNIQUE, IN_SET, REGEX, BETWEEN, ROW_COUNT, LENGTH, PAIR_GREATER}
@@ -210,7 +223,15 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) ->
         else:
             checks[i] = e
 
-    scalars = {i: c for i, e in checks.items() if (c := _failing_rows(e)) is not None}
+    scalars = {}
+    for i, e in list(checks.items()):
+        try:
+            if (count := _failing_rows(df, e)) is not None:
+                df.selectExpr(count).schema  # noqa: B018 - analysis only
+                scalars[i] = count
+        except AnalysisException as error:
+            errors[i] = str(error).splitlines()[0]
+            del checks[i]
     totals = df.agg(F.count(F.lit(1)).alias("total"), *[F.expr(c).alias(f"c{i}") for i, c in scalars.items()])
     entries = []
     for i, e in enumerate(expectations):
@@ -229,7 +250,7 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation]) ->
     listed = _listed_values(df, checks)
     parts = [rows.withColumns({"n": F.lit(None).cast("long"), "amostra": F.lit(None).cast("array<string>")})]
     if listed is not None:
-        parts += _listed_results(listed, checks)
+        parts += _listed_results(listed, checks, samples)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     rows = stacked.groupBy("posicao").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "posicao"])
     failures = F.coalesce("falhas", "n", F.lit(0))
@@ -252,6 +273,7 @@ def run_all(
     tables: Mapping[str, DataFrame],
     wanted: Iterable[str] | None = None,
     suites: Mapping[str, Sequence[Expectation]] = SUITES,
+    samples: bool = True,
 ) -> tuple[DataFrame, list[str]]:
     """Results of every wanted suite, and the names that were skipped (no such suite)."""
     names = list(wanted) if wanted is not None else [t for t in suites if t in tables]
@@ -259,7 +281,7 @@ def run_all(
     results = []
     for name in names:
         if name in tables and name in suites:
-            results.append(run_suite(tables[name], name, suites[name]))
+            results.append(run_suite(tables[name], name, suites[name], samples))
         elif name in suites:
             rows = [(name, i, e.kind, e.column, False, 0, 0, [], "missing table", "missing table")
                     for i, e in enumerate(suites[name])]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich, medallion, metrics, profile, reports, risk
-from ..sources.readers import spread
 from ..sources.testdata import clientes, contas, eventos, eventos_risco, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -58,11 +57,35 @@ def _(spark, d):
                  F.date_format("data_transacao", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("data_transacao"))
     )
     broken = F.when(F.col("status") == "REJEITADA", F.lit("not-json-at-all")).otherwise(message)
-    scored = enrich.score_messages(spread(eventos(spark, d)).select("id", broken.alias("value")), EVENT_DAY)
+    scored = enrich.score_messages(eventos(spark, d).select("id", broken.alias("value")), EVENT_DAY)
     score = F.get_json_object("value", "$.calculated_risk_score").cast("double")
     return scored.select("id", "malformed", score.alias("risco"))
 
 
+@query("score_messages_again", sql(
+    "id:i malformed:b risco:r hora:i campos:i extra:s", f"""
+    SELECT id, false AS malformed, round(least({POINTS.replace("canal = 'MOBILE'", "canal = 'MOBILE' AND id % 5 <> 0")}, 1.0e0), 6) AS risco,
+           {HOUR} AS hora, 12 AS campos, 'x' || id AS extra
+    FROM eventos"""))
+def _(spark, d):
+    """Messages that were scored before, some without channel; the new fields replace the old ones."""
+    message = F.to_json(
+        F.struct("id", "valor", F.when(F.col("id") % 5 != 0, F.col("canal")).alias("canal"), F.lit(0.9).alias("calculated_risk_score"),
+                 F.lit(99).alias("hour"), F.concat(F.lit("x"), "id").alias("extra"),
+                 F.date_format("data_transacao", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("data_transacao")),
+        {"ignoreNullFields": "false"},
+    )
+    scored = enrich.score_messages(eventos(spark, d).select("id", message.alias("value")), EVENT_DAY)
+
+    def field(name: str):
+        return F.get_json_object("value", f"$.{name}")
+
+    return scored.select(
+        "id", "malformed", field("calculated_risk_score").cast("double").alias("risco"), field("hour").cast("int").alias("hora"),
+        F.size(F.json_object_keys("value")).alias("campos"), field("extra").alias("extra"),
+    )
+
+
 @query("pix_analytics", sql(
     "id:i hora_dia:i is_fim_de_semana:b is_horario_comercial:b valor:r data_transacao:t", f"""
     SELECT id, {HOUR} AS hora_dia, {WEEKEND} AS is_fim_de_semana, {HOUR} BETWEEN 8 AND 18 AS is_horario_comercial,
@@ -445,7 +468,7 @@ IDS_30D = f"count(DISTINCT t.id) FILTER (t.data_transacao >= DATE '{BANK_DAY}' -
 
 @query("account_behaviour", sql(f"conta_id:i {BEHAVIOUR_COLUMNS}", _behaviour_sql("conta_id", "transacoes t", IDS_30D)))
 def _(spark, d):
-    return profile.account_behaviour(spread(transacoes(spark, d)), BANK_DAY)
+    return profile.account_behaviour(transacoes(spark, d), BANK_DAY)
 
 
 CUSTOMER_BEHAVIOUR = _behaviour_sql("o.cliente_id", "transacoes t JOIN contas o ON o.id = t.conta_id", IDS_30D)
@@ -463,7 +486,7 @@ CUSTOMER_BEHAVIOUR = _behaviour_sql("o.cliente_id", "transacoes t JOIN contas o
     FROM clientes c LEFT JOIN ({ROLLUP}) a ON a.cliente_id = c.id
     LEFT JOIN ({CUSTOMER_BEHAVIOUR}) b ON b.cliente_id = c.id"""), precise=["utilizacao_limite_pct"])
 def _(spark, d):
-    return profile.customer_profile(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY)
+    return profile.customer_profile(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY)
 
 
 # --- risk score -----------------------------------------------------------------------------
@@ -492,12 +515,12 @@ SCORE_DIVERSITY = """
 
 @query("score_behaviour", sql("conta_id:i score_comportamento:i", SCORE_BEHAVIOUR))
 def _(spark, d):
-    return risk.score_behaviour(spread(transacoes(spark, d)))
+    return risk.score_behaviour(transacoes(spark, d))
 
 
 @query("score_activity", sql("conta_id:i score_atividade:i", SCORE_ACTIVITY))
 def _(spark, d):
-    return risk.score_activity(spread(transacoes(spark, d)))
+    return risk.score_activity(transacoes(spark, d))
 
 
 @query("score_concentration", sql("conta_id:i score_concentracao:i", SCORE_CONCENTRATION))
@@ -526,7 +549,7 @@ CUSTOMER_SCORES = f"""
 @query("customer_account_scores", sql(
     "cliente_id:i score_comportamento:r score_atividade:r score_concentracao:r", CUSTOMER_SCORES))
 def _(spark, d):
-    return risk.customer_account_scores(contas(spark, d), spread(transacoes(spark, d)))
+    return risk.customer_account_scores(contas(spark, d), transacoes(spark, d))
 
 
 def _risk_sql(scale: int) -> str:
@@ -553,12 +576,12 @@ RISK_COLUMNS = (
 
 @query("risk_score", sql(RISK_COLUMNS, _risk_sql(1)))
 def risk_score(spark, d):
-    return risk.risk_score(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY)
+    return risk.risk_score(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY)
 
 
 @query("risk_score_scaled", sql(RISK_COLUMNS, _risk_sql(10)))
 def _(spark, d):
-    return risk.risk_score(clientes(spark, d), contas(spark, d), spread(transacoes(spark, d)), BANK_DAY, scale=10)
+    return risk.risk_score(clientes(spark, d), contas(spark, d), transacoes(spark, d), BANK_DAY, scale=10)
 
 
 @query("score_write_back", sql(

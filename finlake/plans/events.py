@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
 from ..operators import alerts, features, windows
@@ -230,7 +228,7 @@ def _(spark, d):
     return alerts.pix_many_cities(eventos(spark, d))
 
 
-@query("alert_r8_daily", sql(PIX_COLUMNS, _cities("12 hours", "1 hour", 12, 2)))
+@query("alert_r8_12h", sql(PIX_COLUMNS, _cities("12 hours", "1 hour", 12, 2)))
 def _(spark, d):
     return alerts.pix_many_cities(eventos(spark, d), "12 hours", "1 hour", 2)
 
@@ -357,6 +355,66 @@ def _(spark, d):
     return rows.drop("conta_id", "data_transacao", "valor")
 
 
+@query("rolling_skewed", sql(
+    "id:i janela_count:i janela_sum:r janela_avg:r janela_min:r janela_max:r", """
+    SELECT id, count(*) OVER w AS janela_count, sum(valor) OVER w AS janela_sum,
+           avg(valor) OVER w AS janela_avg, min(valor) OVER w AS janela_min, max(valor) OVER w AS janela_max
+    FROM eventos WINDOW w AS (PARTITION BY conta_id % 2 ORDER BY data_transacao
+                              RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)"""))
+def _(spark, d):
+    """Two accounts hold all rows."""
+    rows = eventos(spark, d).select("id", (F.col("conta_id") % 2).alias("conta_id"), "data_transacao", "valor")
+    return features.rolling_30d(rows, days=7).drop("conta_id", "data_transacao", "valor")
+
+
+# Transactions with missing accounts, ids and times, and with ids that several rows share.
+INCOMPLETE = """SELECT CASE WHEN id % 13 <> 0 THEN id // 3 END AS id, CASE WHEN id % 11 <> 0 THEN conta_id % 40 END AS conta_id,
+        CASE WHEN id % 17 <> 0 THEN data_transacao END AS data_transacao, valor, id AS linha FROM eventos"""
+
+
+def _incomplete(spark, d):
+    rows, key = eventos(spark, d), F.col("id")
+    return rows.select(
+        F.when(key % 13 != 0, F.floor(key / 3)).alias("id"), F.when(key % 11 != 0, F.col("conta_id") % 40).alias("conta_id"),
+        F.when(key % 17 != 0, F.col("data_transacao")).alias("data_transacao"), "valor", key.alias("linha"),
+    )
+
+
+def _others(bound: str) -> str:
+    other = f"""FROM rows o WHERE o.conta_id = t.conta_id AND o.id <> t.id
+        AND o.data_transacao > t.data_transacao - INTERVAL 1 HOUR {bound}"""
+    return f"""WITH rows AS ({INCOMPLETE}) SELECT linha, (SELECT count(*) {other}) AS n, (SELECT coalesce(sum(valor), 0) {other}) AS s
+        FROM rows t"""
+
+
+@query("other_transactions_incomplete", sql("linha:i n:i s:r", f"SELECT * FROM ({_others('AND o.data_transacao <= t.data_transacao')}) AS eventos_"))
+def _(spark, d):
+    found = features.other_transactions_1h(_incomplete(spark, d), past_only=True)
+    return found.select("linha", F.col("transacoes_ultima_hora").alias("n"), F.col("valor_acumulado_1h").alias("s"))
+
+
+@query("other_transactions_open", sql("linha:i n:i s:r", f"SELECT * FROM ({_others('')}) AS eventos_"))
+def _(spark, d):
+    found = features.other_transactions_1h(_incomplete(spark, d))
+    return found.select("linha", F.col("transacoes_ultima_hora").alias("n"), F.col("valor_acumulado_1h").alias("s"))
+
+
+@query("point_in_time_incomplete", sql(
+    "linha:i event_timestamp:t score:r", f"""
+    WITH rows AS ({INCOMPLETE})
+    SELECT r.linha, f.event_timestamp, f.score FROM rows r
+    LEFT JOIN LATERAL (
+        SELECT e.data_transacao AS event_timestamp, e.valor AS score FROM rows e
+        WHERE e.conta_id = r.conta_id AND e.linha % 5 = 0 AND e.data_transacao <= r.data_transacao
+        ORDER BY e.data_transacao DESC LIMIT 1) f ON true"""))
+def _(spark, d):
+    rows = _incomplete(spark, d)
+    requests = rows.select("linha", "conta_id", F.col("data_transacao").alias("request_ts"))
+    stored = rows.where("linha % 5 = 0").select("conta_id", F.col("data_transacao").alias("event_timestamp"), F.col("valor").alias("score"))
+    view = features.FeatureView("rows", "conta_id", None, ("score",))
+    return features.point_in_time(view, requests, stored).select("linha", "event_timestamp", "score")
+
+
 @query("customer_features", sql(
     "cliente_id:i event_timestamp:t idade:i tempo_como_cliente_dias:i qtd_contas:i saldo_total:r "
     "volume_mensal_transacoes:i frequencia_transacoes_semanal:r tem_investimento:b risco_score:r classe_risco:s", f"""
@@ -430,11 +488,11 @@ def _(spark, d):
 @query("devices_30d", sql(
     "id:i qtd_dispositivos_30d:i", """
     SELECT id, (SELECT count(DISTINCT o.id % 11) FROM eventos o WHERE o.conta_id = t.conta_id
-                AND o.data_transacao BETWEEN t.data_transacao - INTERVAL 3 DAY AND t.data_transacao) AS qtd_dispositivos_30d
+                AND o.data_transacao BETWEEN t.data_transacao - INTERVAL 30 DAY AND t.data_transacao) AS qtd_dispositivos_30d
     FROM eventos t"""))
 def _(spark, d):
     rows = eventos(spark, d).withColumn("dispositivo", F.concat(F.lit("D"), F.col("id") % 11))
-    return features.recent_devices(rows, timedelta(days=3)).select("id", "qtd_dispositivos_30d")
+    return features.recent_devices(rows).select("id", "qtd_dispositivos_30d")
 
 
 @query("point_in_time_features", sql(

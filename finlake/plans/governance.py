@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.personal import PII_COLUMN_NAMES, PII_PATTERNS
 from ..operators import audit, lineage, privacy, quality, reconcile
-from ..sources.readers import spread
 from ..sources.testdata import clientes, contas, eventos, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -21,6 +20,14 @@ QUALITY_TABLES = {
         CASE WHEN id % 2 = 0 THEN 'PF' ELSE 'XX' END AS tipo_pessoa, status, data_nascimento,
         CAST(NULL AS VARCHAR) AS cnpj FROM clientes""",
     "transacoes": """SELECT *, data_transacao + (id % 3 - 1) * INTERVAL 1 DAY AS created_at, 'T1' AS tenant_id FROM transacoes""",
+    "pix_pagamentos": """SELECT id, CASE WHEN id % 9 <> 0 THEN 'k' || id END AS chave_pix,
+        CASE id % 4 WHEN 0 THEN 'CPF' WHEN 1 THEN 'EMAIL' WHEN 2 THEN 'TELEFONE' ELSE 'PASSAPORTE' END AS tipo_chave_pix,
+        valor - 1 AS valor, CASE status WHEN 'REJEITADA' THEN 'FALHOU' ELSE status END AS status,
+        'I' || (id % 8) AS ispb_origem, CASE WHEN id % 10 <> 0 THEN 'I1' END AS ispb_destino
+        FROM eventos WHERE tipo_transacao = 'PIX'""",
+    "credito_solicitacoes": """SELECT id, CASE tipo_conta WHEN 'CORRENTE' THEN 'CONSIGNADO' WHEN 'POUPANCA' THEN 'CARTAO_CREDITO' ELSE tipo_conta END AS tipo_credito,
+        saldo / 10 AS valor_solicitado, id % 400 AS prazo_meses, CASE status WHEN 'ATIVA' THEN 'LIBERADO' ELSE 'PERDIDO' END AS status
+        FROM contas""",
 }
 
 
@@ -47,6 +54,24 @@ def quality_tables(spark, d):
             "created_at": F.col("data_transacao") + F.make_dt_interval(days=(key % 3 - 1).cast("int")),
             "tenant_id": F.lit("T1"),
         }),
+        "pix_pagamentos": eventos(spark, d).where("tipo_transacao = 'PIX'").select(
+            "id",
+            F.when(key % 9 != 0, F.concat(F.lit("k"), text)).alias("chave_pix"),
+            F.when(key % 4 == 0, "CPF").when(key % 4 == 1, "EMAIL").when(key % 4 == 2, "TELEFONE").otherwise("PASSAPORTE")
+            .alias("tipo_chave_pix"),
+            (F.col("valor") - 1).alias("valor"),
+            F.when(F.col("status") == "REJEITADA", "FALHOU").otherwise(F.col("status")).alias("status"),
+            F.concat(F.lit("I"), key % 8).alias("ispb_origem"),
+            F.when(key % 10 != 0, "I1").alias("ispb_destino"),
+        ),
+        "credito_solicitacoes": contas(spark, d).select(
+            "id",
+            F.when(F.col("tipo_conta") == "CORRENTE", "CONSIGNADO").when(F.col("tipo_conta") == "POUPANCA", "CARTAO_CREDITO")
+            .otherwise(F.col("tipo_conta")).alias("tipo_credito"),
+            (F.col("saldo") / 10).alias("valor_solicitado"),
+            (key % 400).alias("prazo_meses"),
+            F.when(F.col("status") == "ATIVA", "LIBERADO").otherwise("PERDIDO").alias("status"),
+        ),
     }
 
 
@@ -90,7 +115,7 @@ QUALITY_COLUMNS = "tabela:s posicao:i expectativa:s coluna:s passou:b falhas:i t
 
 @query("dq_report", sql(QUALITY_COLUMNS, f"SELECT *, falhas = 0 AS passou FROM ({_quality_sql()})"))
 def dq_report(spark, d):
-    results, _ = quality.run_all(spark, quality_tables(spark, d))
+    results, _ = quality.run_all(spark, quality_tables(spark, d), samples=False)
     return results.select("tabela", "posicao", "expectativa", "coluna", "passou", "falhas", "total_linhas")
 
 
@@ -116,6 +141,20 @@ def _(spark, d):
     return quality.quality_report(dq_report(spark, d))
 
 
+@query("dq_dirty", sql(
+    "posicao:i passou:b falhas:i com_erro:b", """
+    SELECT 0 AS posicao, false AS passou, count(*) FILTER (id % 7 = 0 OR valor > 1000) AS falhas, false AS com_erro FROM eventos
+    UNION ALL SELECT 1, false, 0, true
+    UNION ALL SELECT 2, true, 0, false FROM (SELECT 1) WHERE (SELECT count(*) FROM eventos) > 0"""))
+def _(spark, d):
+    """Text among the numbers, and a comparison of types that cannot be compared."""
+    rows = eventos(spark, d)
+    dirty = rows.select("id", F.when(F.col("id") % 7 == 0, "abc").otherwise(F.col("valor").cast("string")).alias("valor"), F.array("id").alias("lista"))
+    suite = [quality.between("valor", 0, 1000), quality.pair_greater("lista", "valor"), quality.not_null("id")]
+    found = quality.run_suite(dirty, "sujos", suite)
+    return found.select("posicao", "passou", "falhas", F.col("erro").isNotNull().alias("com_erro"))
+
+
 @query("dq_unique", sql(
     "tabela:s coluna:s falhas:i", """
     SELECT 'transacoes' AS tabela, 'id' AS coluna,
@@ -153,7 +192,7 @@ ANY_PII = "|".join(f"(?:{p})" for p in PII_PATTERNS.values())
     FROM (SELECT doc_id, CAST(regexp_matches(text, '{ANY_PII}') AS INT) + CAST(regexp_matches(source, '{ANY_PII}') AS INT) AS n
           FROM documents)"""))
 def _(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
     return privacy.classify_rows(docs).select("doc_id", "campos_pii", "classificacao")
 
 
@@ -163,7 +202,7 @@ def _(spark, d):
     + ", ".join(f"len(regexp_extract_all(text, '{p}')) AS qtd_{k}" for k, p in PII_PATTERNS.items())
     + " FROM documents"))
 def _(spark, d):
-    return privacy.pii_matches(spread(table(spark, d, "documents").select("doc_id", "text")), ["doc_id"])
+    return privacy.pii_matches(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"])
 
 
 @query("pii_columns", sql(
@@ -173,7 +212,7 @@ def _(spark, d):
           UNION ALL SELECT 'lang', count(*) FILTER (regexp_matches(lang, '{ANY_PII}')), count(*) FROM documents
           UNION ALL SELECT 'source', count(*) FILTER (regexp_matches(source, '{ANY_PII}')), count(*) FROM documents)"""))
 def _(spark, d):
-    return privacy.pii_columns(spread(table(spark, d, "documents")))
+    return privacy.pii_columns(table(spark, d, "documents"))
 
 
 PEOPLE = """

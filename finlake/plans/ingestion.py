@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators.latest import latest_by_key, upsert
 from ..sources import cdc, incremental, landed
-from ..sources.readers import spread
 from ..sources.testdata import contas, eventos, table
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -35,7 +34,7 @@ def _messages(spark, d):
         .when(F.col("value") < 3, F.lit('{"op": "r", "after": null}'))
         .otherwise(envelope)
     )
-    return spread(table(spark, d, "events")).select(F.col("event_id").alias("offset"), broken.alias("value"))
+    return table(spark, d, "events").select(F.col("event_id").alias("offset"), broken.alias("value"))
 
 
 PARSED = """
@@ -143,7 +142,7 @@ def _business_messages(spark, d):
             F.when(kind != "view", F.col("user_id")).alias("clienteId"),
         )
     )
-    return spread(table(spark, d, "events")).select(key.alias("offset"), body.alias("value"))
+    return table(spark, d, "events").select(key.alias("offset"), body.alias("value"))
 
 
 @query("project_event_envelope", sql(
@@ -196,7 +195,7 @@ def _(spark, d):
 
     points = F.array(text(F.col("value")), text(F.round(F.col("value") + 1, 2)))
     empty = F.lit("[]")
-    payloads = spread(table(spark, d, "events")).select(
+    payloads = table(spark, d, "events").select(
         F.col("ts").alias("tempo"),
         F.when(kind == "purchase", "CDI").when(kind == "click", "SELIC").when(kind == "signup", "NENHUM")
         .otherwise("IPCA").alias("indicador"),
@@ -229,13 +228,52 @@ def _(spark, d):
             ((F.col("event_id") % 1300) / 100).alias("taxaCompraManha"),
         )
     )
-    return landed.bond_prices(spread(table(spark, d, "events")).select(F.col("ts").alias("tempo"), body.alias("payload")))
+    return landed.bond_prices(table(spark, d, "events").select(F.col("ts").alias("tempo"), body.alias("payload")))
 
 
 @query("alert_messages", sql(
-    "conta_id:i n:i", "SELECT conta_id, count(*) AS n FROM eventos WHERE valor > 10000 GROUP BY conta_id"))
+    "chave:s id:i conta_id:i valor:r status:s canal:s aprovada:s",
+    "SELECT conta_id AS chave, id, conta_id, valor, status, canal, CAST(aprovada AS VARCHAR) AS aprovada FROM eventos"))
 def _(spark, d):
-    rows = eventos(spark, d).where(F.col("valor") > 10000)
-    messages = sinks.as_messages(rows, "conta_id")
-    account = F.get_json_object("value", "$.conta_id").cast("long").alias("conta_id")
-    return messages.groupBy(account).agg(F.count("key").alias("n"))
+    """What a reader of the topic finds in every message."""
+    messages = sinks.as_messages(eventos(spark, d), "conta_id")
+
+    def field(name: str, kind: str = "string"):
+        return F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
+
+    return messages.select(
+        F.col("key").alias("chave"), field("id", "long"), field("conta_id", "long"), field("valor", "double"),
+        field("status"), field("canal"), field("aprovada"),
+    )
+
+
+@query("envelope_bad_times", sql(
+    "transaction_id:s timestamp:t rejeitado:b", """
+    SELECT CAST(event_id AS VARCHAR) AS transaction_id, CASE WHEN event_id % 4 <> 0 THEN ts END AS timestamp,
+           event_id % 4 = 0 AS rejeitado
+    FROM events"""))
+def _(spark, d):
+    """Every fourth event has a time nobody can read: it is a dead letter, not the end of the query."""
+    when = F.when(F.col("event_id") % 4 == 0, "not a time").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    body = F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"), when.alias("timestamp"), F.lit("PIX").alias("eventType")))
+    rows = landed.project_event_envelope(table(spark, d, "events").select(F.col("event_id").alias("offset"), body.alias("value")), EVENT_DAY)
+    return rows.select("transaction_id", "timestamp", landed.dead_letter(["timestamp"]).alias("rejeitado"))
+
+
+@query("cdc_topics", sql(
+    "topico:s id:i saldo:r canal:s valor:r", """
+    SELECT 'cdc.contas' AS topico, event_id AS id, value AS saldo, NULL AS canal, NULL AS valor FROM events WHERE event_id % 2 = 0
+    UNION ALL
+    SELECT 'cdc.transacoes', event_id, NULL, event_type, value FROM events WHERE event_id % 3 = 0 AND event_id % 2 <> 0"""))
+def _(spark, d):
+    """Two topics whose rows have different columns, and one that nobody asked for."""
+    key = F.col("event_id")
+    account = F.to_json(F.struct(F.lit("c").alias("op"), F.struct(key.alias("id"), F.col("value").alias("saldo")).alias("after")))
+    payment = F.to_json(F.struct(F.lit("c").alias("op"), F.struct(key.alias("id"), F.col("event_type").alias("canal"), F.col("value").alias("valor")).alias("after")))
+    messages = table(spark, d, "events").select(
+        F.when(key % 2 == 0, "cdc.contas").when(key % 3 == 0, "cdc.transacoes").otherwise("cdc.outros").alias("topic"),
+        F.when(key % 2 == 0, account).otherwise(payment).alias("value"),
+    )
+    parsed = cdc.parse_topics(messages, {"cdc.contas": "id long, saldo double", "cdc.transacoes": "id long, canal string, valor double"})
+    both = parsed["cdc.contas"].unionByName(parsed["cdc.transacoes"], allowMissingColumns=True)
+    return both.select(F.col("topic").alias("topico"), "id", "saldo", "canal", "valor")

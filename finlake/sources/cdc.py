@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,6 @@ from ..operators.latest import latest_by_key
 from ..schemas import cdc_envelope
 from ..sinks import write_batch
 
-# Topics read when none are named.
-DEFAULT_TOPICS = ("cdc.contas", "cdc.clientes", "cdc.transacoes", "cdc.pix_pagamentos")
-
-
 def iso_utc(ts: Column) -> Column:
     """ISO text with offset; the fraction appears only when there is one."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
@@ -55,23 +51,26 @@ def apply_cdc(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("
     return newest.where(~F.col("_cdc_deleted")).drop("_cdc_op", "_cdc_ts", "_cdc_deleted")
 
 
-def table_of_topic(topic: str = "topic"):
-    return F.element_at(F.split(F.col(topic), r"\."), -1)
+def parse_topics(messages: DataFrame, rows: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Parsed changes of each topic, with the columns its own row DDL names."""
+    present = messages.where(F.col("value").isNotNull())
+    return {topic: parse_cdc(present.where(F.col("topic") == topic), ddl) for topic, ddl in rows.items()}
 
 
-def drain_topics(
-    stream: DataFrame, row: str, path: str, checkpoint: str, topics: Sequence[str] = DEFAULT_TOPICS
-) -> None:
+def drain_topics(stream: DataFrame, rows: Mapping[str, str], path: str, checkpoint: str) -> None:
     """Consume what is there, write it below ``path`` by table and day, then stop.
 
-    The source bounds a batch itself (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``). Offsets
-    are committed after the write, and a repeated batch replaces its own files.
+    ``rows`` has the row DDL of every topic to read; each table's folder holds its own columns. The
+    source bounds a batch itself (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``). Offsets are
+    committed after the write, and a repeated batch replaces its own files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_cdc(batch.where(F.col("topic").isin(*topics)).where(F.col("value").isNotNull()), row)
-        rows = rows.withColumn("tabela", table_of_topic()).withColumn("ingest_date", F.current_date())
-        write_batch(rows, path, batch_id, partition_by=("tabela", "ingest_date"))
+        batch.persist()
+        for topic, changes in parse_topics(batch, rows).items():
+            dated = changes.withColumn("ingest_date", F.current_date())
+            write_batch(dated, f"{path}/{topic.rpartition('.')[2]}", batch_id, ("ingest_date",))
+        batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -29,7 +29,10 @@ def literal_map(entries: Mapping) -> Column:
 
 
 def project_event_envelope(messages: DataFrame, as_of: AsOf = None, value: str = "value") -> DataFrame:
-    """Normalised business event; ``offset`` stands in for a missing event id."""
+    """Normalised business event; ``offset`` stands in for a missing event id.
+
+    A missing time is the evaluation time; a time that cannot be read stays NULL, for the dead letters.
+    """
     event = F.from_json(F.col(value).cast("string"), EVENTO_NEGOCIO)
     parsed = messages.select("offset", event.alias("e"))
 
@@ -38,7 +41,7 @@ def project_event_envelope(messages: DataFrame, as_of: AsOf = None, value: str =
 
     return parsed.select(
         F.coalesce(filled("eventId"), F.col("offset").cast("string")).alias("transaction_id"),
-        F.coalesce(F.col("e.timestamp").cast("timestamp"), moment(as_of)).alias("timestamp"),
+        F.when(filled("timestamp").isNull(), moment(as_of)).otherwise(F.col("e.timestamp").try_cast("timestamp")).alias("timestamp"),
         F.coalesce(filled("tipoTransacao"), F.col("e.eventType"), F.lit("DESCONHECIDO")).alias("tipo"),
         F.coalesce(F.col("e.valor"), F.lit(0.0)).alias("valor"),
         F.coalesce(F.col("e.clienteId"), F.lit(0)).alias("cliente_id"),

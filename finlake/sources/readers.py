@@ -41,17 +41,6 @@ def read_jdbc(
     return reader.load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a small table.
-
-    A file with one row group is read by one task, however costly the work on its rows. Spark cuts
-    files so that fewer splits than cores means at most ``spark.sql.files.openCostInBytes`` (4 MB)
-    per core, so what is moved here is small; larger tables are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType = TRANSACAO) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

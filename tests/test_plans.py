@@ -34,7 +34,7 @@ COMPARED = [
     "aggregate_windows", "live_metrics", "minute_metrics", "running_metrics", "customer_profile", "risk_score_scaled",
     "credit_features", "fraud_features", "fraud_features_past_only", "customer_features", "churn_features",
     "rolling_30d", "point_in_time_features", "sliding_approval", "alert_r2_hourly", "alert_r3", "alert_r4",
-    "alert_r8_daily", "dq_report", "pii_matches", "data_subjects", "compliance_report", "audit_report",
+    "alert_r8_12h", "dq_report", "pii_matches", "data_subjects", "compliance_report", "audit_report",
     "divergence_metrics", "cdc_apply", "upsert",
 ]
 

@@ -141,7 +141,7 @@ def test_topic_messages(spark, landed, tmp_path):
 def test_drain_topics(spark, tmp_path):
     messages = [
         ("cdc.contas", '{"op":"c","ts_ms":1722830400000,"after":{"id":1,"saldo":10}}'),
-        ("cdc.transacoes", '{"op":"c","ts_ms":1722830400000,"after":{"id":2,"saldo":20}}'),
+        ("cdc.transacoes", '{"op":"c","ts_ms":1722830400000,"after":{"id":2,"valor":20,"canal":"WEB"}}'),
         ("cdc.contas", '{"op":"u","ts_ms":1722830401000,"after":{"id":1,"saldo":11}}'),
         ("cdc.contas", None),
         ("cdc.contas", '{"op":"d","ts_ms":1722830402000,"before":{"id":3,"saldo":5}}'),
@@ -151,9 +151,11 @@ def test_drain_topics(spark, tmp_path):
     spark.createDataFrame(messages, "topic string, value string").coalesce(1).write.parquet(source)
     stream_df = spark.readStream.schema("topic string, value string").parquet(source)
     out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "cp")
-    cdc.drain_topics(stream_df, "id long, saldo double", out, checkpoint)
-    cdc.drain_topics(stream_df, "id long, saldo double", out, checkpoint)
-    bronze = spark.read.parquet(out)
-    assert rows(bronze.groupBy("tabela").count()) == [("contas", 3), ("transacoes", 1)]
-    current = cdc.apply_cdc(bronze.where("tabela = 'contas'").select("id", "saldo", "_cdc_op", "_cdc_ts", "_cdc_deleted"), ["id"])
+    ddl = {"cdc.contas": "id long, saldo double", "cdc.transacoes": "id long, valor double, canal string"}
+    cdc.drain_topics(stream_df, ddl, out, checkpoint)
+    cdc.drain_topics(stream_df, ddl, out, checkpoint)
+    assert rows(spark.read.parquet(f"{out}/transacoes").select("id", "valor", "canal")) == [(2, 20.0, "WEB")]
+    bronze = spark.read.parquet(f"{out}/contas")
+    assert bronze.count() == 3
+    current = cdc.apply_cdc(bronze.select("id", "saldo", "_cdc_op", "_cdc_ts", "_cdc_deleted"), ["id"])
     assert rows(current) == [(1, 11.0)]
