@@ -11,6 +11,7 @@ from conftest import SF
 import __spark_entry__ as entry
 from check import TABLES, rows_of
 from finlake.operators import enrich, metrics, reports
+from finlake.plans import ORACLE, QUERIES
 from finlake.sources.testdata import eventos, transacoes
 
 
@@ -48,12 +49,21 @@ def test_query_agrees_with_sql(spark, con, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cur.fetchall())
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_library_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["rolling_30d", "rolling_skewed", "fraud_features", "other_transactions_open"])
+def test_ordered_operators_read_the_fact_twice_at_most(spark, name):
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    final = plan(df).partition("== Initial Plan ==")[0]
+    assert 1 <= final.count("- Scan parquet") <= 2
 
 
 def test_no_query_pairs_everything_or_leaves_the_jvm(spark):
-    for name, build in entry.queries().items():
+    for name, build in QUERIES.items():
         text = plan(build(spark, SF))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "PythonUDF"):
             assert bad not in text, f"{name}: {bad}"
