@@ -29,7 +29,10 @@ def _log(df: DataFrame, user: Column, table: str, operation: str, tag: str, at:
 
 
 def changed_fields(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of either side with a map of the fields that differ; unchanged rows are left out."""
+    """Keys of either side with a map of the fields that differ; unchanged rows are left out.
+
+    Rows that only one side has are changes even where all their fields are NULL.
+    """
     names = list(dict.fromkeys(c for c in [*old.columns, *new.columns] if c not in keys))
 
     def side(df: DataFrame, alias: str) -> DataFrame:
@@ -49,10 +52,10 @@ def changed_fields(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
         )
         for c in names
     ]
-    changes = F.map_from_entries(F.array_compact(F.array(*entries))).alias("changes")
+    changes = F.map_from_entries(F.array_compact(F.array(*entries)))
     gone, added = F.col("n").isNull(), F.col("o").isNull()
     action = F.when(gone, "DELETE").when(added, "INSERT").otherwise("MODIFY").alias("acao")
-    return both.select(*keys, action, changes).where(F.size("changes") > 0)
+    return both.where(gone | added | (F.size(changes) > 0)).select(*keys, action, changes.alias("changes"))
 
 
 def long_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -102,53 +102,52 @@ def processing_records(records: DataFrame, subjects: DataFrame) -> tuple[DataFra
     return joined, records.join(known, "data_subject_id", "left_anti")
 
 
+def _expiration() -> Column:
+    return F.col("processing_date") + F.make_dt_interval(days=F.col("retention_period"))
+
+
+def _is_expired(as_of: AsOf) -> Column:
+    return (F.col("retention_period") != PERMANENT) & (moment(as_of) > _expiration())
+
+
 def expired_records(records: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Records past their retention, with whole days overdue; permanent ones never expire."""
-    expiration = F.col("processing_date") + F.make_dt_interval(days=F.col("retention_period"))
-    overdue = F.unix_micros(moment(as_of)) - F.unix_micros(F.col("expiration_date"))
-    return (
-        records.where(F.col("retention_period") != PERMANENT)
-        .withColumn("expiration_date", expiration)
-        .where(moment(as_of) > F.col("expiration_date"))
-        .select(
-            F.col("id").alias("record_id"), "data_subject_id", "processing_purpose", "expiration_date",
-            F.floor(overdue / 86_400_000_000).cast("int").alias("days_overdue"),
-        )
+    overdue = F.unix_micros(moment(as_of)) - F.unix_micros(_expiration())
+    return records.where(_is_expired(as_of)).select(
+        F.col("id").alias("record_id"), "data_subject_id", "processing_purpose", _expiration().alias("expiration_date"),
+        F.floor(overdue / 86_400_000_000).cast("int").alias("days_overdue"),
     )
 
 
 def data_inventory(subjects: DataFrame, records: DataFrame) -> DataFrame:
     """Inventory as (metrica, chave, total) rows: totals, distributions, purposes, categories."""
 
-    def by(df: DataFrame, column: Column, name: str) -> DataFrame:
-        counted = df.groupBy(column.cast("string").alias("chave")).agg(F.count(F.lit(1)).alias("total"))
-        return counted.select(F.lit(name).alias("metrica"), "chave", "total")
-
-    def sides(df: DataFrame, dimensions: dict[str, str], total: str) -> DataFrame:
-        # One pass: every row counts once per dimension and once for the total.
-        pairs = [F.struct(F.lit(total).alias("metrica"), F.lit(None).cast("string").alias("chave"))]
-        pairs += [
-            F.struct(F.lit(name).alias("metrica"), F.col(c).cast("string").alias("chave"))
-            for name, c in dimensions.items()
-        ]
-        exploded = df.select(F.inline(F.array(*pairs)))
-        return exploded.groupBy("metrica", "chave").agg(F.count(F.lit(1)).alias("total"))
-
-    categories = records.select(F.explode("data_categories").alias("c"))
-    return (
+    def sides(df: DataFrame, dimensions: dict[str, str], total: str, lists: dict[str, str]) -> DataFrame:
+        # One pass: every row counts once per dimension, list element and total.
+        def entry(name: str, value: Column) -> Column:
+            return F.struct(F.lit(name).alias("metrica"), value.cast("string").alias("chave"))
+
+        def listed_entries(name: str, values: Column) -> Column:
+            return F.transform(values, lambda x: entry(name, x))
+
+        entries = F.array(entry(total, F.lit(None)), *[entry(name, F.col(c)) for name, c in dimensions.items()])
+        for name, c in lists.items():
+            listed = F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType))
+            entries = F.concat(entries, listed_entries(name, listed))
+        return df.select(F.inline(entries)).groupBy("metrica", "chave").agg(F.count(F.lit(1)).alias("total"))
+
+    return sides(
+        subjects,
+        {"classification_distribution": "data_classification", "retention_distribution": "data_retention"},
+        "total_data_subjects",
+        {},
+    ).unionByName(
         sides(
-            subjects,
-            {"classification_distribution": "data_classification", "retention_distribution": "data_retention"},
-            "total_data_subjects",
-        )
-        .unionByName(
-            sides(
-                records,
-                {"legal_basis_distribution": "legal_basis", "processing_purposes": "processing_purpose"},
-                "total_processing_records",
-            )
+            records,
+            {"legal_basis_distribution": "legal_basis", "processing_purposes": "processing_purpose"},
+            "total_processing_records",
+            {"data_categories": "data_categories"},
         )
-        .unionByName(by(categories, F.col("c"), "data_categories"))
     )
 
 
@@ -162,8 +161,8 @@ def compliance_report(subjects: DataFrame, records: DataFrame, as_of: AsOf = Non
     r = records.agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("legal_basis") == "consent").alias("consent"),
+        F.count_if(_is_expired(as_of)).alias("expired"),
     )
-    e = expired_records(records, as_of).agg(F.count(F.lit(1)).alias("expired"))
     advice = F.array_compact(
         F.array(
             F.when(
@@ -175,7 +174,7 @@ def compliance_report(subjects: DataFrame, records: DataFrame, as_of: AsOf = Non
             F.when(F.col("permanent") > F.col("subjects") * 0.3, F.lit("Revisar política de retenção permanente")),
         )
     )
-    return side_by_side(s, r, e).select(
+    return side_by_side(s, r).select(
         F.when(F.col("expired") == 0, "COMPLIANT").otherwise("NON_COMPLIANT").alias("compliance_status"),
         F.col("subjects").alias("total_data_subjects"),
         F.col("records").alias("total_processing_records"),

@@ -76,7 +76,7 @@ def reconcile_daily(
     limit_pct: float = LIMIT_PCT,
     compare_sum: bool = False,
 ) -> DataFrame:
-    """Transactions per day on both sides; a day only one side has counts as 0 on the other."""
+    """Transactions per day on both sides, by day; a day only one side has counts as 0 on the other."""
     since = ago(f"{days} days", as_of)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
@@ -88,7 +88,8 @@ def reconcile_daily(
     pct = divergence_pct(F.col("core_n"), F.col("lake_n"))
     if compare_sum:
         pct = F.greatest(pct, divergence_pct(F.col("core_valor"), F.col("lake_valor")))
-    return joined.withColumn("divergencia_pct", pct).withColumn("diverge", F.col("divergencia_pct") > limit_pct)
+    rows = joined.withColumn("divergencia_pct", pct).withColumn("diverge", F.col("divergencia_pct") > limit_pct)
+    return rows.orderBy("dia")
 
 
 def reconcile_external(

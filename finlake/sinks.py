@@ -129,12 +129,18 @@ def purge_counts(
 
 
 def save_report(report: DataFrame, path: str, as_of: AsOf = None) -> None:
-    """Append the run to the history and replace the latest copy; ``timestamp`` is UTC with a Z."""
+    """Add the run to the history and replace the latest copy; ``timestamp`` is UTC with a Z.
+
+    A repeated run replaces its own folder of the history.
+    """
     stamp = F.date_format(moment(as_of), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     stamped = report.withColumn("timestamp", stamp)
     run = stamped.withColumn("run_ts", F.date_format(moment(as_of), "yyyyMMdd_HHmmss"))
-    run.write.mode("append").partitionBy("run_ts").json(f"{path}/history")
-    stamped.write.mode("overwrite").json(f"{path}/latest")
+    run = run.persist()
+    history = run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    history.partitionBy("run_ts").json(f"{path}/history")
+    run.drop("run_ts").write.mode("overwrite").json(f"{path}/latest")
+    run.unpersist()
 
 
 def score_write_back(scores: DataFrame) -> DataFrame:

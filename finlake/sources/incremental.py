@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +27,13 @@ def next_watermark(df: DataFrame, ts: str = "data_atualizacao") -> DataFrame:
 
 def read_watermark(spark: SparkSession, path: str) -> datetime | None:
     """Newest stored watermark, or None before the first run."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    fs = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(location):
+    try:
+        stored = spark.read.schema("watermark timestamp").parquet(path)
+        return stored.agg(F.max("watermark")).head()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return spark.read.schema("watermark timestamp").parquet(path).agg(F.max("watermark")).head()[0]
 
 
 def write_watermark(watermark: DataFrame, path: str) -> None:
