@@ -23,15 +23,15 @@ MIN_GRAM, MAX_GRAM = 3, 4
 #: Labelled rows the model is fitted on: those with the smallest hash of the id.
 MAX_TRAIN_ROWS = 4000
 REPEAT = BUCKETS  # the vector of a word that repeats the one before
-MAX_WORDS, MAX_WORD_BYTES, PART = 300_000, 1 << 24, 1 << 16
+MAX_WORDS, MAX_WORD_BYTES, PART = 600_000, 1 << 25, 1 << 16
 
 
 def features_of(word: bytes) -> list[int]:
     """Buckets of a word and of its character n-grams (UTF-8 bytes, with marks at both ends)."""
     marked = b"<" + word + b">"
-    out = [crc32(marked, 1) % BUCKETS]
+    out = [crc32(marked, 1) & (BUCKETS - 1)]  # BUCKETS is a power of two
     for n in range(MIN_GRAM, MAX_GRAM + 1):
-        out += [crc32(marked[i : i + n]) % BUCKETS for i in range(len(marked) - n + 1)]
+        out += [crc32(marked[i : i + n]) & (BUCKETS - 1) for i in range(len(marked) - n + 1)]
     return out
 
 
@@ -87,7 +87,7 @@ def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
         def of(word: bytes) -> np.ndarray:
             found = known.get(word)
             if found is None:
-                if len(known) >= MAX_WORDS // 10:
+                if len(known) >= MAX_WORDS // 20:
                     known.clear()
                 found = known[word] = np.array(features_of(word), np.int32)
             return found
@@ -140,7 +140,8 @@ class _Words(dict):
 
     def __init__(self, buckets: np.ndarray):
         super().__init__()
-        self.buckets, self.size = buckets, 0
+        # Plain lists: a word has few features, less than an array operation is worth.
+        self.adds, self.size = [column.tolist() for column in buckets.T], 0
         self.table = np.zeros((1 << 12, buckets.shape[1] + 1))
         self.repeat = np.append(buckets[REPEAT], 1)
 
@@ -149,8 +150,7 @@ class _Words(dict):
         row = len(self)
         if row >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[row, :-1] = self.buckets[found].sum(axis=0)
-        self.table[row, -1] = len(found)
+        self.table[row] = [*(sum(map(adds.__getitem__, found)) for adds in self.adds), len(found)]
         self[word] = row
         self.size += len(word)
         return row
