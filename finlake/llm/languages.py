@@ -27,7 +27,43 @@ _WORD = re.compile(r"[^\W\d_]+")
 def grams_of(word: str) -> list[str]:
     """Character n-grams of a word with a blank at each end; the lone blank is none."""
     marked = f" {word} "
-    return [g for n in range(1, MAX_GRAM + 1) for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) != " "]
+    out = list(word)
+    for n in range(2, MAX_GRAM + 1):
+        out += [marked[i : i + n] for i in range(len(marked) - n + 1)]
+    return out
+
+
+class _Numbers(dict):
+    """Numbers in the order of first use."""
+
+    def __missing__(self, gram: str) -> int:
+        number = self[gram] = len(self)
+        return number
+
+
+class _Words(dict):
+    """Number of each word, and the numbers of its n-grams one after the other in ``flat``."""
+
+    def __init__(self, number: _Numbers):
+        super().__init__()
+        self.number = number
+        self.flat, self.fresh = np.zeros(1 << 16, np.int32), []
+        self.used, self.ends = 0, [0]
+
+    def __missing__(self, word: str) -> int:
+        self.fresh += map(self.number.__getitem__, grams_of(word))
+        self.ends.append(self.used + len(self.fresh))
+        number = self[word] = len(self)
+        return number
+
+    def settle(self) -> None:
+        """Put the n-grams of words met since the last call into ``flat``."""
+        if self.fresh:
+            end = self.used + len(self.fresh)
+            if end > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), end - len(self.flat)), np.int32)])
+            self.flat[self.used : end] = self.fresh
+            self.used, self.fresh = end, []
 
 
 class Grams:
@@ -39,25 +75,28 @@ class Grams:
 
     def forget(self) -> None:
         self.forgotten += 1
-        self.number: dict[str, int] = {g: i for i, g in enumerate(self.fixed)}
-        self.words: dict[str, np.ndarray] = {}
+        self.number = _Numbers((g, i) for i, g in enumerate(self.fixed))
+        self.words = _Words(self.number)
+
+    def full(self) -> bool:
+        return len(self.words) > MAX_WORDS or len(self.number) > len(self.fixed) + MAX_GRAMS
 
     def counts(self, text: str) -> np.ndarray:
         """Occurrences of every numbered n-gram in a text."""
-        if len(self.words) > MAX_WORDS or len(self.number) > len(self.fixed) + MAX_GRAMS:
+        if self.full():
             self.forget()
-        number, known = self.number, self.words
         words = Counter(_WORD.findall(text.lower()))
-        parts = []
-        for word in words:
-            found = known.get(word)
-            if found is None:
-                found = known[word] = np.array([number.setdefault(g, len(number)) for g in grams_of(word)], np.int32)
-            parts.append(found)
-        if not parts:
-            return np.zeros(len(number), np.int64)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-        return np.bincount(np.concatenate(parts), weights=times, minlength=len(number)).astype(np.int64)
+        if not words:
+            return np.zeros(len(self.number), np.int64)
+        at = [self.words[w] for w in words]
+        self.words.settle()
+        ends = self.words.ends
+        first = np.array([ends[i] for i in at])
+        size = np.array([ends[i + 1] for i in at]) - first
+        before = np.cumsum(size) - size
+        places = np.repeat(first - before, size) + np.arange(int(size.sum()))
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), size)
+        return np.bincount(self.words.flat[places], weights=times, minlength=len(self.number)).astype(np.int64)
 
 
 def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -80,7 +119,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                if len(grams.words) > MAX_WORDS - 1 or len(grams.number) > MAX_GRAMS:
+                if grams.full():
                     yield from emptied()
                 found = grams.counts(text.decode())
                 total = totals.get(lang)
