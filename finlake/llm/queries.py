@@ -141,7 +141,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_jaccard_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similarity_classes(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
 @query("op8_packing")

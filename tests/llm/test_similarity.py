@@ -46,6 +46,32 @@ def found_classes(df):
     return sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=repr)
 
 
+def link_counts(rows):
+    """Number of other rows each row links with, by brute force."""
+    sets = [shingles(t) for _, t in rows]
+    counts = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if union and 100 * len(sets[i] & sets[j]) >= 75 * union:
+                counts[i] += 1
+                counts[j] += 1
+    return sorted(zip((n for n, _ in rows), counts, strict=True), key=repr)
+
+
+def near_copies(seed, documents, words):
+    """Copies of one text with up to two words replaced, some texts more than once."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for i in range(documents):
+        text = list(base)
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(words)] = f"e{rng.randrange(50)}"
+        rows += [(1000 + i, " ".join(text))] * (1 + (i % 9 == 0))
+    return rows
+
+
 def varied(seed, documents, words, edits):
     """Groups of documents that drift apart edit by edit, some around a shared passage."""
     rng = random.Random(seed)
@@ -78,6 +104,16 @@ def test_large_regions_take_levels_and_blocks(spark, monkeypatch):
     assert found_classes(similarity_classes(docs_of(spark, rows))) == classes(rows)
 
 
+@pytest.mark.parametrize("limits", [{}, {"FEW": 8}, {"FEW": 8, "REGION_WORK": 20_000}, {"FEW": 8, "REGION_SHINGLES": 400, "REGION_WORK": 5_000, "LEVELS": 1}])
+def test_every_link_is_counted_once(spark, monkeypatch, limits):
+    for name, value in {"SEEN": 3, **limits}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rows = near_copies(5, 60, 60) + varied(6, 48, 50, 4) + ODD
+    found = similarity_classes(docs_of(spark, rows)).collect()
+    assert sorted(((r["id"], r["n_links"]) for r in found), key=repr) == link_counts(rows)
+    assert max(n for _, n in link_counts(rows)) > 40
+
+
 def test_similarity_classes_of_nothing(spark):
     assert similarity_classes(docs_of(spark, ODD).limit(0)).count() == 0
     assert [r["component_id"] for r in similarity_classes(docs_of(spark, [(1, None), (2, "")])).orderBy("id").collect()] == [1, 2]
