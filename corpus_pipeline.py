@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm.common import not_remainder, settle
+from finlake.llm.common import not_remainder, numbered, settle
 from finlake.llm.decontaminate import contamination
 from finlake.llm.jaccard import similarity_classes
 from finlake.llm.line_dedup import drop_repeated_lines
@@ -24,12 +24,12 @@ ORACLE_SQL = None
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MIN_QUALITY = 0.7
+ROW = "__row"
 
 
 def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The stored table less the rows numbered in ``rows`` (monotonically_increasing_id over its scan)."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(rows.select(F.col("row").alias("__row")), "__row", "left_anti").select(docs.columns)
+    """The table less the rows whose stored number (ROW) is in ``rows``, without the number."""
+    return docs.join(rows.select(F.col("row").alias(ROW)), ROW, "left_anti").drop(ROW)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +48,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the smallest id stays."""
-    return without_rows(docs, similarity_classes(docs).where("row <> first_row"))
+    docs = numbered(docs, ROW)
+    return without_rows(docs, similarity_classes(docs, row_col=ROW).where("row <> first_row"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any word inside a benchmark window go."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    docs = numbered(docs, ROW)
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), row_col=ROW)
     return without_rows(docs, found.where("n_hit > 0"))
 
 

@@ -33,17 +33,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch[0]
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back: lineage ends here, lost executors repeat nothing.
 
     The folder is not removed, since the frame returned is read lazily; its owner clears ``<scratch>/finlake-llm``.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/finlake-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with a number, written once: numbers made anew by another scan may differ, as splits follow the executors."""
+    return settle(rows.withColumn(name, F.monotonically_increasing_id()), "numbered", "zstd")
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; a null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

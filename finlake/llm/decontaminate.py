@@ -153,11 +153,11 @@ def _extended(met: DataFrame, window: int, gram: int) -> DataFrame:
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-    item_text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
+    item_text_col: str = "text", window: int = WINDOW, gram: int = GRAM, row_col: str | None = None,
 ) -> DataFrame:
     """Every document row with the words that occurrences of item windows cover.
 
-    Returns row (monotonically_increasing_id over the scan), id, n_words, n_hit, item_ids (sorted as text, each once), spans (first and end word of the shared runs). A
+    Returns row (``row_col`` of a stored table, else numbers known in the result only), id, n_words, n_hit, item_ids (sorted as text, each once), spans (first and end word of the shared runs). A
     null or empty text has no words, an item without words has no window, an item without an id goes as ''. Repeated rows
     are looked at one by one; empty tables give empty results or no hits.
     """
@@ -168,7 +168,7 @@ def contamination(
     )
     lengths = [r[0] for r in of_items.where(F.col("size") < window).select("size").distinct().collect()]
     doc_rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     of_docs = settle(fingerprints(doc_rows, window, gram, lengths, False, _bit_map(of_items)), "doc-prints")
     met = of_docs.select("row", F.explode("prints").alias("p")).select("row", "p.*").join(of_items, ["print", "size"])

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from finlake.llm import jaccard
 from finlake.llm.decontaminate import contamination, winnowed
 from finlake.llm.jaccard import join_region, similarity_classes
@@ -125,6 +126,26 @@ def test_similarity_query_against_brute_force(spark):
     assert got == classes(rows)
 
 
+@pytest.mark.parametrize("stage", ["near_copy_stage", "benchmark_stage"])
+def test_stages_do_not_depend_on_how_a_scan_splits(spark, tmp_path, stage):
+    """The result is planned with other file splits than the jobs before it."""
+    rows = varied(8, 48, 40, 2) + [(900 + i, f"hit{i} " + " ".join(f"b{j}" for j in range(12))) for i in range(6)]
+    docs_of(spark, rows).repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(f"b{j}" for j in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    first = {n: c for n, _, c in classes(rows)}
+    expected = sorted(n for n, _ in rows if (n == first[n] if stage == "near_copy_stage" else n < 900))
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        kept = getattr(corpus_pipeline, stage)(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+        spark.conf.set(name, "1k")
+        assert sorted(r["doc_id"] for r in kept.collect()) == expected
+    finally:
+        for key in (name, "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"):
+            spark.conf.unset(key)
+
+
 def test_join_region_keeps_connection():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 10**6, 40)
