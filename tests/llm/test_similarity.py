@@ -115,6 +115,21 @@ def test_every_link_is_counted_once(spark, monkeypatch, limits):
     assert max(n for _, n in link_counts(rows)) > 40
 
 
+def test_only_regions_of_few_go_to_the_sketch_test(spark, monkeypatch):
+    seen, possible = [], jaccard._possible
+
+    def spied(members, percent):
+        seen.extend(r["count"] for r in members.groupBy("pivot").count().collect())
+        return possible(members, percent)
+
+    monkeypatch.setattr(jaccard, "FEW", 8)
+    monkeypatch.setattr(jaccard, "_possible", spied)
+    rows = near_copies(9, 40, 60) + varied(10, 24, 50, 3)
+    found = similarity_classes(docs_of(spark, rows))
+    assert found_classes(found) == classes(rows)
+    assert 1 < min(seen) <= max(seen) <= 8
+
+
 def test_similarity_classes_of_nothing(spark):
     assert similarity_classes(docs_of(spark, ODD).limit(0)).count() == 0
     assert [r["component_id"] for r in similarity_classes(docs_of(spark, [(1, None), (2, "")])).orderBy("id").collect()] == [1, 2]
