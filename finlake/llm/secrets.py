@@ -33,6 +33,8 @@ _RUN = r"[A-Za-z0-9+/_=.~-]"
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+#: Joiners at which a run is parted, those of paths before those within names.
+_JOINERS = (re.compile(r"[^/.=~]+"), re.compile(r"[^/.=~+_-]+"))
 
 
 @lru_cache(maxsize=4)
@@ -42,15 +44,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def is_known(run: str) -> bool:
+def is_known(run: str, is_word: Callable[[str], bool]) -> bool:
     """Digests, UUIDs, numbers and identifiers: not secrets, however costly they are."""
     if _DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or _UUID.fullmatch(run):
         return True
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+    if not any(c.isalpha() for c in run):
         return True
-    # Names of several words: few switches between letters and digits for their length.
-    parts = _PART.findall(run)
-    return len(run) >= 5 * len(parts)
+    # Identifiers: nearly all letters stand in words; a few letters beside them are versions and initials.
+    words = [w for w in _PART.findall(run) if w[0].isalpha()]
+    return 5 * sum(len(w) for w in words if is_word(w)) >= 4 * sum(map(len, words))
 
 
 def make_finder(ranks: dict[bytes, int], min_run: int, max_ratio: float) -> Callable[[str], list[tuple[str, int, int]]]:
@@ -64,6 +66,26 @@ def make_finder(ranks: dict[bytes, int], min_run: int, max_ratio: float) -> Call
     access, hexes = re.compile(r"AKIA[A-Z0-9]{%d,}" % (MIN_ACCESS - 4)), re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
     runs = re.compile(_RUN + "{%d,}" % min_run)
 
+    def costly(run: str) -> bool:
+        return len(run) < max_ratio * len(encoding.encode_ordinary(run))
+
+    def is_word(letters: str) -> bool:
+        return len(letters) >= 3 * len(encoding.encode_ordinary(letters))
+
+    def judged(text: str, start: int, end: int, level: int = 0) -> list[tuple[int, int, int]]:
+        """The stretch of a run if it is a secret, else those of its parts that are."""
+        run = text[start:end].strip("=.-_~/+")
+        if len(run) < min_run:
+            return []
+        start = text.index(run, start)
+        end = start + len(run)
+        if costly(run) and not is_known(run, is_word):
+            return [(3, start, end)]
+        if level == len(_JOINERS):
+            return []
+        parts = [m.span() for m in _JOINERS[level].finditer(run)]
+        return [x for s, e in parts if e - s >= min_run for x in judged(text, start + s, start + e, level + 1)]
+
     def find(text: str) -> list[tuple[str, int, int]]:
         found = []
         if trigger.search(text):
@@ -74,13 +96,11 @@ def make_finder(ranks: dict[bytes, int], min_run: int, max_ratio: float) -> Call
         found += [(2, *m.span()) for m in hexes.finditer(text)]
         base = list(found)
         for m in long_runs:
-            run = m[0].strip("=.-_~/+")
-            start = m.start() + m[0].index(run) if run else 0
-            end = start + len(run)
-            if len(run) < min_run or is_known(run) or any(s < end and start < e for _, s, e in base):
-                continue
-            if len(run) < max_ratio * len(encoding.encode_ordinary(run)):
-                found.append((3, start, end))
+            at = m.start()
+            for s, e in sorted((s, e) for _, s, e in base if s < m.end() and m.start() < e):
+                found += judged(text, at, s) if s > at else []
+                at = max(at, e)
+            found += judged(text, at, m.end()) if at < m.end() else []
         return [(KINDS[k], s, e) for s, k, e in sorted((s, k, e) for k, s, e in found)]
 
     return find
