@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from . import recurrent
 from .common import as_bytes, fields_and, per_batch, settle
 
-#: Most words sent to every task, most bytes of one, and symbols of the model (two of them UNKNOWN and END).
-HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 1024
+#: Most words sent to every task, most bytes of one, and fewest symbols of the model (two of them UNKNOWN and END).
+HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 2048
+#: Beyond the fewest, one symbol for so many distinct words, up to a model that tasks can hold.
+WORDS_A_SYMBOL, MOST_SYMBOLS = 16, 1 << 14
 ROUNDS, SMOOTH, COUNTER_WORDS, CHUNKS, FAN_IN = 2, 0.1, 250_000, 32, 16
 UNKNOWN, END = 0, 1
 TAIL_ROWS = 256
@@ -74,6 +76,11 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
     return {r["word"].encode(): r["c"] for r in sorted(found, key=lambda r: (-r["c"], r["word"]))}
 
 
+def symbol_count(n_distinct: int) -> int:
+    """Symbols of the model for so many distinct words."""
+    return max(SYMBOLS, min(MOST_SYMBOLS, n_distinct // WORDS_A_SYMBOL))
+
+
 class Numbers(dict):
     """Symbol of a word; UNKNOWN, and no entry, for all others."""
 
@@ -138,7 +145,7 @@ def _tail_array(counters: list[Counter]) -> pa.Array:
 
 def lm_scores(
     docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = (),
-    rounds: int = ROUNDS, symbols: int = SYMBOLS,
+    rounds: int = ROUNDS, symbols: int | None = None,
 ) -> DataFrame:
     """(row, keep columns, n_tokens, n_known, train_tokens, base_score, score) of every row, log10.
 
@@ -151,6 +158,7 @@ def lm_scores(
     counts = settle(word_counts(training.select("text")), "word-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("word") == END_WORD, F.col("c"))), F.lit(0)))
     n_train, n_distinct, n_ends = totals.first()
+    symbols = symbols or symbol_count(n_distinct)
     head = head_words(counts)
     names = list(head)[: symbols - 2]
     numbers = {w: i + 2 for i, w in enumerate(names)}

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-HIDDEN, CLASS_SIZE, LANES, WINDOW, RATE = 12, 32, 384, 24, 0.15
+HIDDEN, CLASS_SIZE, LANES, WINDOW, RATE = 16, 32, 384, 24, 0.1
 HALF = np.float32(0.5)
 LIMIT = np.float32(60)  # of logits, so that their odds fit
 _NAMES = ("enter", "turn", "start", "to_class", "class_bias", "to_symbol", "symbol_bias")

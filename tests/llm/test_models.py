@@ -161,3 +161,19 @@ def test_ranker_forgets_without_changing_results(monkeypatch):
     monkeypatch.setattr(lang, "MAX_WORDS", 3)
     rank = lang.make_ranker(known, 5)
     assert [rank(t) for t in texts] == whole
+
+
+def test_symbols_follow_the_number_of_words(spark, monkeypatch):
+    sizes, new_model = [], recurrent.new_model
+
+    def spied(counts, *more):
+        model = new_model(counts, *more)
+        sizes.append((len(counts), len(model["turn"])))
+        return model
+
+    monkeypatch.setattr(recurrent, "new_model", spied)
+    docs = docs_of(spark, [(i, " ".join(f"w{j}" for j in range(i * 100, i * 100 + 200))) for i in range(40)])
+    assert lm_scoring.lm_scores(docs, F.lit(True), rounds=1).count() == 40
+    monkeypatch.setattr(lm_scoring, "WORDS_A_SYMBOL", 1)
+    lm_scoring.lm_scores(docs, F.lit(True), rounds=1).count()
+    assert sizes == [(2048, 16), (4101, 16)]
