@@ -177,3 +177,11 @@ def test_symbols_follow_the_number_of_words(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "WORDS_A_SYMBOL", 1)
     lm_scoring.lm_scores(docs, F.lit(True), rounds=1).count()
     assert sizes == [(2048, 16), (4101, 16)]
+
+
+def test_classifier_learns_from_six_thousand_rows(spark, monkeypatch):
+    seen, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda rows, classes: seen.append(len(rows)) or train(rows[:10], classes))
+    docs = spark.range(6100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")), F.lit(True))
+    assert seen == [6000]
