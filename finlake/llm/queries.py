@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, is_remainder, not_remainder
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .filter_audit import filter_audit
 from .jaccard import similarity_classes
 from .languages import languages, profiles
 from .line_dedup import drop_repeated_lines
@@ -16,7 +17,9 @@ from .lm_scoring import lm_scores
 from .packing import pack
 from .quality import fit, quality_scores
 from .registry import ORACLE, QUERIES, query, table
+from .resampling import importance_resample
 from .secrets import secret_spans
+from .simhash import simhash_classes
 from .token_counts import token_counts
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -147,3 +150,84 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_filter_audit", r"""
+    WITH RECURSIVE
+    d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (SELECT doc_id, part,
+                 CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                 + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                 + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+                 + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                 + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+          FROM d),
+    g AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+              FROM f LEFT JOIN g USING (doc_id) GROUP BY part, mask),
+    letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    prefixes(prefix, step, before, bit) AS (
+        SELECT '', 0, 0, 0
+        UNION ALL
+        SELECT prefix || letter, step + 1, before | prefixes.bit, letters.bit
+        FROM prefixes, letters WHERE strpos(prefix, letter) = 0),
+    steps AS (
+        SELECT part, prefix, step, right(prefix, 1) AS letter,
+               sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM prefixes, cells WHERE step > 0 GROUP BY part, prefix, step),
+    orders AS (SELECT prefix AS filter_order, unnest(range(1, 6)) AS s FROM prefixes WHERE step = 5),
+    whole AS (SELECT part, filter_order, steps.* EXCLUDE (part) FROM orders JOIN steps ON prefix = filter_order[1:s])
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+    FROM whole""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+BYTES = "list_transform(range(0, len(hex(word)) // 2), lambda i: CAST('0x' || hex(word)[2 * i + 1 : 2 * i + 2] AS UBIGINT))"
+
+
+@query("op12_importance_resampling", f"""
+    WITH crc AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(CAST(n AS UBIGINT), CAST(range(8) AS UBIGINT[])),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END)) AS t),
+    w AS (SELECT doc_id, unnest({WORDS.format(NORMAL)}) AS word FROM documents),
+    b AS (SELECT unnest({WORDS.format(NORMAL)}) AS word FROM benchmark),
+    hashed AS (
+        SELECT word, xor(CAST(4294967295 AS UBIGINT), list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {BYTES}),
+               lambda c, x: xor(t[CAST(xor(c, x) & 255 AS BIGINT) + 1], c >> 8))) % 10000 AS bucket
+        FROM (SELECT word FROM w UNION SELECT word FROM b), crc),
+    raw AS (SELECT bucket, count(*) AS s FROM w JOIN hashed USING (word) GROUP BY bucket),
+    target AS (SELECT bucket, count(*) AS t FROM b JOIN hashed USING (word) GROUP BY bucket),
+    totals AS (SELECT coalesce((SELECT sum(s) FROM raw), 0) AS S, coalesce((SELECT sum(t) FROM target), 0) AS T),
+    gains AS (
+        SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(target.t, 0) + 1 AS DOUBLE) * CAST(totals.S + 10000 AS DOUBLE)
+               / (CAST(coalesce(raw.s, 0) + 1 AS DOUBLE) * CAST(totals.T + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+        FROM raw FULL JOIN target USING (bucket), totals),
+    sums AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM w JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+    scored AS (
+        SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST(CAST('0x' || sha256('2024:' || CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) AS DOUBLE) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+        FROM documents LEFT JOIN sums USING (doc_id)),
+    ranked AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS drawn
+        FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
