@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bitmaps import distinct_counts
 from ..functions.columns import AsOf, is_night, ratio, today
 from .enrich import neutral_fill, nivel_risco
 
@@ -20,28 +21,27 @@ WEIGHTS = {
 }
 
 
-def account_activity(transacoes: DataFrame) -> DataFrame:
-    """Everything the account scores need, in one pass over the transactions.
+def _active_days() -> dict[str, Column]:
+    return {"dias_ativos": F.to_date("data_transacao")}
 
-    Days, kinds, channels and cities of an account are few, so their sets are built with the other
-    sums, on the map side first; distinct counts would copy every transaction once for each.
-    """
-    ts = F.col("data_transacao")
-
-    def distinct(column: str | Column) -> Column:
-        return F.size(F.collect_set(column)).cast("long")
-
-    return transacoes.groupBy("conta_id").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(is_night(ts)).alias("noturnas"),
-        F.count_if(F.col("valor") > 10000).alias("alto_valor"),
-        distinct(F.to_date(ts)).alias("dias_ativos"),
-        distinct("tipo_transacao").alias("tipos"),
-        distinct("canal").alias("canais"),
-        distinct("cidade").alias("cidades"),
+
+def _behaviour_counts() -> dict[str, Column]:
+    return {
+        "total": F.lit(True),
+        "noturnas": is_night(F.col("data_transacao")),
+        "alto_valor": F.col("valor") > 10000,
+    }
+
+
+def account_activity(transacoes: DataFrame) -> DataFrame:
+    """Everything the account scores need; days, kinds, channels and cities of an account are counted as bitmaps."""
+    return distinct_counts(
+        transacoes, "conta_id", _active_days(), {"tipos": "tipo_transacao", "canais": "canal", "cidades": "cidade"},
+        _behaviour_counts(),
     )
 
 
+# The cuts, factors and points of the scores below.
 def _behaviour() -> Column:
     regular = F.least(F.col("dias_ativos") / 90.0, F.lit(1.0))
     night, high = ratio(F.col("noturnas"), F.col("total")), ratio(F.col("alto_valor"), F.col("total"))
@@ -68,27 +68,17 @@ def account_scores(transacoes: DataFrame) -> DataFrame:
 
 
 def score_behaviour(transacoes: DataFrame) -> DataFrame:
-    ts = F.col("data_transacao")
-    activity = transacoes.groupBy("conta_id").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(is_night(ts)).alias("noturnas"),
-        F.count_if(F.col("valor") > 10000).alias("alto_valor"),
-        distinct(F.to_date(ts)).alias("dias_ativos"),
-    )
+    activity = distinct_counts(transacoes, "conta_id", _active_days(), counts=_behaviour_counts())
     return activity.select("conta_id", _behaviour().alias("score_comportamento"))
 
 
 def score_activity(transacoes: DataFrame) -> DataFrame:
-    activity = transacoes.groupBy("conta_id").agg(
-        F.countDistinct(F.to_date("data_transacao")).alias("dias_ativos"),
-        distinct("tipo_transacao").alias("tipos"),
-        distinct("canal").alias("canais"),
-    )
+    activity = distinct_counts(transacoes, "conta_id", _active_days(), {"tipos": "tipo_transacao", "canais": "canal"})
     return activity.select("conta_id", _activity().alias("score_atividade"))
 
 
 def score_concentration(transacoes: DataFrame) -> DataFrame:
-    cities = transacoes.groupBy("conta_id").agg(distinct("cidade").alias("cidades"))
+    cities = distinct_counts(transacoes, "conta_id", values={"cidades": "cidade"})
     return cities.select("conta_id", _concentration().alias("score_concentracao"))
 
 
