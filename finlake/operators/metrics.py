@@ -194,12 +194,12 @@ def minute_metrics(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
-def running_metrics(
-    df: DataFrame, every: int = 100, sequence: str = "id", start: DataFrame | None = None
-) -> DataFrame:
-    """Running figures per type and status, at every ``every``-th transaction of the key."""
-    keyed = df.withColumn("chave", F.concat_ws("_", "tipo_transacao", "status"))
-    running = running_totals(keyed, ["chave"], sequence, "valor", start=start)
+def type_and_status() -> Column:
+    return F.concat_ws("_", "tipo_transacao", "status")
+
+
+def running_emissions(running: DataFrame, every: int) -> DataFrame:
+    """Records of running totals (chave, n, total, hi, lo, seq) at every ``every``-th row of a key."""
     return running.where(F.col("n") % every == 0).select(
         F.lit("TRANSACTION_AGGREGATE").alias("metric_type"),
         F.col("chave").alias("key"),
@@ -212,10 +212,18 @@ def running_metrics(
     )
 
 
+def running_metrics(
+    df: DataFrame, every: int = 100, sequence: str = "id", start: DataFrame | None = None
+) -> DataFrame:
+    """Running figures per type and status, at every ``every``-th transaction of the key."""
+    keyed = df.withColumn("chave", type_and_status())
+    return running_emissions(running_totals(keyed, ["chave"], sequence, "valor", start=start), every)
+
+
 def running_state(df: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """Totals per key after these rows: what the next micro-batch starts from."""
     keyed = df.select(
-        F.concat_ws("_", "tipo_transacao", "status").alias("chave"),
+        type_and_status().alias("chave"),
         F.lit(1).cast("long").alias("n"),
         *[F.col("valor").alias(c) for c in ("total", "hi", "lo")],
     )

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     # Split a skewed join even when an aggregate on the same key follows it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Stream state on disk with changes only in the checkpoint; stateful processors need this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

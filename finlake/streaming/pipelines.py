@@ -5,13 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts, metrics, windows
 from ..operators.enrich import enrich_transactions
-from ..operators.latest import latest_by_key
-from ..sinks import write_batch
 from .runner import BatchWriter, run_stream
 
 # How late an event may be, per pipeline.
@@ -68,46 +65,6 @@ def rule_pipeline(
     ]
 
 
-def running_metrics_writer(path: str, every: int = 100, sequence: str = "id") -> BatchWriter:
-    """Every-Nth emission over a stream.
-
-    A batch continues from the totals the batch before it stored below ``path/state``; both
-    outputs of a batch are replaced when it is repeated. The state is one row per type and status,
-    and the rows of a key spread over slots of its sequence.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        start = None
-        if batch_id > 0:
-            start = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}").select("chave", "n", "total", "hi", "lo")
-        write_batch(metrics.running_state(batch, start), f"{path}/state", batch_id)
-        write_batch(metrics.running_metrics(batch, every, sequence, start), f"{path}/metrics", batch_id)
-
-    return write
-
-
-def location_change_writer(path: str) -> BatchWriter:
-    """R4 over a stream: alerts when an account's city differs from its previous transaction.
-
-    A batch starts from the last transaction of its own accounts, kept below ``path/state``, and
-    runs the table rule, so an account with many rows in a batch still spreads over time slots.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("conta_id", "id", "cidade", "data_transacao")
-        known = rows.where(F.lit(False))
-        if batch_id > 0:
-            state = batch.sparkSession.read.parquet(f"{path}/state").where(F.col("batch_id") < batch_id)
-            state = state.join(rows.select("conta_id").distinct(), "conta_id", "left_semi")
-            known = latest_by_key(state, ["conta_id"], ["batch_id"]).select(rows.columns)
-        last = latest_by_key(rows.unionByName(known), ["conta_id"], ["data_transacao", "id"])
-        write_batch(last, f"{path}/state", batch_id)
-        write_batch(alerts.location_change(rows, known), f"{path}/alerts", batch_id)
-
-    return write
-
-
-def flagged_account_stream(risk_alerts: DataFrame) -> DataFrame:
-    """Each account once, when its first high-risk alert arrives (stateful)."""
+def first_flagged_stream(risk_alerts: DataFrame) -> DataFrame:
+    """Each account once, when its first high-risk alert arrives; ``state.flagged_account_stream`` forgets in time."""
     return alerts.flagged_accounts(risk_alerts)

@@ -78,41 +78,6 @@ def test_running_aggregates_in_update_mode(spark, landed, tmp_path):
     assert spark.read.parquet(f"{out}/transacoes").count() == batch(spark, landed).count() + 1
 
 
-def test_every_nth_emission_over_batches(spark, landed, tmp_path):
-    out = str(tmp_path / "run")
-    write = pipelines.running_metrics_writer(out, every=20)
-    runner.run_stream(stream(spark, landed), write, "nth", trigger=None, checkpoint=str(tmp_path / "cp")).awaitTermination()
-    everything = spark.read.parquet(f"{landed}/*")
-    got = spark.read.parquet(f"{out}/metrics").drop("batch_id").where("last_id <> -1")
-    expected = metrics.running_metrics(batch(spark, landed), every=20)
-    assert everything.count() > 0 and expected.count() > 0
-    assert rows(got) == rows(expected)
-    # Handing the last batch over again changes nothing.
-    write(spark.read.parquet(f"{landed}/2"), 1)
-    assert rows(spark.read.parquet(f"{out}/metrics").drop("batch_id").where("last_id <> -1")) == rows(expected)
-
-
-def test_location_changes_with_state(spark, tmp_path):
-    data = eventos(spark, SF)
-    path, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for i, (low, high) in enumerate([("2024-01-01", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "2024-02-01")]):
-        data.where(f"data_transacao >= '{low}' AND data_transacao < '{high}'").coalesce(1).write.parquet(f"{path}/{i}")
-    source = readers.read_event_stream(spark, "parquet", data.schema, path=f"{path}/*", maxFilesPerTrigger="1")
-    write = pipelines.location_change_writer(out)
-    runner.run_stream(source, write, "r4", trigger=None, checkpoint=str(tmp_path / "cp")).awaitTermination()
-    expected = rows(alerts.location_change(data))
-    assert rows(spark.read.parquet(f"{out}/alerts").drop("batch_id")) == expected and expected
-    write(spark.read.parquet(f"{path}/2"), 2)
-    assert rows(spark.read.parquet(f"{out}/alerts").drop("batch_id")) == expected
-
-
-def test_flagged_accounts_once(spark, landed, tmp_path):
-    risky = alerts.risk_alerts(stream(spark, landed), 0.3, "2024-02-01")
-    got = drain(pipelines.flagged_account_stream(risky), spark, tmp_path).where("account_id <> -1")
-    expected = alerts.flagged_accounts(alerts.risk_alerts(batch(spark, landed), 0.3, "2024-02-01"))
-    assert rows(got) == rows(expected) and got.count() == got.distinct().count()
-
-
 def test_late_rows_are_dropped(spark, tmp_path):
     path = str(tmp_path / "in")
     first = tx(spark, *[(i, 1, "PIX", 1.0, f"2024-03-14T10:00:{i:02d}") for i in range(3)])
