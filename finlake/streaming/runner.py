@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.latest import latest_by_key
 from ..session import checkpoint_path
-from ..sinks import as_messages, write_batch
+from ..sinks import as_messages, write_batch, write_jdbc
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -40,24 +42,47 @@ def parquet_batches(path: str, *partition_by: str) -> BatchWriter:
     return lambda batch, batch_id: write_batch(batch, path, batch_id, partition_by)
 
 
-def jdbc_batches(url: str, table: str, **options: str) -> BatchWriter:
-    """Append rows stamped with the batch id, so the target can drop a repeated batch."""
+def replace_batch(table: str, staging: str, batch_id: int) -> list[str]:
+    """Statements that put a staged batch in the place of what the table holds of it; run them as one transaction."""
+    return [f"DELETE FROM {table} WHERE batch_id = {batch_id}", f"INSERT INTO {table} SELECT * FROM {staging}"]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
 
-        from ..sinks import write_jdbc
+def jdbc_batches(
+    url: str, table: str, transaction: Callable[[Sequence[str]], None], staging: str | None = None, **options: str
+) -> BatchWriter:
+    """A table that holds every batch once, stamped with its id.
+
+    Tasks write to a staging table that each batch overwrites, so a batch that fails midway leaves the table as it was;
+    ``transaction`` then runs the statements that replace the batch, all or none.
+    """
+    staged = staging or f"{table}_lote"
 
-        write_jdbc(batch.withColumn("batch_id", F.lit(batch_id)), url, table, mode="append", **options)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_jdbc(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), url, staged, mode="overwrite", **options)
+        transaction(replace_batch(table, staged, batch_id))
 
     return write
 
 
-def connector_batches(fmt: str, **options: str) -> BatchWriter:
-    """Any batch connector, for example a search index keyed by document id."""
+def documents(batch: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per document id, the last by ``order``; rows without an id get one from their content."""
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns])), 256)
+    keyed = batch.withColumn(key, F.coalesce(F.col(key).cast("string"), content))
+    return latest_by_key(keyed, [key], order)
+
+
+def connector_batches(
+    fmt: str, key: str, order: Sequence[str] = (), key_option: str = "es.mapping.id", **options: str
+) -> BatchWriter:
+    """Any batch connector that replaces the document of an id, such as a search index.
+
+    ``key_option`` is the connector's setting that names the id column. Every document of a batch has an id that follows
+    from the row, so a batch handed over again, whole or from the middle, replaces its own documents.
+    """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.format(fmt).options(**options).mode("append").save()
+        writer = documents(batch, key, order).write.format(fmt).options(**{key_option: key}, **options)
+        writer.mode("append").save()
 
     return write
 
