@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,13 +33,42 @@ def _unicode(pattern: str) -> str:
     return f"(?U){pattern}"
 
 
-def contains_pii(value: Column) -> Column:
-    any_pattern = "|".join(f"(?:{p})" for p in PII_PATTERNS.values())
-    return F.coalesce(value.rlike(_unicode(any_pattern)), F.lit(False))
+# What a text must hold for a pattern to match at all: literals, looked for before any regular expression runs.
+_LITERALS = {
+    "cpf": (".",), "cnpj": (".", "/"), "email": ("@",), "phone": ("(", ")"), "credit_card": (), "bank_account": (), "rg": (".",),
+}
+_DASHED = ("cpf", "cnpj", "phone", "bank_account", "rg")
+# Every match of cnpj and phone holds four digits, a dash and a digit, the least match of bank_account; every match of
+# cpf holds the least match of rg. Tried from the dash backwards, only dashes cost anything.
+_DASH = r"-(?:(?<=\d{4}-)|(?<=\d\.\d{3}\.\d{3}-))\d"
+# No character before the @ of an address is an @, so a shorter run need not be tried.
+_EMAIL = PII_PATTERNS["email"].replace("]+@", "]++@")
+
 
+def _holds(value: Column, *literals: str) -> Column:
+    return reduce(lambda a, b: a & b, [value.contains(x) for x in literals])
 
-def pii_count(value: Column, kind: str) -> Column:
-    return F.coalesce(F.regexp_count(value, F.lit(_unicode(PII_PATTERNS[kind]))), F.lit(0))
+
+def dashed_number(value: Column) -> Column:
+    """Whether any of the patterns with a dash matches; one pass over the text's dashes."""
+    return value.contains("-") & value.rlike(_unicode(_DASH))
+
+
+def contains_pii(value: Column) -> Column:
+    """Whether any of the patterns matches; false for NULL."""
+    email = value.contains("@") & value.rlike(_unicode(_EMAIL))
+    return F.coalesce(dashed_number(value) | email | value.rlike(_unicode(PII_PATTERNS["credit_card"])), F.lit(False))
+
+
+def pii_count(value: Column, kind: str, dashed: Column | None = None) -> Column:
+    """Matches of one pattern, 0 for NULL; ``dashed`` is ``dashed_number(value)`` where it is known already."""
+    pattern = _EMAIL if kind == "email" else PII_PATTERNS[kind]
+    count = F.regexp_count(value, F.lit(_unicode(pattern)))
+    gates = [_holds(value, *_LITERALS[kind])] if _LITERALS[kind] else []
+    if kind in _DASHED:
+        gates = [dashed_number(value) if dashed is None else dashed, *gates]
+    possible = reduce(lambda a, b: a & b, gates, F.lit(True))
+    return F.when(possible, F.coalesce(count, F.lit(0))).otherwise(0)
 
 
 def sensitivity(fields_with_pii: Column) -> Column:

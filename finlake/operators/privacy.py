@@ -16,6 +16,7 @@ from ..functions.personal import (
     PII_PATTERNS,
     column_sensitivity,
     contains_pii,
+    dashed_number,
     mask_hash,
     pii_count,
     retention_days,
@@ -42,13 +43,25 @@ def classify_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def pii_matches(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Matches of every pattern per row, over all text columns, whole texts."""
+    """Matches of every pattern per row, over all text columns, whole texts.
+
+    Whether a text has a dashed number at all is found once; most texts have none and are read no further for those kinds.
+    """
     names = _text_columns(df, columns)
-    counts = {
-        f"qtd_{kind}": reduce(lambda a, b: a + b, [pii_count(F.col(c), kind) for c in names], F.lit(0))
-        for kind in PII_PATTERNS
-    }
-    return df.select(*keys, *[c.alias(n) for n, c in counts.items()])
+    gates = {c: f"_dashed_{i}" for i, c in enumerate(names)}
+    texts = df.select(
+        *[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)],
+        *[F.col(f"`{c}`").alias(f"_text_{i}") for i, c in enumerate(names)],
+        *[dashed_number(F.col(f"`{c}`")).alias(g) for c, g in gates.items()],
+    )
+
+    def total(kind: str) -> Column:
+        counts = [pii_count(F.col(f"_text_{i}"), kind, F.col(f"_dashed_{i}")) for i in range(len(names))]
+        return reduce(lambda a, b: a + b, counts, F.lit(0))
+
+    return texts.select(
+        *[F.col(f"_key_{i}").alias(k) for i, k in enumerate(keys)], *[total(kind).alias(f"qtd_{kind}") for kind in PII_PATTERNS]
+    )
 
 
 def pii_columns(df: DataFrame) -> DataFrame:
