@@ -20,12 +20,12 @@ def hopping(
 ) -> DataFrame:
     """Sums over sliding windows; ``slide`` must divide ``size``.
 
-    On a static table rows are summed once per slide-long pane and only the panes are repeated for
-    the windows they belong to, instead of repeating every row. A stream uses Spark's own sliding
-    window, whose state does that work.
+    Rows are summed once per slide-long pane and only the panes are repeated for the windows they belong to, instead of
+    repeating every row. On a stream these are two chained aggregations: a pane enters its windows when the watermark
+    has passed it.
     """
     if df.isStreaming:
-        return tumbling_sums(df, F.window(ts, size, slide), keys, sums)
+        return _bounds(_hops(df, size, slide, keys, sums, ts), keys, sums)
     panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     last = F.col("pane.start")
     first = F.col("pane.end") - F.expr(f"INTERVAL {size}")
@@ -39,10 +39,19 @@ def hopping(
     )
 
 
-def tumbling_sums(df: DataFrame, window: Column, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
-    aggregated = df.groupBy(window.alias("window"), *keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+def _hops(
+    df: DataFrame, size: str, slide: str, keys: Sequence[str], sums: Mapping[str, Column], ts: str
+) -> DataFrame:
+    """(window, keys, sums) of a stream; ``window`` carries the watermark on."""
+    panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    # The last microsecond of a pane lies in the windows that hold the pane.
+    timed = panes.select(F.window_time("pane").alias("pane_time"), *keys, *sums)
+    return timed.groupBy(F.window("pane_time", size, slide).alias("window"), *keys).agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def _bounds(aggregated: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     return aggregated.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *sums
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *names
     )
 
 
@@ -52,23 +61,14 @@ def distinct_in_hops(
     """Per sliding window and key: number of distinct values and sums over all rows.
 
     Two grouping steps instead of a set per group, so nothing grows with the number of values; on
-    a stream they run as two chained aggregations.
+    a stream they are a further chained aggregation.
     """
-    if not df.isStreaming:
-        by_value = hopping(df, size, slide, [key, distinct], sums, ts)
-        grouped = by_value.groupBy("window_start", "window_end", key)
-    else:
-        by_value = df.groupBy(F.window(ts, size, slide), key, distinct).agg(
-            *[F.sum(c).alias(n) for n, c in sums.items()]
-        )
-        grouped = by_value.groupBy("window", key)
-    out = grouped.agg(F.count(distinct).alias("distintos"), *[F.sum(n).alias(n) for n in sums])
+    counts = [F.count(distinct).alias("distintos"), *[F.sum(n).alias(n) for n in sums]]
     if df.isStreaming:
-        out = out.select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            key, "distintos", *sums,
-        )
-    return out
+        by_value = _hops(df, size, slide, [key, distinct], sums, ts)
+        return _bounds(by_value.groupBy("window", key).agg(*counts), [key], ["distintos", *sums])
+    by_value = hopping(df, size, slide, [key, distinct], sums, ts)
+    return by_value.groupBy("window_start", "window_end", key).agg(*counts)
 
 
 def _approved() -> Column:

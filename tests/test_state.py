@@ -4,7 +4,7 @@ import pytest
 from conftest import SF, rows, tx
 from pyspark.sql import functions as F
 
-from finlake.operators import alerts, metrics
+from finlake.operators import alerts, metrics, windows
 from finlake.sources import readers
 from finlake.sources.testdata import eventos
 from finlake.streaming import pipelines, runner, state
@@ -143,3 +143,30 @@ def test_plans_keep_state_in_spark(spark, tmp_path, build):
     query = landing.run()
     names = {s["operatorName"] for p in query.recentProgress for s in p["stateOperators"]}
     assert names == {"transformWithStateInPySparkExec"} or names == {"transformWithStateInPandasExec"}
+
+
+SLIDING = {
+    "w2": lambda df: windows.sliding_volume(df),
+    "w3": lambda df: windows.sliding_channel(df, "1 hour", "2 minutes"),
+    "w4": lambda df: windows.sliding_approval(df),
+    "r8": lambda df: alerts.pix_many_cities(df, "12 hours", "1 hour", 2),
+}
+
+
+@pytest.mark.parametrize("name", list(SLIDING))
+def test_sliding_windows_are_chained_panes(spark, tmp_path, name):
+    data = eventos(spark, SF).where("data_transacao < '2024-01-05'")
+    landing = Landing(spark, tmp_path, SLIDING[name], "1 second")
+    # Each chained aggregation emits a batch after the one before it.
+    far = [tx(spark, (10**9 + i, -1 - i, "PIX", 1.0, f"2024-06-0{i + 1}T00:00:00", "FAR")) for i in range(4)]
+    landing.land(data, *far)
+    query = landing.run()
+    expected = SLIDING[name](data)
+    got = landing.result()
+    ends = "window_end" if "window_end" in got.columns else "timestamp_alerta"
+    assert rows(got.where(F.col(ends) < "2024-03-01").select(*expected.columns)) == rows(expected) and expected.count() > 0
+    operators = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+    assert all(len(x) >= 2 for x in operators)
+    # A row enters one pane of the first aggregation, not the thirty windows that hold it.
+    first = max(x[-1]["numRowsUpdated"] for x in operators)
+    assert first <= data.count()
