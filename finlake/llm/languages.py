@@ -7,29 +7,39 @@ same way; its distance to a profile is the sum of how far each n-gram is out of
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fields_and, per_batch
+from .common import as_bytes, fields_and, per_batch, settle
 
-MAX_GRAM, PROFILE, MAX_LANGUAGES = 3, 400, 1000
-MAX_WORDS, MAX_GRAMS = 200_000, 200_000
+MAX_GRAM, PROFILE = 3, 400
+MAX_WORDS, MAX_GRAMS, PART = 200_000, 200_000, 50_000
 UNKNOWN = "und"
+#: Languages whose profiles a task holds at once.
+BLOCK = 1000
+TEXT, PRED, SCORE = "__text", "__lang_pred", "__score"
 
 _WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def grams_of(word: str) -> list[str]:
-    """Character n-grams of a word with a blank at each end; the lone blank is none."""
-    marked = f" {word} "
-    out = list(word)
-    for n in range(2, MAX_GRAM + 1):
-        out += [marked[i : i + n] for i in range(len(marked) - n + 1)]
+    """Character n-grams of a word with a blank at each end; the lone blank is none.
+
+    A run that ``_WORD`` takes may hold numerals that are no letters, such as one half: only its runs of letters count.
+    """
+    out = []
+    for part in [word] if word.isalpha() else _LETTERS.findall(word):
+        marked = f" {part} "
+        out += part
+        for n in range(2, MAX_GRAM + 1):
+            out += [marked[i : i + n] for i in range(len(marked) - n + 1)]
     return out
 
 
@@ -77,71 +87,84 @@ class Grams:
         self.forgotten += 1
         self.number = _Numbers((g, i) for i, g in enumerate(self.fixed))
         self.words = _Words(self.number)
+        self.total, self.slot = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def full(self) -> bool:
         return len(self.words) > MAX_WORDS or len(self.number) > len(self.fixed) + MAX_GRAMS
 
-    def counts(self, text: str) -> np.ndarray:
-        """Occurrences of every numbered n-gram in a text."""
+    def counts(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram numbers, occurrences) of counted words, each n-gram once, in no order."""
         if self.full():
             self.forget()
-        words = Counter(_WORD.findall(text.lower()))
-        if not words:
-            return np.zeros(len(self.number), np.int64)
         at = [self.words[w] for w in words]
         self.words.settle()
         ends = self.words.ends
-        first = np.array([ends[i] for i in at])
-        size = np.array([ends[i + 1] for i in at]) - first
+        first = np.array([ends[i] for i in at], np.int64)
+        size = np.array([ends[i + 1] for i in at], np.int64) - first
         before = np.cumsum(size) - size
-        places = np.repeat(first - before, size) + np.arange(int(size.sum()))
+        index = np.arange(int(size.sum()))
+        grams = self.words.flat[np.repeat(first - before, size) + index]
         times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), size)
-        return np.bincount(self.words.flat[places], weights=times, minlength=len(self.number)).astype(np.int64)
+        if len(self.total) < len(self.number):
+            self.total, self.slot = (np.zeros(2 * len(self.number), np.int64) for _ in range(2))
+        # ``total`` is zero but for this text; of equal n-grams the one whose index stays in its slot stands for all.
+        np.add.at(self.total, grams, times)
+        self.slot[grams] = index
+        once = grams[self.slot[grams] == index]
+        found = self.total[once]
+        self.total[once] = 0
+        return once, found
+
+
+def words_of(text: str) -> Counter:
+    return Counter(_WORD.findall(text.lower()))
 
 
 def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, gram, n) as each task counts them; the same pair may come from many tasks."""
+    """(lang, gram, n) as each task counts them; the same pair may come from many tasks.
+
+    A task counts the words of each language and takes them apart when it holds MAX_WORDS different ones, and at its end.
+    """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
     def run(batches):
-        grams, totals = Grams(), {}
+        grams, words = Grams(), defaultdict(Counter)
 
         def emptied():
-            names = list(grams.number)
-            for lang, total in totals.items():
-                at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array([names[i] for i in at]), pa.array(total[at])],
-                    ["lang", "gram", "n"],
-                )
-            totals.clear()
-            grams.forget()
+            for lang, counted in words.items():
+                items = list(counted.items())
+                for i in range(0, len(items), PART):
+                    at, n = grams.counts(Counter(dict(items[i : i + PART])))
+                    names = list(grams.number)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(at), pa.string()), pa.array([names[k] for k in at], pa.string()), pa.array(n)],
+                        ["lang", "gram", "n"],
+                    )
+            words.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                if grams.full():
-                    yield from emptied()
-                found = grams.counts(text.decode())
-                total = totals.get(lang)
-                if total is not None:
-                    found[: len(total)] += total
-                totals[lang] = found
+                words[lang].update(_WORD.findall(text.decode().lower()))
+            if sum(map(len, words.values())) > MAX_WORDS:
+                yield from emptied()
         yield from emptied()
 
     return rows.mapInArrow(run, "lang string, gram string, n long")
 
 
 def profiles(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> dict[str, list[str]]:
-    """The ``size`` most frequent n-grams of each language over all rows for which ``learn`` holds, ties by text."""
+    """The ``size`` most frequent n-grams of each language over all rows for which ``learn`` holds, ties by text.
+
+    Rows without text or language teach nothing, repeated rows count each, texts are read whole; an empty table gives no
+    profile. What is collected is ``size`` n-grams for each different language.
+    """
     known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = gram_counts(known, text_col, lang_col).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    rows = counts.withColumn("place", place).where(F.col("place") <= size).limit(MAX_LANGUAGES * size + 1).collect()
+    rows = counts.withColumn("place", place).where(F.col("place") <= size).collect()
     out: dict[str, dict[int, str]] = {}
     for row in rows:
         out.setdefault(row["lang"], {})[row["place"]] = row["gram"]
-    if len(out) > MAX_LANGUAGES or len(rows) > MAX_LANGUAGES * size:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return {lang: [grams[i] for i in sorted(grams)] for lang, grams in sorted(out.items())}
 
 
@@ -158,19 +181,21 @@ def make_ranker(known: dict[str, list[str]], size: int):
 
     def find(text: str) -> tuple[str, float]:
         nonlocal order, of
-        counts = grams.counts(text)
-        at = np.flatnonzero(counts)
-        if not len(at) or not langs:
+        words = words_of(text)
+        if not words or not langs:
             return UNKNOWN, 0.0
-        if len(order) != len(counts) or of != grams.forgotten:
+        at, counts = grams.counts(words)
+        if not len(at):
+            return UNKNOWN, 0.0
+        if len(order) != len(grams.number) or of != grams.forgotten:
             kept, of = order if of == grams.forgotten else order[: len(fixed)], grams.forgotten
             names = list(grams.number)[len(kept) :]
             order = np.concatenate([kept, np.array([xxhash.xxh3_64_intdigest(g) for g in names], np.uint64)])
         if len(at) > size:
             # Only n-grams at least as frequent as the one in the last place can rank.
-            least = np.partition(counts[at], len(at) - size)[len(at) - size]
-            at = at[counts[at] >= least]
-        at = at[np.lexsort((order[at], -counts[at]))][:size]
+            enough = counts >= np.partition(counts, len(at) - size)[len(at) - size]
+            at, counts = at[enough], counts[enough]
+        at = at[np.lexsort((order[at], -counts))][:size]
         spots = np.flatnonzero(at < len(fixed))
         theirs = ranks[:, at[spots]]
         apart = np.where(theirs >= 0, np.abs(theirs - spots), size).sum(axis=1) + size * (len(at) - len(spots))
@@ -180,25 +205,42 @@ def make_ranker(known: dict[str, list[str]], size: int):
     return find
 
 
-def languages(docs: DataFrame, known: dict[str, list[str]], text_col: str = "text", size: int = PROFILE, keep: tuple[Column, ...] = ()) -> DataFrame:
-    """``keep`` of every row with lang_pred and score (1: every n-gram in its place, 0: none).
-
-    Texts that are null or have no letter get ``und`` and 0, as all do when there is no profile.
-    """
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    kept = rows.schema.fields[:-1]
+def _best(rows: DataFrame, known: dict[str, list[str]], size: int) -> DataFrame:
+    """Rows with lang_pred and score: the nearest of these profiles, or what the rows bring if that is as near."""
+    names = [n for n in rows.columns if n not in (PRED, SCORE)]
+    kept = [f for f in rows.schema.fields if f.name in names]
+    again = PRED in rows.columns
 
     def build():
         find = make_ranker(known, size)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [find(x.decode()) for x in as_bytes(batch.column("__text"))]
+            found = [find(x.decode()) for x in as_bytes(batch.column(TEXT))]
+            if again:
+                earlier = zip(batch.column(PRED).to_pylist(), batch.column(SCORE).to_pylist(), strict=True)
+                found = [new if old[0] == UNKNOWN or new[1] > old[1] else old for old, new in zip(earlier, found, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept]
+                [batch.column(n) for n in names]
                 + [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
-                [f.name for f in kept] + ["lang_pred", "score"],
+                [*names, PRED, SCORE],
             )
 
         return run
 
-    return per_batch(rows, build, fields_and(kept, "lang_pred string, score double"))
+    return per_batch(rows, build, fields_and(kept, f"`{PRED}` string, `{SCORE}` double"))
+
+
+def languages(docs: DataFrame, known: dict[str, list[str]], text_col: str = "text", size: int = PROFILE, keep: tuple[Column, ...] = ()) -> DataFrame:
+    """``keep`` of every row with lang_pred and score (1: every n-gram in its place, 0: none).
+
+    Texts that are null or have no letter get ``und`` and 0, as all do when there is no profile; numerals that are no
+    decimal digits are no letters. Repeated rows are each predicted alike, texts are read whole whatever their length, an
+    empty table gives no rows, and of equally near languages the first by name is taken. A task holds the profiles of
+    BLOCK languages; of more, each block has its own pass and the nearest so far is carried on.
+    """
+    rows = docs.select(*keep, F.col(text_col).alias(TEXT))
+    langs = list(known)
+    for i in range(0, max(len(langs), 1), BLOCK):
+        rows = _best(settle(rows, "languages") if i else rows, {x: known[x] for x in langs[i : i + BLOCK]}, size)
+    kept = [c for c in rows.columns if c not in (TEXT, PRED, SCORE)]
+    return rows.select(*kept, F.col(PRED).alias("lang_pred"), F.col(SCORE).alias("score"))
