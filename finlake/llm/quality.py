@@ -8,6 +8,7 @@ it adds to each class, so a known word costs one lookup.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -16,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fields_and, per_batch
+from .common import as_bytes, fields_and, per_batch, settle
 
-BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 10, 1.0
+BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 12, 1.0
 MIN_GRAM, MAX_GRAM = 3, 4
 #: Labelled rows the model is fitted on: those with the smallest hash of the id.
 MAX_TRAIN_ROWS = 6000
+#: Features of those rows together, 8 bytes each on the driver; about 1,700 a row make 10 million.
+MAX_TRAIN_FEATURES = 25_000_000
 REPEAT = BUCKETS  # the vector of a word that repeats the one before
 MAX_WORDS, MAX_WORD_BYTES, PART = 600_000, 1 << 25, 1 << 16
 
@@ -46,39 +49,69 @@ class Model:
         return self.vectors @ self.output
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Model:
-    """Stochastic gradient descent over (buckets, counts, class); the rate falls to zero over the epochs."""
+def train(
+    buckets: np.ndarray, counts: np.ndarray, cuts: np.ndarray, labels: list[int], classes: int, epochs: int = EPOCHS, rate: float = RATE,
+    seed: int = 7,
+) -> Model:
+    """Stochastic gradient descent over rows: row i has ``buckets[cuts[i]:cuts[i + 1]]``, how often each, and a class.
+
+    The rate falls to zero over the epochs. Rows without features are passed over.
+    """
     rng = np.random.default_rng(seed)
     model = Model(
         rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32), np.zeros((DIM, classes), np.float32),
         np.zeros(classes, np.float32),
     )
-    rows = [(b, (c / c.sum()).astype(np.float32), y) for b, c, y in rows if len(b)]
-    if not rows:
+    rows = np.flatnonzero(np.diff(cuts))
+    if not len(rows):
         return model
-    share = np.bincount([y for _, _, y in rows], minlength=classes) + 1.0
+    share = np.bincount([labels[i] for i in rows], minlength=classes) + 1.0
     model.bias += np.log(share / share.sum()).astype(np.float32)
     step, steps = 0, epochs * len(rows)
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
-            buckets, weights, y = rows[i]
-            hidden = weights @ model.vectors[buckets]
+        for k in rng.permutation(len(rows)):
+            i = rows[k]
+            mine = buckets[cuts[i] : cuts[i + 1]]
+            weights = counts[cuts[i] : cuts[i + 1]].astype(np.float32)
+            weights /= weights.sum()
+            hidden = weights @ model.vectors[mine]
             logits = hidden @ model.output + model.bias
             error = np.exp(logits - logits.max())
             error /= error.sum()
-            error[y] -= 1
+            error[labels[i]] -= 1
             now = rate * (1 - step / steps)
             back = model.output @ error
             model.output -= now * np.outer(hidden, error)
             model.bias -= 0.1 * now * error
             # Each bucket of a row is named once, so plain indexing adds up.
-            model.vectors[buckets] -= (now * len(buckets) ** 0.5) * weights[:, None] * back[None, :]
+            model.vectors[mine] -= (now * len(mine) ** 0.5) * weights[:, None] * back[None, :]
             step += 1
     return model
 
 
+def pack_counts(total: np.ndarray) -> bytes:
+    """Features of a row in little space: the gaps between its buckets and the counts, as bytes, compressed.
+
+    A gap or a count beyond 254 is written as 255 and its four bytes apart.
+    """
+    at = np.flatnonzero(total)
+    numbers = np.concatenate([np.diff(at, prepend=-1), total[at]])
+    large = numbers > 254
+    head = np.array([len(at), np.count_nonzero(large)], np.uint32)
+    return zlib.compress(head.tobytes() + np.where(large, 255, numbers).astype(np.uint8).tobytes() + numbers[large].astype(np.uint32).tobytes(), 1)
+
+
+def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts) of ``pack_counts``."""
+    data = zlib.decompress(data)
+    size, n_large = np.frombuffer(data, np.uint32, 2)
+    numbers = np.frombuffer(data, np.uint8, 2 * size, 8).astype(np.uint32)
+    numbers[numbers == 255] = np.frombuffer(data[8 + 2 * size :], np.uint32, n_large)
+    return (np.cumsum(numbers[:size], dtype=np.int64) - 1).astype(np.int32), numbers[size:]
+
+
 def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with their text replaced by ``buckets`` (each once) and ``counts``."""
+    """The rows with their text replaced by ``packed``, the counts of its buckets, and ``n``, how many those are."""
     kept = [f for f in rows.schema.fields if f.name != text_col]
 
     def build():
@@ -93,46 +126,65 @@ def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
             return found
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            buckets, counts = [], []
+            packed, sizes = [], []
             for text in as_bytes(batch.column(text_col)):
-                total = np.zeros(BUCKETS + 1, np.int32)
+                total = np.zeros(BUCKETS + 1, np.int64)
                 words = text.split()
                 total[REPEAT] = sum(map(bytes.__eq__, words, words[1:]))
                 for i in range(0, len(words), 4096):
-                    total += np.bincount(np.concatenate([of(w) for w in words[i : i + 4096]]), minlength=BUCKETS + 1).astype(np.int32)
-                at = np.flatnonzero(total)
-                buckets.append(at.astype(np.int32))
-                counts.append(total[at])
+                    total += np.bincount(np.concatenate([of(w) for w in words[i : i + 4096]]), minlength=BUCKETS + 1)
+                packed.append(pack_counts(total))
+                sizes.append(np.count_nonzero(total))
             return pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept]
-                + [pa.array(buckets, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                [f.name for f in kept] + ["buckets", "counts"],
+                [batch.column(f.name) for f in kept] + [pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())],
+                [f.name for f in kept] + ["packed", "n"],
             )
 
         return run
 
-    return per_batch(rows, build, fields_and(kept, "buckets array<int>, counts array<int>"))
+    return per_batch(rows, build, fields_and(kept, "packed binary, n long"))
+
+
+def training_rows(
+    docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str, max_rows: int
+) -> DataFrame:
+    """(__id, __label, packed, n) of the rows to learn from, in the order of the hash of the id, written once.
+
+    Of documents that repeat an id the smallest text counts.
+    """
+    order = [F.xxhash64("__id"), F.col("__id"), F.col("__label")]
+    chosen = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(
+        F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")
+    ).distinct().orderBy(*order).limit(max_rows)
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+    # The limit bounds the side sent to every task, and with it the rows grouped.
+    texts = rows.join(F.broadcast(chosen), "__id").groupBy("__id", "__label").agg(F.min("text").alias("text"))
+    return settle(row_features(texts).orderBy(*order), "training-rows")
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", max_rows: int = MAX_TRAIN_ROWS,
+    label_col: str = "quality", max_rows: int = MAX_TRAIN_ROWS, max_features: int = MAX_TRAIN_FEATURES,
 ) -> Model:
     """Model of a 0/1 label from at most ``max_rows`` labelled rows for which ``learn`` (over labels) holds.
 
-    Rows without id, label or text take no part; without any row left, every score is one half.
+    Rows are taken by the hash of their id for as long as they have at most ``max_features`` features together, so what
+    reaches the driver is bounded in bytes. Rows without id, label or text take no part; of documents that repeat an id
+    the smallest text counts, with each label it has; texts of any length are read whole. Without any row left, as with
+    empty tables, every score is one half.
     """
-    chosen = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(
-        F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")
-    ).distinct().orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    # The limit bounds the side sent to every task.
-    rows = row_features(rows.join(F.broadcast(chosen), "__id")).limit(2 * max_rows)
-    found = rows.select("__id", "__label", "buckets", "counts").toArrow().sort_by([("__id", "ascending"), ("__label", "ascending")])
-    buckets, counts = (found.column(c).combine_chunks() for c in ("buckets", "counts"))
-    cuts, flat, times = buckets.offsets.to_numpy(), buckets.values.to_numpy(), counts.values.to_numpy()
-    classes = found.column("__label").to_pylist()
-    return train([(flat[i:j], times[i:j], y) for i, j, y in zip(cuts, cuts[1:], classes, strict=False)], 2)
+    found = training_rows(docs, labels, learn, id_col, text_col, label_col, max_rows)
+    sizes = sorted((tuple(r) for r in found.select(F.xxhash64("__id"), "__id", "__label", "n").collect()))
+    ends = np.cumsum([n for *_, n in sizes], dtype=np.int64)
+    used = int(np.searchsorted(ends, max_features, side="right"))
+    cuts = np.concatenate([[0], ends[:used]]).astype(np.int64)
+    buckets, counts = np.zeros(cuts[-1], np.int32), np.zeros(cuts[-1], np.uint32)
+    place = {(row_id, label): i for i, (_, row_id, label, _) in enumerate(sizes[:used])}
+    for row in found.select("__id", "__label", "packed").toLocalIterator():
+        i = place.get((row["__id"], row["__label"]))
+        if i is not None:
+            buckets[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]] = unpack_counts(row["packed"])
+    return train(buckets, counts, cuts, [label for _, _, label, _ in sizes[:used]], 2)
 
 
 class _Words(dict):

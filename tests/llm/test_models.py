@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from finlake.llm import languages as lang
@@ -27,6 +29,76 @@ def test_quality_query_on_held_out_rows(spark):
     assert len(right) > 5 and np.mean(right) >= 0.8
 
 
+def quality_by_hand(spark):
+    """Scores of all documents by a plain loop over features, in double precision."""
+    docs = {r["doc_id"]: r["text"] for r in documents(spark).collect()}
+    marked = documents(spark, "labels").select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).distinct().collect()
+    chosen = [r for r in sorted(marked, key=lambda r: r["h"]) if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    chosen = [r for r in chosen[:6000] if docs.get(r["doc_id"]) is not None]
+
+    def features(text):
+        words, out = text.encode().split(), Counter()
+        for i, w in enumerate(words):
+            out.update(quality.features_of(w))
+            if i and w == words[i - 1]:
+                out[quality.REPEAT] += 1
+        return sorted(out.items())
+
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / quality.DIM, 1 / quality.DIM, (quality.BUCKETS + 1, quality.DIM)).astype(np.float32).astype(np.float64)
+    output, rows = np.zeros((quality.DIM, 2)), [(features(docs[r["doc_id"]]), r["quality"]) for r in chosen]
+    rows = [r for r in rows if r[0]]
+    bias = np.log([(sum(y == k for _, y in rows) + 1) / (len(rows) + 2) for k in (0, 1)])
+
+    def forward(found):
+        size = sum(n for _, n in found)
+        hidden = sum(n / size * vectors[b] for b, n in found) if found else np.zeros(quality.DIM)
+        odds = np.exp(hidden @ output + bias)
+        return hidden, size, odds / odds.sum()
+
+    step, steps = 0, quality.EPOCHS * len(rows)
+    for _ in range(quality.EPOCHS):
+        for i in rng.permutation(len(rows)):
+            found, y = rows[i]
+            hidden, size, odds = forward(found)
+            error, rate = odds - np.eye(2)[y], quality.RATE * (1 - step / steps)
+            back = output @ error
+            output -= rate * np.outer(hidden, error)
+            bias -= 0.1 * rate * error
+            for b, n in found:
+                vectors[b] -= rate * len(found) ** 0.5 * n / size * back
+            step += 1
+    return {i: forward(features(t or ""))[2][1] for i, t in docs.items()}
+
+
+def test_quality_query_by_hand(spark):
+    expected = quality_by_hand(spark)
+    found = {r["doc_id"]: r["score"] for r in QUERIES["op1_quality_classifier"](spark, SF).collect()}
+    assert set(found) == set(expected) and max(abs(found[i] - expected[i]) for i in found) < 2e-3
+    assert len({round(x, 2) for x in found.values()}) > 5
+
+
+def test_packed_features_come_back():
+    rng = np.random.default_rng(1)
+    for total in (np.zeros(quality.BUCKETS + 1, np.int64), rng.integers(0, 2, quality.BUCKETS + 1), rng.poisson(0.001, quality.BUCKETS + 1) * 100_000):
+        buckets, counts = quality.unpack_counts(quality.pack_counts(total))
+        assert buckets.tolist() == np.flatnonzero(total).tolist() and counts.tolist() == total[total > 0].tolist()
+
+
+def test_quality_rows_are_bounded_and_each_id_is_one(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda buckets, counts, cuts, labels, classes: seen.append((cuts.tolist(), labels, buckets.tolist())))
+    docs = docs_of(spark, [(i, f"w{i} x") for i in range(20)] + [(3, "a text that is smaller"), (3, None), (None, "z"), (50, "")])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(3, 0), (3, 1), (7, None), (None, 1), (50, 1), (99, 1)], "doc_id long, quality int")
+    quality.fit(docs, marks, F.lit(True))
+    sizes = np.diff(seen[0][0])
+    assert len(sizes) == 22 and sorted(seen[0][1]) == [0] * 11 + [1] * 11 and min(sizes) == 0
+    quality.fit(docs, marks, F.lit(True), max_features=int(sizes[:5].sum()) + 1)
+    assert np.diff(seen[1][0])[:5].tolist() == sizes[:5].tolist() and 5 <= len(seen[1][1]) <= 6
+    quality.fit(docs, marks, F.lit(True), max_rows=4)
+    assert len(seen[2][1]) == 4
+
+
 def test_quality_scores_are_the_softmax_of_the_average():
     rng = np.random.default_rng(3)
     model = quality.Model(rng.normal(size=(quality.BUCKETS + 1, 4)), rng.normal(size=(4, 2)), rng.normal(size=2))
@@ -154,6 +226,58 @@ def test_language_profiles_and_distance_by_hand(spark):
     assert len(odd) == 8
 
 
+def ranked_by_hand(text, known, size):
+    """The nearest language by plain counting and plain sums."""
+    words = regex.findall(r"\p{L}+", (text or "").lower())
+    counts = Counter(g for w in words for n in (1, 2, 3) for g in lang_grams(w, n))
+    order = sorted(counts, key=lambda g: (-counts[g], xxhash.xxh3_64_intdigest(g)))[:size]
+    best = ("und", 0.0)
+    if order and known:
+        apart = {
+            name: sum(abs(i - profile.index(g)) if g in profile else size for i, g in enumerate(order)) for name, profile in known.items()
+        }
+        name = min(sorted(apart), key=apart.get)
+        best = (name, 1 - apart[name] / (size * len(order)))
+    return best
+
+
+def lang_grams(word, n):
+    marked = word if n == 1 else f" {word} "
+    return [marked[i : i + n] for i in range(len(marked) - n + 1)]
+
+
+def profiles_by_hand(rows, size):
+    out = {}
+    for name in sorted({x for _, x in rows if x}):
+        counts = Counter(g for t, x in rows if x == name for w in regex.findall(r"\p{L}+", t.lower()) for n in (1, 2, 3) for g in lang_grams(w, n))
+        if counts:
+            out[name] = sorted(counts, key=lambda g: (-counts[g], g))[:size]
+    return out
+
+
+@pytest.mark.parametrize("block", [1000, 1])
+def test_languages_by_hand(spark, monkeypatch, block):
+    monkeypatch.setattr(lang, "BLOCK", block)
+    docs = documents(spark).select("doc_id", "text", "lang")
+    rows = [(r["text"], r["lang"]) for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    known = lang.profiles(docs, not_remainder(F.col("doc_id"), 3, 1))
+    assert known == profiles_by_hand(rows, 400)
+    found = lang.languages(docs, known, keep=(F.col("doc_id"), F.col("text"))).collect()
+    assert len(found) == docs.count()
+    for r in found:
+        name, score = ranked_by_hand(r["text"], known, 400)
+        assert r["lang_pred"] == name and abs(r["score"] - score) < 1e-12
+
+
+def test_numerals_are_no_letters(spark):
+    texts = ["\u00bd", "\u00b2 \u2460", "7 _ 8", "\u00bda", "\u0301", None, "", " \n"]
+    docs = docs_of(spark, [(i, t) for i, t in enumerate(texts)] + [(99, "a b ab", "x"), (98, "\u00bd \u00b2", "y")])
+    known = lang.profiles(docs.where("doc_id > 90"), F.lit(True))
+    assert list(known) == ["x"]
+    found = {r["doc_id"]: (r["lang_pred"], r["score"] > 0) for r in lang.languages(docs, known, keep=(F.col("doc_id"),)).collect()}
+    assert [found[i] for i in range(len(texts))] == [("x", True) if t == "\u00bda" else ("und", False) for t in texts]
+
+
 def test_ranker_forgets_without_changing_results(monkeypatch):
     known = {"x": ["a", "b", "ab"], "y": ["z", " z"]}
     texts = [f"{'ab' * (i % 3)} z{i} {chr(97 + i % 26)}" for i in range(60)]
@@ -181,7 +305,7 @@ def test_symbols_follow_the_number_of_words(spark, monkeypatch):
 
 def test_classifier_learns_from_six_thousand_rows(spark, monkeypatch):
     seen, train = [], quality.train
-    monkeypatch.setattr(quality, "train", lambda rows, classes: seen.append(len(rows)) or train(rows[:10], classes))
+    monkeypatch.setattr(quality, "train", lambda b, c, cuts, y, classes: seen.append(len(y)) or train(b, c, cuts[:11], y[:10], classes))
     docs = spark.range(6100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
     quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")), F.lit(True))
     assert seen == [6000]
