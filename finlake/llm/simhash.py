@@ -6,7 +6,7 @@ that half the vectors are within two steps, and on the grid some cell lies withi
 enters, for each half, its own cell and the cells one step away, all links meet in a cell, and there they are verified on
 the fingerprints themselves.
 
-Equal fingerprints are one node. Cells in which a fingerprint is alone never meet; small cells compare all their members;
+Equal fingerprints are one node. Small cells compare all their members;
 larger ones give only links that connect, found by searching outwards through those not yet reached; beyond BLOCK members
 a cell is cut into blocks that meet pairwise, each pair a task's group of its own.
 """
@@ -138,8 +138,8 @@ def cell_links(members: DataFrame, most: int) -> DataFrame:
     def links(groups: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         sizes = np.diff(np.append(starts, len(groups)))
-        small = np.repeat(sizes <= FEW, sizes)
-        parts = [few_links(groups[small], found[small], FEW, most)] if small.any() else []
+        small = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+        parts = [few_links(groups[small], found[small], FEW, most)]
         parts += [spanning_links(found[a : a + n], most) for a, n in zip(starts, sizes, strict=True) if n > FEW]
         left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64))], ["u", "v"])
@@ -167,9 +167,10 @@ def fingerprint_links(nodes: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= most <= MAX_BITS:
         raise ValueError(f"links of more than {MAX_BITS} bits need another grid")
-    crowded = grid_entries(nodes).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = grid_entries(nodes).join(crowded, "cell")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # Cells that are one block need no mark, so few rows are joined; every entry goes to its cell.
+    crowded = grid_entries(nodes).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    met = grid_entries(nodes).join(crowded, "cell", "left")
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
     pairs = met.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.struct("cell", F.least("own", "other"), F.greatest("own", "other"))
