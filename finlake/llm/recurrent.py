@@ -1,7 +1,8 @@
 """Gated recurrent language model in numpy.
 
-Symbols are numbered by frequency and dealt to classes of CLASS_SIZE; a symbol's probability is that of its class times
-that of the symbol within the class, both softmaxes over the state before it. Texts run side by side in lanes, one after
+Symbols are numbered by frequency and dealt to classes of about the square root of their number, so that both softmaxes
+are of like width; a symbol's probability is that of its class times that of the symbol within the class, given the state
+before it. Texts run side by side in lanes, one after
 the other within a lane; the state is zero where a text starts and is carried from window to window, so long texts are
 scored whole. Training stops back-propagation at the window's start and steps along gradients scaled by their history.
 """
@@ -13,7 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-HIDDEN, CLASS_SIZE, LANES, WINDOW, RATE = 16, 32, 384, 24, 0.1
+HIDDEN, LANES, WINDOW, RATE = 16, 384, 24, 0.1
+ROWS = 1024  # taken through a softmax at once, so that its odds stay in a core's cache
 HALF = np.float32(0.5)
 LIMIT = np.float32(60)  # of logits, so that their odds fit
 _NAMES = ("enter", "turn", "start", "to_class", "class_bias", "to_symbol", "symbol_bias")
@@ -49,20 +51,26 @@ class Lanes:
             yield self.first[None, :running] + np.minimum(steps, self.length[None, :running] - 1), inside
 
 
+def class_size(symbols: int) -> int:
+    """The power of two at or below the square root, 32 at least."""
+    return max(32, 1 << (max(symbols, 1).bit_length() - 1) // 2)
+
+
 def new_model(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 11) -> dict[str, np.ndarray]:
     """Parameters that give each symbol its share of the counts, whatever the state; a negative count marks no symbol."""
     rng = np.random.default_rng(seed)
-    classes = -(-len(counts) // CLASS_SIZE)
-    padded = np.full(classes * CLASS_SIZE, -1.0)
+    size = class_size(len(counts))
+    classes = -(-len(counts) // size)
+    padded = np.full(classes * size, -1.0)
     padded[: len(counts)] = counts
-    weight = np.where(padded < 0, 0, padded + 0.5).reshape(classes, CLASS_SIZE)
+    weight = np.where(padded < 0, 0, padded + 0.5).reshape(classes, size)
     with np.errstate(divide="ignore"):
         symbol_bias = np.maximum(np.log(weight / np.maximum(weight.sum(axis=1, keepdims=True), 0.5)), -LIMIT)
         class_bias = np.maximum(np.log(weight.sum(axis=1) / weight.sum()), -LIMIT)
     model = {
-        "enter": rng.normal(0, 0.3, (classes * CLASS_SIZE, 3 * hidden)), "turn": rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)),
+        "enter": rng.normal(0, 0.3, (classes * size, 3 * hidden)), "turn": rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)),
         "start": np.zeros(3 * hidden), "to_class": np.zeros((hidden, classes)), "class_bias": class_bias,
-        "to_symbol": np.zeros((classes, hidden, CLASS_SIZE)), "symbol_bias": symbol_bias,
+        "to_symbol": np.zeros((classes, hidden, size)), "symbol_bias": symbol_bias,
     }
     model["start"][:hidden] = -1.0  # gates start a little open
     return {k: v.astype(np.float32) for k, v in model.items()}
@@ -84,7 +92,8 @@ def _forward(model, symbols, begins, state, keep_all: bool):
     """States before each step, the state after the last, and what the way back needs."""
     steps, lanes = symbols.shape
     hidden = len(model["turn"])
-    entered = (model["enter"] + model["start"])[symbols]
+    entered = model["enter"][symbols]
+    entered += model["start"]
     before = np.empty((steps, lanes, hidden), np.float32)
     saved = []
     turn, h, some = model["turn"], state, begins.any(axis=1).tolist()
@@ -113,7 +122,8 @@ def _forward(model, symbols, begins, state, keep_all: bool):
 def _odds(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     logits = rows @ weights
     logits += bias
-    np.minimum(logits, LIMIT, out=logits)
+    if len(rows) < len(weights) or (np.abs(weights).sum(axis=0) + bias).max() > LIMIT:  # states lie between -1 and 1
+        np.minimum(logits, LIMIT, out=logits)
     return np.exp(logits, out=logits)
 
 
@@ -129,15 +139,20 @@ def _error(odds: np.ndarray, target: np.ndarray, scale: np.float32) -> np.ndarra
     return odds
 
 
-def _by_class(target: np.ndarray, rows: np.ndarray):
+def _by_class(target: np.ndarray, rows: np.ndarray, size: int):
     """Targets and rows in the order of the targets' classes, that order, and (class, slice) of each class met."""
-    classes = (target // CLASS_SIZE).astype(np.int16)
+    classes = (target // size).astype(np.int16)
     order = np.argsort(classes, kind="stable")
     classes = classes[order]
     cuts = [0, *(np.flatnonzero(classes[1:] != classes[:-1]) + 1).tolist(), len(classes)]
     return target[order], rows[order], order, [(int(classes[i]), slice(i, j)) for i, j in zip(cuts, cuts[1:])]
 
 
+def _pieces(classes: list[tuple[int, slice]]) -> list[tuple[int, slice]]:
+    """The slices cut into ROWS rows at most."""
+    return [(c, slice(i, min(i + ROWS, own.stop))) for c, own in classes for i in range(own.start, own.stop, ROWS)]
+
+
 def score(model: dict[str, np.ndarray], texts: list[np.ndarray], lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
     """Natural log-likelihood of each whole text of symbol numbers."""
     total = np.zeros(len(texts))
@@ -147,16 +162,17 @@ def score(model: dict[str, np.ndarray], texts: list[np.ndarray], lanes: int = LA
     names = np.array([i for i, t in enumerate(texts) if len(t)])
     dealt = Lanes(texts_in, lanes)
     state = np.zeros((len(dealt.length), len(model["turn"])), np.float32)
+    size = model["to_symbol"].shape[2]
     for places, inside in dealt.windows(window):
         symbols = dealt.symbols[places]
         before, state, _ = _forward(model, symbols, dealt.begins[places], state[: places.shape[1]], False)
         flat = inside.ravel()
         rows, target = before.reshape(-1, before.shape[2])[flat], symbols.ravel()[flat]
-        target, rows, order, classes = _by_class(target, rows)
-        within = target % CLASS_SIZE
-        chance = _chance(_odds(rows, model["to_class"], model["class_bias"]), target // CLASS_SIZE)
-        inner = np.empty_like(chance)
-        for c, own in classes:
+        target, rows, order, classes = _by_class(target, rows, size)
+        outer, within, chance, inner = target // size, target % size, np.empty(len(target), np.float32), np.empty(len(target), np.float32)
+        for _, own in _pieces([(0, slice(0, len(target)))]):
+            chance[own] = _chance(_odds(rows[own], model["to_class"], model["class_bias"]), outer[own])
+        for c, own in _pieces(classes):
             inner[own] = _chance(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own])
         logp = np.log(chance) + np.log(inner)
         total += np.bincount(names[dealt.text[places.ravel()[flat][order]]], weights=logp, minlength=len(total))
@@ -194,20 +210,30 @@ class Trainer:
         hidden = len(model["turn"])
         before, after, saved = _forward(model, symbols, begins, state, True)
         flat = np.flatnonzero(inside.ravel())
-        target, rows, order, classes = _by_class(symbols.ravel()[flat], before.reshape(-1, hidden)[flat])
-        within, ones = target % CLASS_SIZE, np.ones(len(target), np.float32)
-        error = _error(_odds(rows, model["to_class"], model["class_bias"]), target // CLASS_SIZE, scale)
-        back = error @ model["to_class"].T
-        to_symbol, symbol_bias = np.zeros_like(model["to_symbol"]), np.zeros_like(model["symbol_bias"])
-        for c, own in classes:
-            inner = _error(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own], scale)
-            back[own] += inner @ model["to_symbol"][c].T
-            np.matmul(rows[own].T, inner, out=to_symbol[c])
-            np.matmul(ones[own], inner, out=symbol_bias[c])
-        self._step("to_symbol", to_symbol)
-        self._step("symbol_bias", symbol_bias)
-        self._step("to_class", rows.T @ error)
-        self._step("class_bias", ones @ error)
+        size = model["to_symbol"].shape[2]
+        target, rows, order, classes = _by_class(symbols.ravel()[flat], before.reshape(-1, hidden)[flat], size)
+        outer, within, ones = target // size, target % size, np.ones(len(target), np.float32)
+        back, class_way = np.empty_like(rows), np.ascontiguousarray(model["to_class"].T)
+        to_class, class_bias = np.zeros_like(model["to_class"]), np.zeros_like(model["class_bias"])
+        for _, own in _pieces([(0, slice(0, len(target)))]):
+            error = _error(_odds(rows[own], model["to_class"], model["class_bias"]), outer[own], scale)
+            np.matmul(error, class_way, out=back[own])
+            to_class += rows[own].T @ error
+            class_bias += ones[own] @ error
+        # Only classes met have a gradient.
+        to_symbol = np.zeros((len(classes), hidden, size), np.float32)
+        symbol_bias = np.zeros((len(classes), size), np.float32)
+        for i, whole in enumerate(classes):
+            for c, own in _pieces([whole]):
+                inner = _error(_odds(rows[own], model["to_symbol"][c], model["symbol_bias"][c]), within[own], scale)
+                back[own] += inner @ model["to_symbol"][c].T
+                to_symbol[i] += rows[own].T @ inner
+                symbol_bias[i] += ones[own] @ inner
+        met = np.array([c for c, _ in classes])
+        self._step("to_symbol", to_symbol, met)
+        self._step("symbol_bias", symbol_bias, met)
+        self._step("to_class", to_class)
+        self._step("class_bias", class_bias)
 
         to_state = np.zeros((steps * lanes, hidden), np.float32)
         to_state[flat[order]] = back

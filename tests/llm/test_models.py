@@ -309,3 +309,51 @@ def test_classifier_learns_from_six_thousand_rows(spark, monkeypatch):
     docs = spark.range(6100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
     quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")), F.lit(True))
     assert seen == [6000]
+
+
+def likely_by_hand(model, text):
+    """One text, one symbol and one number at a time, in double precision."""
+    hidden, size = len(model["turn"]), model["to_symbol"].shape[2]
+    m = {k: v.astype(float) for k, v in model.items()}
+    h, total = [0.0] * hidden, 0.0
+
+    def log_share(logits, at):
+        top = max(logits)
+        return logits[at] - top - math.log(sum(math.exp(x - top) for x in logits))
+
+    for symbol in map(int, text):
+        c, k = divmod(symbol, size)
+        total += log_share([sum(h[j] * m["to_class"][j, i] for j in range(hidden)) + m["class_bias"][i] for i in range(len(m["class_bias"]))], c)
+        total += log_share([sum(h[j] * m["to_symbol"][c, j, i] for j in range(hidden)) + m["symbol_bias"][c, i] for i in range(size)], k)
+        a = m["enter"][symbol] + m["start"]
+        turned = [sum(h[j] * m["turn"][j, i] for j in range(hidden)) for i in range(3 * hidden)]
+        gate = [1 / (1 + math.exp(-(a[i] + turned[i]))) for i in range(2 * hidden)]
+        fresh = [math.tanh(a[2 * hidden + i] + gate[hidden + i] * turned[2 * hidden + i]) for i in range(hidden)]
+        h = [gate[i] * h[i] + (1 - gate[i]) * fresh[i] for i in range(hidden)]
+    return total
+
+
+@pytest.mark.parametrize("symbols", [90, 5000])
+def test_scores_by_a_plain_loop(symbols):
+    rng = np.random.default_rng(3)
+    model = recurrent.new_model(np.arange(symbols, 0, -1.0), 4)
+    model = {k: (v + rng.normal(0, 0.3, v.shape)).astype(np.float32) for k, v in model.items()}
+    texts = [rng.integers(0, symbols, n).astype(np.int32) for n in (1, 2, 0, 30, 7)]
+    found = recurrent.score(model, texts, 2, 5)
+    assert found == pytest.approx([likely_by_hand(model, t) for t in texts], abs=2e-3)
+
+
+def test_sixteen_thousand_symbols():
+    symbols = lm_scoring.MOST_SYMBOLS
+    assert [recurrent.class_size(n) for n in (10, 2048, 4101, symbols)] == [32, 32, 64, 128]
+    model = recurrent.new_model(1e6 / np.arange(1, symbols + 1))
+    assert model["to_symbol"].shape == (128, 16, 128) and model["enter"].shape == (symbols, 48)
+    rng = np.random.default_rng(4)
+    texts = [np.tile(rng.integers(0, symbols, 3), 40).astype(np.int32) for _ in range(200)]
+    trainer = recurrent.Trainer(model)
+    for _ in range(8):
+        trainer.learn(texts)
+    assert recurrent.score(trainer.model, texts).sum() > recurrent.score(model, texts).sum()
+    head = texts[0][:5]
+    total = sum(math.exp(s) for s in recurrent.score(trainer.model, [np.append(head, s).astype(np.int32) for s in range(symbols)]))
+    assert math.log(total) == pytest.approx(recurrent.score(trainer.model, [head])[0], abs=2e-3)
