@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import AsOf, ago, moment
+from .lineage import contained_names
 
 CHANGES = "map<string,struct<old_value:string,new_value:string>>"
 
@@ -124,3 +125,13 @@ def record_lineage(log: DataFrame, table: str, record_id: str) -> DataFrame:
         return F.coalesce(text.contains(record_id), F.lit(False))
 
     return log.where((F.col("table_name") == table) & (mentions("changes") | mentions("deleted_data")))
+
+
+def records_lineage(log: DataFrame, records: DataFrame, table: str, record: str = "record_id", key: str = "id") -> DataFrame:
+    """``record_lineage`` of many records at once: (record, key) of the table's log rows that mention it.
+
+    The log's words are indexed once, whatever the number of records.
+    """
+    texts = [F.col(c) if log.schema[c].dataType.typeName() == "string" else F.to_json(c) for c in ("changes", "deleted_data") if c in log.columns]
+    rows = log.where(F.col("table_name") == table).select(key, F.explode(F.array(*texts)).alias("_text"))
+    return contained_names(rows, records, key, "_text", record, ignore_case=False)

@@ -6,12 +6,12 @@ that list values (uniqueness, value sets) give (check, value) pairs that are cou
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,11 +206,8 @@ def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation], sample
     return [counts, shown.agg(F.sort_array(F.collect_list(F.coalesce("valor", F.lit("None")))).alias("amostra"))]
 
 
-def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation], samples: bool = True) -> DataFrame:
-    """One result row per expectation. A check that cannot run is a failed result with its error.
-
-    Without ``samples`` listed values are only counted.
-    """
+def _planned(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[dict[int, str], dict[int, Expectation], dict[int, str]]:
+    """Errors of checks that cannot run, the checks that can, and the counts of those on single rows."""
     errors: dict[int, str] = {}
     checks: dict[int, Expectation] = {}
     known = {NOT_NULL, UNIQUE, IN_SET, REGEX, BETWEEN, ROW_COUNT, LENGTH, PAIR_GREATER}
@@ -232,7 +229,54 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation], sa
         except AnalysisException as error:
             errors[i] = str(error).splitlines()[0]
             del checks[i]
-    totals = df.agg(F.count(F.lit(1)).alias("total"), *[F.expr(c).alias(f"c{i}") for i, c in scalars.items()])
+    return errors, checks, scalars
+
+
+def _counts(scalars: Mapping[int, str]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total"), *[F.expr(c).alias(f"c{i}") for i, c in scalars.items()]]
+
+
+def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation], samples: bool = True) -> DataFrame:
+    """One result row per expectation. A check that cannot run is a failed result with its error.
+
+    Without ``samples`` listed values are only counted.
+    """
+    errors, checks, scalars = _planned(df, expectations)
+    totals = df.agg(*_counts(scalars))
+    return _suite_results(table, expectations, errors, checks, scalars, totals, _listed_values(df, checks), samples)
+
+
+def write_checked(
+    df: DataFrame, table: str, expectations: Sequence[Expectation], write: Callable[[DataFrame], DataFrame], layer: str,
+    samples: bool = True,
+) -> DataFrame:
+    """Write a layer and check it in the same pass: the results of ``run_suite``, or an error when a check fails.
+
+    ``write`` runs the write and returns the written layer. Checks on single rows are counted while the rows pass by.
+    Of the written layer only columns that must be unique are read again, and those in which a value outside its set was
+    met, to list the values.
+    """
+    errors, checks, scalars = _planned(df, expectations)
+    outside = {
+        i: F.count_if(~F.col(f"`{e.column}`").cast("string").isin(*e.args["value_set"])).alias(f"s{i}")
+        for i, e in checks.items() if e.kind == IN_SET
+    }
+    observation = Observation()
+    written = write(df.observe(observation, *_counts(scalars), *outside.values()))
+    names = ["total", *[f"c{i}" for i in scalars]]
+    # Spark plans the rows away where it knows that there are none, and nothing is observed then.
+    seen = dict.fromkeys(names, 0) if written.isEmpty() else observation.get
+    totals = df.sparkSession.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    listed = {i: e for i, e in checks.items() if e.kind == UNIQUE or seen.get(f"s{i}")}
+    results = _suite_results(table, expectations, errors, checks, scalars, totals, _listed_values(written, listed), samples)
+    assert_quality(results, layer)
+    return results
+
+
+def _suite_results(
+    table: str, expectations: Sequence[Expectation], errors: Mapping[int, str], checks: Mapping[int, Expectation],
+    scalars: Mapping[int, str], totals: DataFrame, listed: DataFrame | None, samples: bool,
+) -> DataFrame:
     entries = []
     for i, e in enumerate(expectations):
         failed = "CAST(NULL AS BIGINT)"
@@ -247,7 +291,6 @@ def run_suite(df: DataFrame, table: str, expectations: Sequence[Expectation], sa
             f"'falhas', {failed}, 'total_linhas', total, 'erro', {texts[3]})"
         )
     rows = totals.selectExpr(f"inline(array({', '.join(entries)}))")
-    listed = _listed_values(df, checks)
     parts = [rows.withColumns({"n": F.lit(None).cast("long"), "amostra": F.lit(None).cast("array<string>")})]
     if listed is not None:
         parts += _listed_results(listed, checks, samples)

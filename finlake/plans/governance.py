@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.personal import PII_COLUMN_NAMES, PII_PATTERNS
-from ..operators import audit, lineage, privacy, quality, reconcile
+from ..operators import audit, checksums, lineage, privacy, quality, reconcile
 from ..sources.testdata import clientes, contas, eventos, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
@@ -463,6 +463,32 @@ def _(spark, d):
     return log.groupBy("user_id", "table_name", "operation").agg(F.countDistinct("id").alias("n"))
 
 
+STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query("audit_access", sql(
+    "id:s user_id:s table_name:s operation:s filters:s timestamp:t", f"""
+    SELECT sha256(CAST(user_id AS VARCHAR) || 'contas' || 'SELECT' || {STAMP.format("ts")}) AS id, CAST(user_id AS VARCHAR) AS user_id,
+           'contas' AS table_name, 'SELECT' AS operation, '{{"tipo":"' || event_type || '"}}' AS filters, ts AS timestamp FROM events"""))
+def _(spark, d):
+    accesses = table(spark, d, "events").select(
+        "user_id", F.col("ts").alias("timestamp"), F.create_map(F.lit("tipo"), "event_type").alias("filters")
+    )
+    return audit.audit_access(accesses, "contas").select("id", "user_id", "table_name", "operation", "filters", "timestamp")
+
+
+@query("audit_deletions", sql(
+    "id:s user_id:s table_name:s operation:s saldo:s status:s n:i", f"""
+    SELECT sha256('auditor' || 'contas' || 'delete' || '{BANK_DAY} 00:00:00.000000' || CAST(id AS VARCHAR)) AS id, 'auditor' AS user_id,
+           'contas' AS table_name, 'DELETE' AS operation, CAST(CAST(saldo AS BIGINT) AS VARCHAR) AS saldo, status, 3 AS n
+    FROM contas WHERE saldo >= 400000"""))
+def _(spark, d):
+    gone = contas(spark, d).where(F.col("saldo") >= 400000).select("id", F.col("saldo").cast("long").alias("saldo"), "status")
+    log = audit.audit_deletions(gone, ["id"], "contas", "auditor", BANK_DAY)
+    image = F.col("deleted_data")
+    return log.select("id", "user_id", "table_name", "operation", image["saldo"].alias("saldo"), image["status"].alias("status"), F.size(image).alias("n"))
+
+
 def _access_log(spark, d):
     return table(spark, d, "events").select(
         "user_id", F.col("event_type").alias("operation"), F.concat(F.lit("t"), F.col("user_id") % 4).alias("table_name"),
@@ -627,3 +653,49 @@ def _(spark, d):
            count(DISTINCT destino) AS total_sinks FROM ({EDGES})"""))
 def _(spark, d):
     return lineage.pipeline_summary(lineage.job_edges(_jobs(spark, d)))
+
+
+@query("view_edges", sql(
+    "origem:s destino:i", """
+    WITH w AS (SELECT string_split(lower(text), ' ') AS w FROM documents),
+    n AS (
+        SELECT DISTINCT name FROM (
+            SELECT w[1] AS name FROM w UNION ALL SELECT w[1] || ' ' || w[2] FROM w
+            UNION ALL SELECT event_type FROM events)
+        WHERE trim(name, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')
+    SELECT name AS origem, doc_id AS destino FROM documents JOIN n ON contains(lower(text), name)"""))
+def _(spark, d):
+    words = F.split(F.lower(F.col("text")), " ")
+    first, second = words[0], F.get(words, F.lit(1))
+    names = table(spark, d, "documents").select(F.explode(F.array(first, F.concat(first, F.lit(" "), second))).alias("table_name"))
+    names = names.unionByName(table(spark, d, "events").select(F.col("event_type").alias("table_name")))
+    return lineage.view_edges(table(spark, d, "documents"), names.distinct(), "doc_id", "text")
+
+
+@query("records_lineage", sql(
+    "record_id:s event_id:i", f"""
+    SELECT c_custkey AS record_id, event_id FROM customer JOIN ({LOG}) ON contains(changes, CAST(c_custkey AS VARCHAR))
+    WHERE table_name = 't1'"""))
+def _(spark, d):
+    log = table(spark, d, "events").select(
+        F.concat(F.lit("t"), F.col("user_id") % 4).alias("table_name"), F.col("props").alias("changes"), "event_id"
+    )
+    records = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("record_id"))
+    return audit.records_lineage(log, records, "t1", key="event_id")
+
+
+@query("audit_diff_ranges", sql(
+    "id:i acao:s campo:s old_value:s new_value:s", f"""
+    WITH o AS (SELECT id, saldo, status FROM contas), n AS (SELECT id, saldo, status FROM ({CHANGED_LAKE})),
+    j AS (SELECT coalesce(o.id, n.id) AS id, CASE WHEN n.id IS NULL THEN 'DELETE' WHEN o.id IS NULL THEN 'INSERT' ELSE 'MODIFY' END AS acao,
+                 CAST(CAST(o.saldo AS BIGINT) AS VARCHAR) AS os, CAST(CAST(n.saldo AS BIGINT) AS VARCHAR) AS ns, o.status AS ot, n.status AS nt
+          FROM o FULL JOIN n ON n.id = o.id)
+    SELECT id, acao, 'saldo' AS campo, os AS old_value, ns AS new_value FROM j WHERE os IS DISTINCT FROM ns
+    UNION ALL SELECT id, acao, 'status', ot, nt FROM j WHERE ot IS DISTINCT FROM nt"""))
+def _(spark, d):
+    def side(df):
+        return df.select("id", F.col("saldo").cast("long").alias("saldo"), "status")
+
+    changes = checksums.changed_by_ranges(side(contas(spark, d)), side(_lake_accounts(spark, d)), ["id"])
+    return audit.long_changes(changes, ["id"])
+

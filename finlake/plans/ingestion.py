@@ -8,6 +8,7 @@ from .. import sinks
 from ..operators.latest import latest_by_key, upsert
 from ..sources import cdc, incremental, landed
 from ..sources.testdata import contas, eventos, table
+from ..tables import merge_rows
 from .registry import BANK_DAY, EVENT_DAY, query, sql
 
 CDC_ROW = "user_id long, event_id long, value double"
@@ -75,6 +76,19 @@ def _(spark, d):
     return upsert(contas(spark, d).select("id", "saldo", "status"), updates, ["id"], ["ts"])
 
 
+@query("upsert_merge", sql(
+    "id:i saldo:r status:s", """
+    SELECT id, saldo, status FROM contas WHERE id NOT IN (SELECT user_id FROM events)
+    UNION ALL
+    SELECT user_id AS id, value AS saldo, event_type AS status FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1"""))
+def _(spark, d):
+    updates = table(spark, d, "events").select(
+        F.col("user_id").alias("id"), F.col("value").alias("saldo"), F.col("event_type").alias("status"), "ts"
+    )
+    return merge_rows(contas(spark, d).select("id", "saldo", "status"), updates, ["id"], ["ts"])
+
+
 @query("latest_by_key", sql(
     "conta_id:i id:i valor:r", """
     SELECT conta_id, id, valor FROM eventos

@@ -12,6 +12,7 @@ from .functions.columns import AsOf, ago, moment
 from .operators.enrich import normalize_types
 from .operators.latest import latest_by_key
 from .schemas import target_type
+from .tables import BUCKETS, create_keyed
 
 # Retention per table, in days.
 RETENTION_DAYS = {"cliente_pf": 2555, "cliente_pj": 2555, "auditoria": 1825, "transacao": 1825}
@@ -64,12 +65,17 @@ def analytics_table(df: DataFrame, source_types: Mapping[str, str] | None = None
     return df.select(*columns).withColumn("created_at", moment(as_of))
 
 
-def create_target_table(spark: SparkSession, name: str, source_types: Mapping[str, str], path: str) -> T.StructType:
-    """Create the empty analytics table of a source table (if absent) and return its schema."""
+def create_target_table(
+    spark: SparkSession, name: str, source_types: Mapping[str, str], path: str | None = None, keys: Sequence[str] = ("id",),
+    buckets: int = BUCKETS,
+) -> T.StructType:
+    """Create the empty analytics table of a source table (if absent) and return its schema.
+
+    The table is bucketed by its keys and sorted by keys and ``created_at``; ``tables.merge_into`` keeps it so.
+    """
     fields = [T.StructField(c, target_type(t)) for c, t in source_types.items()]
     schema = T.StructType([*fields, T.StructField("created_at", T.TimestampType())])
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+    create_keyed(spark, name, schema, keys, ("created_at",), buckets, path)
     return schema
 
 
