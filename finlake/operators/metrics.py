@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import AsOf, ago, count_map, days_ago, ratio, today
+from ..functions.extras import NONE, Extras
 from .ordered import running_totals
 
 
@@ -23,28 +24,30 @@ def _common() -> list[Column]:
     return [F.count(F.lit(1)).alias("total_transacoes"), F.sum("valor").alias("valor_total")]
 
 
-def metrics_hourly(df: DataFrame) -> DataFrame:
+def metrics_hourly(df: DataFrame, extras: Extras = NONE) -> DataFrame:
     """Expects the columns added by ``enrich_transactions``."""
-    return df.groupBy("hora", "tipo_transacao", "status").agg(
+    return extras.checked(extras.rows(df).groupBy("hora", "tipo_transacao", "status").agg(
         *_common(),
         F.avg("valor").alias("valor_medio"),
         F.avg("score_risco").alias("score_risco_medio"),
         _approved().alias("transacoes_aprovadas"),
         F.sum("valor_alto").alias("transacoes_valor_alto"),
-    ).withColumn("taxa_aprovacao", _approval_rate())
+        *extras.columns(),
+    ).withColumn("taxa_aprovacao", _approval_rate()))
 
 
-def metrics_location(df: DataFrame) -> DataFrame:
-    return df.groupBy("estado", "cidade", "tipo_transacao").agg(
+def metrics_location(df: DataFrame, extras: Extras = NONE) -> DataFrame:
+    return extras.checked(extras.rows(df).groupBy("estado", "cidade", "tipo_transacao").agg(
         *_common(),
         F.avg("score_risco").alias("score_risco_medio"),
         _approved().alias("transacoes_aprovadas"),
-    )
+        *extras.columns(),
+    ))
 
 
-def metrics_account(df: DataFrame) -> DataFrame:
+def metrics_account(df: DataFrame, extras: Extras = NONE) -> DataFrame:
     """Expects the columns added by ``enrich_transactions``."""
-    return df.groupBy("conta_id").agg(
+    return extras.checked(extras.rows(df).groupBy("conta_id").agg(
         *_common(),
         F.avg("valor").alias("valor_medio"),
         F.max("valor").alias("valor_maximo"),
@@ -52,10 +55,11 @@ def metrics_account(df: DataFrame) -> DataFrame:
         F.avg("score_risco").alias("score_risco_medio"),
         _approved().alias("transacoes_aprovadas"),
         F.sum("valor_alto").alias("transacoes_valor_alto"),
-    ).withColumn("taxa_aprovacao", _approval_rate())
+        *extras.columns(),
+    ).withColumn("taxa_aprovacao", _approval_rate()))
 
 
-def aggregate_daily(df: DataFrame) -> DataFrame:
+def aggregate_daily(df: DataFrame, extras: Extras = NONE) -> DataFrame:
     """Per account and day.
 
     Ids are counted in a branch of their own that carries nothing else: next to the other measures
@@ -65,6 +69,7 @@ def aggregate_daily(df: DataFrame) -> DataFrame:
     def matches(column: str, value: str) -> Column:
         return F.count_if(F.col(column) == value).alias(f"qtd_{value.lower()}")
 
+    df = extras.rows(df)
     day = F.date_trunc("day", "data_transacao")
     ids = df.select(F.col("conta_id").alias("_conta"), day.alias("_dia"), "id").distinct()
     ids = ids.groupBy("_conta", "_dia").agg(F.count("id").alias("qtd_transacoes_unicas"))
@@ -80,12 +85,15 @@ def aggregate_daily(df: DataFrame) -> DataFrame:
         F.avg("score_risco").alias("score_risco_medio"),
         F.max("score_risco").alias("score_risco_maximo"),
         F.count_if(F.col("valor") > 1000).alias("qtd_valor_alto"),
+        *extras.columns(),
     ).withColumn("ticket_medio", ratio(F.col("valor_total"), F.col("total_transacoes")))
     same = F.col("conta_id").eqNullSafe(F.col("_conta")) & F.col("data_ref").eqNullSafe(F.col("_dia"))
-    return sums.join(ids, same).drop("_conta", "_dia")
+    return extras.checked(sums.join(ids, same).drop("_conta", "_dia"))
 
 
-def aggregate_windows(df: DataFrame, days: Sequence[int] = (1, 7, 30), as_of: AsOf = None) -> DataFrame:
+def aggregate_windows(
+    df: DataFrame, days: Sequence[int] = (1, 7, 30), as_of: AsOf = None, extras: Extras = NONE
+) -> DataFrame:
     """Daily account aggregates of the last N days, for each N.
 
     A window starts at midnight, so a day is inside it or not: the days are aggregated once for
@@ -96,20 +104,21 @@ def aggregate_windows(df: DataFrame, days: Sequence[int] = (1, 7, 30), as_of: As
         F.array(*[F.lit(n) for n in sorted(days)]),
         lambda n: F.col("data_ref") >= F.date_sub(today(as_of), n).cast("timestamp"),
     )
-    return aggregate_daily(recent).withColumn("janela_dias", F.explode(windows))
+    return aggregate_daily(recent, extras).withColumn("janela_dias", F.explode(windows))
 
 
-def aggregate_window(df: DataFrame, days: int, as_of: AsOf = None) -> DataFrame:
-    return aggregate_windows(df, (days,), as_of)
+def aggregate_window(df: DataFrame, days: int, as_of: AsOf = None, extras: Extras = NONE) -> DataFrame:
+    return aggregate_windows(df, (days,), as_of, extras)
 
 
-def aggregate_global(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.date_trunc("day", "data_transacao").alias("data_ref")).agg(
+def aggregate_global(df: DataFrame, extras: Extras = NONE) -> DataFrame:
+    return extras.checked(extras.rows(df).groupBy(F.date_trunc("day", "data_transacao").alias("data_ref")).agg(
         *_common(),
         F.avg("valor").alias("valor_medio"),
         F.countDistinct("conta_id").alias("contas_ativas"),
         F.avg("score_risco").alias("score_risco_medio"),
-    )
+        *extras.columns(),
+    ))
 
 
 def live_transaction_metrics(

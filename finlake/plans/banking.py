@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.extras import Extras
 from ..operators import enrich, medallion, metrics, profile, reports, risk
 from ..sources.testdata import clientes, contas, eventos, eventos_risco, table, transacoes
 from .registry import BANK_DAY, EVENT_DAY, query, sql
@@ -269,6 +270,58 @@ def _(spark, d):
     return metrics.metrics_hourly(enrich.enrich_transactions(eventos(spark, d)))
 
 
+MORE_COLUMNS = "maior_tempo:i cidades:i"
+MORE = "max(tempo_processamento_ms) AS maior_tempo, count(DISTINCT cidade) AS cidades"
+
+
+def _extras() -> Extras:
+    """Expressions need a session."""
+    return Extras({"maior_tempo": F.max("tempo_processamento_ms"), "cidades": F.count_distinct("cidade")}, F.col("canal") == "WEB")
+
+
+@query("extras_hourly", sql(
+    f"hora:i tipo_transacao:s status:s total_transacoes:i valor_total:r valor_medio:r transacoes_valor_alto:i {MORE_COLUMNS}", f"""
+    SELECT {HOUR} AS hora, tipo_transacao, status, {COMMON}, count(*) FILTER (valor > 1000) AS transacoes_valor_alto, {MORE}
+    FROM eventos WHERE canal = 'WEB' GROUP BY ALL"""))
+def _(spark, d):
+    found = metrics.metrics_hourly(enrich.enrich_transactions(eventos(spark, d)), _extras())
+    return found.drop("score_risco_medio", "transacoes_aprovadas", "taxa_aprovacao")
+
+
+@query("extras_location", sql(
+    f"estado:s cidade:s tipo_transacao:s total_transacoes:i valor_total:r {MORE_COLUMNS}", f"""
+    SELECT estado, cidade, tipo_transacao, {COMMON}, {MORE} FROM transacoes WHERE canal = 'WEB' GROUP BY estado, cidade, tipo_transacao"""))
+def _(spark, d):
+    return metrics.metrics_location(transacoes(spark, d), _extras()).drop("score_risco_medio", "transacoes_aprovadas")
+
+
+@query("extras_account", sql(
+    f"conta_id:i total_transacoes:i valor_total:r valor_medio:r {MORE_COLUMNS}", f"""
+    SELECT conta_id, {COMMON}, {MORE} FROM eventos WHERE canal = 'WEB' GROUP BY conta_id"""))
+def _(spark, d):
+    found = metrics.metrics_account(enrich.enrich_transactions(eventos(spark, d)), _extras())
+    return found.select("conta_id", "total_transacoes", "valor_total", "valor_medio", "maior_tempo", "cidades")
+
+
+@query("extras_windows", sql(
+    f"conta_id:i data_ref:t janela_dias:i total_transacoes:i valor_total:r {MORE_COLUMNS}", f"""
+    SELECT conta_id, data_ref, janela_dias, total_transacoes, valor_total, maior_tempo, cidades FROM (
+        SELECT conta_id, date_trunc('day', data_transacao) AS data_ref, {COMMON}, {MORE} FROM transacoes
+        WHERE canal = 'WEB' GROUP BY conta_id, date_trunc('day', data_transacao)) t
+    JOIN (SELECT unnest([7, 30]) AS janela_dias) w ON data_ref >= DATE '{BANK_DAY}' - to_days(CAST(janela_dias AS INT))"""))
+def _(spark, d):
+    found = metrics.aggregate_windows(transacoes(spark, d), (7, 30), BANK_DAY, _extras())
+    return found.select("conta_id", "data_ref", "janela_dias", "total_transacoes", "valor_total", "maior_tempo", "cidades")
+
+
+@query("extras_global", sql(
+    f"data_ref:t total_transacoes:i valor_total:r contas_ativas:i {MORE_COLUMNS}", f"""
+    SELECT date_trunc('day', data_transacao) AS data_ref, {COMMON}, count(DISTINCT conta_id) AS contas_ativas, {MORE}
+    FROM transacoes WHERE canal = 'WEB' GROUP BY date_trunc('day', data_transacao)"""))
+def _(spark, d):
+    return metrics.aggregate_global(transacoes(spark, d), _extras()).drop("valor_medio", "score_risco_medio")
+
+
 @query("metrics_location", sql(
     "estado:s cidade:s tipo_transacao:s total_transacoes:i valor_total:r score_risco_medio:r transacoes_aprovadas:i", f"""
     SELECT estado, cidade, tipo_transacao, {COMMON} FROM transacoes GROUP BY ALL"""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.extras import Extras
 from ..operators import alerts, features, windows
 from ..operators.latest import keep_latest
 from ..sources.testdata import clientes, contas, eventos, transacoes
@@ -101,23 +102,34 @@ PIX_COLUMNS = (
 )
 
 
-@query("alert_r1", sql(FRAUD_COLUMNS, f"""
+R1_SQL = f"""
     SELECT 'ALT-R1-' || id AS alerta_id, conta_id, id AS transacao_id, 'ALTO_VALOR_NOTURNO' AS tipo_fraude,
            0.85 AS score_fraude, 'ALTO' AS nivel_risco,
            'Transação de alto valor (R$ ' || {_money('valor')} || ') em horário noturno' AS descricao,
            'REGRA_1_ALTO_VALOR_NOTURNO' AS regras_acionadas, valor AS valor_transacao, canal, cidade, estado,
            data_transacao AS timestamp_alerta, 'BLOQUEAR_E_VERIFICAR' AS recomendacao
-    FROM eventos WHERE valor > 10000 AND {NIGHT}"""))
+    FROM eventos WHERE valor > 10000 AND {NIGHT}"""
+
+
+@query("alert_r1", sql(FRAUD_COLUMNS, R1_SQL))
 def _(spark, d):
     return alerts.high_value_at_night(eventos(spark, d))
 
 
+def _long(size: str) -> str:
+    return {"1 minute": "1 minuto", "5 minutes": "5 minutos", "1 hour": "1 hora", "12 hours": "12 horas"}[size]
+
+
+def _short(size: str) -> str:
+    return {"5 minutes": "5min", "1 hour": "1h", "12 hours": "12h"}[size]
+
+
 def _rapid(size: str, minimum: int) -> str:
     return f"""
     SELECT 'ALT-R2-' || conta_id || '-' || {_stamp('w')} AS alerta_id, conta_id, 0 AS transacao_id,
            'TRANSACOES_RAPIDAS' AS tipo_fraude, CASE WHEN n >= 10 THEN 0.95 WHEN n >= 5 THEN 0.80 ELSE 0.60 END AS score_fraude,
            CASE WHEN n >= 10 THEN 'CRITICO' WHEN n >= 5 THEN 'ALTO' ELSE 'MEDIO' END AS nivel_risco,
-           n || ' transações em 1 minuto da conta' AS descricao, 'REGRA_2_TRANSACOES_RAPIDAS' AS regras_acionadas,
+           n || ' transações em {_long(size)} da conta' AS descricao, 'REGRA_2_TRANSACOES_RAPIDAS' AS regras_acionadas,
            s AS valor_transacao, '' AS canal, '' AS cidade, '' AS estado, w + INTERVAL '{size}' AS timestamp_alerta,
            'REVISAO_MANUAL' AS recomendacao
     FROM (SELECT conta_id, {_tumble(size)} AS w, count(*) AS n, sum(valor) AS s FROM eventos WHERE aprovada
@@ -139,7 +151,7 @@ def _build_up(size: str, slide: str, panes: int, limit: int) -> str:
     SELECT 'ALT-R3-' || conta_id || '-' || {_stamp('window_end')} AS alerta_id, conta_id, 0 AS transacao_id,
            'ACUMULO_VALOR' AS tipo_fraude, CASE WHEN s > 50000 THEN 0.98 WHEN s > 30000 THEN 0.90 ELSE 0.75 END AS score_fraude,
            CASE WHEN s > 50000 THEN 'CRITICO' WHEN s > 30000 THEN 'ALTO' ELSE 'MEDIO' END AS nivel_risco,
-           'Acumulo de R$ ' || {_money('s')} || ' em 5 minutos da conta' AS descricao,
+           'Acumulo de R$ ' || {_money('s')} || ' em {_long(size)} da conta' AS descricao,
            'REGRA_3_ACUMULO_VALOR' AS regras_acionadas, s AS valor_transacao, '' AS canal, '' AS cidade, '' AS estado,
            window_end AS timestamp_alerta, 'BLOQUEAR_E_VERIFICAR' AS recomendacao
     FROM (SELECT conta_id, window_end, sum(valor) AS s FROM ({_hops(size, slide, panes, 'aprovada')})
@@ -156,13 +168,18 @@ def _(spark, d):
     return alerts.value_build_up(eventos(spark, d), "1 hour", "5 minutes", 15000)
 
 
-@query("alert_r4", sql(
-    "alerta_id:s conta_id:i transacao_id:i tipo_fraude:s cidade_anterior:s cidade:s timestamp_anterior:t "
-    "timestamp_alerta:t", """
+R4_COLUMNS = (
+    "alerta_id:s conta_id:i transacao_id:i tipo_fraude:s cidade_anterior:s cidade:s timestamp_anterior:t timestamp_alerta:t"
+)
+R4_SQL = """
     SELECT 'ALT-R4-' || id AS alerta_id, conta_id, id AS transacao_id, 'DESVIO_GEOGRAFICO' AS tipo_fraude,
            p AS cidade_anterior, cidade, q AS timestamp_anterior, data_transacao AS timestamp_alerta
     FROM (SELECT *, lag(cidade) OVER w AS p, lag(data_transacao) OVER w AS q FROM eventos
-          WINDOW w AS (PARTITION BY conta_id ORDER BY data_transacao, id)) WHERE p <> cidade"""))
+          WINDOW w AS (PARTITION BY conta_id ORDER BY data_transacao, id)) WHERE p <> cidade"""
+
+
+@query("alert_r4", sql(
+    R4_COLUMNS, R4_SQL))
 def _(spark, d):
     return alerts.location_change(eventos(spark, d))
 
@@ -188,7 +205,7 @@ def _(spark, d):
 def _sweep(size: str, minimum: int) -> str:
     return f"""
     SELECT 'PIX-CEP2-' || conta_id || '-' || {_stamp(f"w + INTERVAL '{size}'")} AS alerta_id, conta_id, 0 AS transacao_id,
-           'PIX_VARREDURA' AS tipo_alerta, s AS valor_transacao, n || ' PIX em 5min' AS descricao, 0.85 AS score_risco,
+           'PIX_VARREDURA' AS tipo_alerta, s AS valor_transacao, n || ' PIX em {_short(size)}' AS descricao, 0.85 AS score_risco,
            w + INTERVAL '{size}' AS timestamp_alerta, 'BLOQUEAR_PROXIMOS_PIX' AS recomendacao
     FROM (SELECT conta_id, {_tumble(size)} AS w, count(*) AS n, sum(valor) AS s FROM eventos
           WHERE tipo_transacao = 'PIX' AND status = 'AUTORIZADA' GROUP BY 1, 2 HAVING count(*) >= {minimum})"""
@@ -204,11 +221,14 @@ def _(spark, d):
     return alerts.pix_sweep(eventos(spark, d), "1 hour", 2)
 
 
-@query("alert_r7", sql(PIX_COLUMNS, f"""
+R7_SQL = f"""
     SELECT 'PIX-CEP3-' || id AS alerta_id, conta_id, id AS transacao_id, 'PIX_HORARIO_ANOMALO' AS tipo_alerta,
            valor AS valor_transacao, 'PIX R$ ' || {_money('valor')} || ' as ' || {HOUR} || 'h' AS descricao,
            greatest(score_risco, 0.7e0) AS score_risco, data_transacao AS timestamp_alerta, 'NOTIFICAR_CLIENTE' AS recomendacao
-    FROM eventos WHERE tipo_transacao = 'PIX' AND valor > 5000 AND {NIGHT}"""))
+    FROM eventos WHERE tipo_transacao = 'PIX' AND valor > 5000 AND {NIGHT}"""
+
+
+@query("alert_r7", sql(PIX_COLUMNS, R7_SQL))
 def _(spark, d):
     return alerts.pix_odd_hours(eventos(spark, d))
 
@@ -217,7 +237,7 @@ def _cities(size: str, slide: str, panes: int, minimum: int) -> str:
     hops = _hops(size, slide, panes, "tipo_transacao = 'PIX'")
     return f"""
     SELECT 'PIX-CEP4-' || conta_id || '-' || {_stamp('window_end')} AS alerta_id, conta_id, 0 AS transacao_id,
-           'PIX_MULTI_CIDADE' AS tipo_alerta, s AS valor_transacao, n || ' cidades em 1h' AS descricao, 0.92 AS score_risco,
+           'PIX_MULTI_CIDADE' AS tipo_alerta, s AS valor_transacao, n || ' cidades em {_short(size)}' AS descricao, 0.92 AS score_risco,
            window_end AS timestamp_alerta, 'BLOQUEAR_CONTA' AS recomendacao
     FROM (SELECT conta_id, window_end, count(DISTINCT cidade) AS n, sum(valor) AS s FROM ({hops})
           GROUP BY 1, 2 HAVING count(DISTINCT cidade) >= {minimum})"""
@@ -277,6 +297,85 @@ def _(spark, d):
     return alerts.risk_alerts(eventos(spark, d), 0.45, EVENT_DAY)
 
 
+# --- rules and aggregates with a condition and measures of the caller ------------------------
+
+WEB = "WITH web AS (SELECT * FROM eventos WHERE canal = 'WEB' OR valor > 9000)"
+
+
+def _per_row(rule: str, transaction: str = "transacao_id") -> str:
+    """The rule over the rows the condition leaves, with a measure of each transaction."""
+    return f"""{WEB} SELECT r.*, e.valor * 2 + e.tempo_processamento_ms AS peso
+    FROM ({rule.replace("FROM eventos", "FROM web")}) r JOIN eventos e ON e.id = r.{transaction}"""
+
+
+def _per_window(rule: str, size: str, rows: str, measure: str) -> str:
+    """The same with a measure of the window's rows."""
+    return f"""{WEB} SELECT r.*, (
+        SELECT {measure} FROM web w WHERE w.conta_id = r.conta_id AND {rows} AND w.data_transacao < r.timestamp_alerta
+        AND w.data_transacao >= r.timestamp_alerta - INTERVAL '{size}') AS peso
+    FROM ({rule.replace("FROM eventos", "FROM web")}) r"""
+
+
+def _extras(measure: str) -> Extras:
+    """Per transaction, per group and per sum, as the rule takes it; expressions need a session."""
+    time = F.col("tempo_processamento_ms")
+    peso = {"row": F.col("valor") * 2 + time, "group": F.max(time), "sum": time}[measure]
+    return Extras({"peso": peso}, (F.col("canal") == "WEB") | (F.col("valor") > 9000))
+
+
+@query("extras_r1", sql(f"{FRAUD_COLUMNS} peso:r", _per_row(R1_SQL)))
+def _(spark, d):
+    return alerts.high_value_at_night(eventos(spark, d), extras=_extras("row"))
+
+
+@query("extras_r2", sql(f"{FRAUD_COLUMNS} peso:i", _per_window(_rapid("1 hour", 2), "1 hour", "w.aprovada", "max(tempo_processamento_ms)")))
+def _(spark, d):
+    return alerts.rapid_transactions(eventos(spark, d), "1 hour", 2, _extras("group"))
+
+
+@query("extras_r3", sql(f"{FRAUD_COLUMNS} peso:i", _per_window(_build_up("1 hour", "5 minutes", 12, 9500), "1 hour", "w.aprovada", "sum(tempo_processamento_ms)")))
+def _(spark, d):
+    return alerts.value_build_up(eventos(spark, d), "1 hour", "5 minutes", 9500, _extras("sum"))
+
+
+@query("extras_r4", sql(f"{R4_COLUMNS} peso:r", f"""{WEB} SELECT r.*, e.valor * 2 + e.tempo_processamento_ms AS peso
+    FROM ({R4_SQL}) r JOIN web e ON e.id = r.transacao_id"""))
+def _(spark, d):
+    return alerts.location_change(eventos(spark, d), extras=_extras("row"))
+
+
+@query("extras_r5", sql(f"{PIX_COLUMNS} peso:r", _per_row(_pix_high(5000))))
+def _(spark, d):
+    return alerts.pix_high_value(eventos(spark, d), 5000, _extras("row"))
+
+
+@query("extras_r6", sql(f"{PIX_COLUMNS} peso:i", _per_window(
+    _sweep("12 hours", 2), "12 hours", "w.tipo_transacao = 'PIX' AND w.status = 'AUTORIZADA'", "max(tempo_processamento_ms)")))
+def _(spark, d):
+    return alerts.pix_sweep(eventos(spark, d), "12 hours", 2, extras=_extras("group"))
+
+
+@query("extras_r7", sql(f"{PIX_COLUMNS} peso:r", _per_row(R7_SQL)))
+def _(spark, d):
+    return alerts.pix_odd_hours(eventos(spark, d), extras=_extras("row"))
+
+
+@query("extras_r8", sql(f"{PIX_COLUMNS} peso:i", _per_window(
+    _cities("12 hours", "1 hour", 12, 2), "12 hours", "w.tipo_transacao = 'PIX'", "sum(tempo_processamento_ms)")))
+def _(spark, d):
+    return alerts.pix_many_cities(eventos(spark, d), "12 hours", "1 hour", 2, _extras("sum"))
+
+
+@query("extras_r9", sql(f"{RISK_COLUMNS} peso:r", _per_row(_high_risk(0.45), "transaction_id")))
+def _(spark, d):
+    return alerts.high_risk(eventos(spark, d), 0.45, EVENT_DAY, _extras("row"))
+
+
+@query("extras_r10", sql(f"{RISK_COLUMNS} peso:r", _per_row(PATTERN, "transaction_id")))
+def _(spark, d):
+    return alerts.suspicious_pattern(eventos(spark, d), EVENT_DAY, _extras("row"))
+
+
 @query("flagged_accounts", sql("account_id:i", f"SELECT DISTINCT account_id FROM ({_high_risk(0.45)})"))
 def _(spark, d):
     return alerts.flagged_accounts(alerts.risk_alerts(eventos(spark, d), 0.45, EVENT_DAY))

@@ -1,6 +1,8 @@
 import pytest
 from conftest import rows, tx
+from pyspark.sql import functions as F
 
+from finlake.functions.extras import Extras
 from finlake.operators import alerts
 
 
@@ -80,3 +82,19 @@ def test_high_risk_needs_a_lower_threshold(spark):
     assert rows(both.select("alert_type", "recommended_action")) == [
         ("HIGH_RISK_TRANSACTION", "REVIEW_MANUAL"), ("SUSPICIOUS_PATTERN", "INVESTIGATE")]
     assert rows(alerts.flagged_accounts(both)) == [(7,)]
+
+
+def test_measures_may_not_take_a_column_of_the_result(spark):
+    df = tx(spark, (1, 1, "PIX", 20000.0, "2024-03-14T02:00:00"))
+    with pytest.raises(ValueError, match="valor_transacao"):
+        alerts.high_value_at_night(df, extras=Extras({"valor_transacao": F.lit(1)}))
+
+
+def test_a_condition_that_is_null_leaves_the_row_out(spark):
+    df = tx(spark, (1, 1, "PIX", 20000.0, "2024-03-14T02:00:00", None), (2, 1, "PIX", 20000.0, "2024-03-14T03:00:00", "A"), (3, 1, "PIX", 20000.0, "2024-03-14T04:00:00", "B"))
+    extras = Extras({"dobro": F.col("valor") * 2}, F.col("cidade") == "A")
+    assert rows(alerts.high_value_at_night(df, extras=extras).select("transacao_id", "dobro")) == [(2, 40000.0)]
+    # A transaction that raises no alert is still the one before.
+    back = Extras({"dobro": F.col("valor") * 2}, F.col("cidade") == "B")
+    assert rows(alerts.location_change(df, extras=back).select("transacao_id", "cidade_anterior", "dobro")) == [(3, "A", 40000.0)]
+    assert alerts.location_change(df, extras=Extras(where=F.col("cidade") == "A")).count() == 0
