@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bitmaps import distinct_counts
 from ..functions.columns import AsOf, ago, business_hours, day_of_week, haversine_km, is_weekend, moment, ratio, today
 from .enrich import classe_risco
 from .latest import upsert
@@ -30,6 +31,11 @@ class FeatureView:
             "extra": [c for c in df.columns if c not in known],
         }
 
+    def conform(self, df: DataFrame, dtype: str = "double") -> DataFrame:
+        """The declared columns in their order: undeclared ones go, features without source data are NULL."""
+        columns = [F.col(c) if c in df.columns else F.lit(None).cast(dtype).alias(c) for c in self.features]
+        return df.select(self.entity, self.event_timestamp, *columns)
+
 
 # The declared feature views.
 CATALOGUE = {
@@ -154,11 +160,15 @@ def fraud_features(
 ) -> DataFrame:
     """Transactions of the last hours with their context.
 
-    Nothing earlier than one more hour can be in a look-back, so the scan starts there.
+    Nothing earlier than one more hour can be in a look-back, so the scan starts there. Where transactions have a place
+    (``latitude``, ``longitude``) or a ``dispositivo``, the distance from the one before and the devices are attached; for
+    these the whole history is read, of the accounts that were active in those hours.
     """
-    needed = transacoes.where(F.col("data_transacao") > ago(f"{hours + 1} hours", as_of))
     ts = F.col("data_transacao")
-    rows = other_transactions_1h(needed, past_only).where(ts > ago(f"{hours} hours", as_of))
+    recent = ts > ago(f"{hours} hours", as_of)
+    needed = transacoes.where(ts > ago(f"{hours + 1} hours", as_of))
+    rows = _with_context(other_transactions_1h(needed, past_only).where(recent), transacoes, recent)
+    context = [c for c in CONTEXT if c in rows.columns and c not in transacoes.columns]
     return rows.select(
         F.col("id").alias("transacao_id"),
         ts.alias("event_timestamp"),
@@ -171,9 +181,27 @@ def fraud_features(
         "valor_acumulado_1h",
         F.col("score_risco").alias("score_fraude_anterior"),
         F.col("aprovada").alias("is_aprovada"),
+        *context,
     )
 
 
+CONTEXT = ("distancia_ultima_transacao_km", "qtd_dispositivos_30d", "is_novo_dispositivo")
+
+
+def _with_context(rows: DataFrame, transacoes: DataFrame, wanted: Column) -> DataFrame:
+    """The wanted rows with distance and devices, where the transactions have what these take.
+
+    Both are looked up in the history of the rows' accounts. Rows that repeat account, time and id share the smaller distance.
+    """
+    active = transacoes.where(wanted & F.col("conta_id").isNotNull()).select("conta_id").distinct()
+    history = transacoes.join(active, "conta_id", "left_semi")
+    if {"latitude", "longitude"} <= set(transacoes.columns):
+        key = ["conta_id", "data_transacao", "id"]
+        apart = distance_to_previous(history.select(*key, "latitude", "longitude")).where(wanted)
+        rows = rows.join(apart.groupBy(*key).agg(F.min(CONTEXT[0]).alias(CONTEXT[0])), key, "left")
+    return new_devices(recent_devices(rows, uses=history), uses=history) if "dispositivo" in transacoes.columns else rows
+
+
 def _per_customer(contas: DataFrame, per_account: DataFrame) -> DataFrame:
     """Account sums with the account owner."""
     accounts = contas.select(F.col("id").alias("conta_id"), "cliente_id", "saldo", "tipo_conta")
@@ -196,11 +224,13 @@ def customer_features(
         F.sum("n7").alias("n7"),
         F.max(F.col("tipo_conta") == "INVESTIMENTO").alias("tem_investimento"),
     )
+    products = distinct_counts(contas, "cliente_id", values={"tipos_produto_contratados": "tipo_conta"})
     joined = (
         clientes.where(F.col("status") == status)
         .select(F.col("id").alias("cliente_id"), "data_nascimento", "created_at", "score_risco")
         .join(owned, "cliente_id", "left")
-        .fillna(0, ["qtd_contas", "saldo_total", "volume_mensal_transacoes", "n7"])
+        .join(products, "cliente_id", "left")
+        .fillna(0, ["qtd_contas", "saldo_total", "volume_mensal_transacoes", "n7", "tipos_produto_contratados"])
     )
     return joined.select(
         "cliente_id",
@@ -211,6 +241,7 @@ def customer_features(
         "saldo_total",
         "volume_mensal_transacoes",
         (F.col("n7") / 7.0).alias("frequencia_transacoes_semanal"),
+        F.col("tipos_produto_contratados").cast("int").alias("tipos_produto_contratados"),
         F.coalesce("tem_investimento", F.lit(False)).alias("tem_investimento"),
         F.col("score_risco").alias("risco_score"),
         classe_risco(F.col("score_risco")).alias("classe_risco"),
@@ -260,9 +291,12 @@ def distance_to_previous(transacoes: DataFrame) -> DataFrame:
     return rows.withColumn("distancia_ultima_transacao_km", km).drop("prev_latitude", "prev_longitude")
 
 
-def new_devices(transacoes: DataFrame) -> DataFrame:
-    """Transactions flagged when they are the first of their device on the account."""
-    first = transacoes.groupBy("conta_id", "dispositivo").agg(
+def new_devices(transacoes: DataFrame, uses: DataFrame | None = None) -> DataFrame:
+    """Transactions flagged when they are the first of their device on the account.
+
+    ``uses`` has the transactions to look in, where those are not ``transacoes`` themselves.
+    """
+    first = (transacoes if uses is None else uses).groupBy("conta_id", "dispositivo").agg(
         F.min(F.struct("data_transacao", "id")).alias("primeira")
     )
     joined = transacoes.join(first, ["conta_id", "dispositivo"], "left")
@@ -270,15 +304,20 @@ def new_devices(transacoes: DataFrame) -> DataFrame:
     return joined.withColumn("is_novo_dispositivo", F.coalesce(F.col("primeira") == here, F.lit(False))).drop("primeira")
 
 
-def recent_devices(transacoes: DataFrame, width: timedelta = timedelta(days=30)) -> DataFrame:
+def recent_devices(
+    transacoes: DataFrame, width: timedelta = timedelta(days=30), uses: DataFrame | None = None
+) -> DataFrame:
     """Distinct devices of the account in the ``width`` up to each transaction.
 
+    ``uses`` has the transactions to look in, where those are not ``transacoes`` themselves.
+
     A device counts from each use until it is used again or ``width`` has passed, so the number of
     devices is a running sum of +1 and -1 steps and no set is built.
     """
     span = width // timedelta(microseconds=1)
+    source = transacoes if uses is None else uses
     uses = (
-        transacoes.where(F.col("dispositivo").isNotNull())
+        source.where(F.col("dispositivo").isNotNull())
         .select("conta_id", "dispositivo", F.unix_micros("data_transacao").alias("us"))
         .distinct()
         .withColumn("aparelho", F.concat_ws("|", F.col("conta_id").cast("string"), "dispositivo"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AsOf, ago, count_map, days_ago, ratio, today
+from ..functions.columns import AsOf, ago, count_map, days_ago, moment, ratio, today
 from ..functions.extras import NONE, Extras
 from .ordered import running_totals
 
@@ -104,7 +104,7 @@ def aggregate_windows(
         F.array(*[F.lit(n) for n in sorted(days)]),
         lambda n: F.col("data_ref") >= F.date_sub(today(as_of), n).cast("timestamp"),
     )
-    return aggregate_daily(recent, extras).withColumn("janela_dias", F.explode(windows))
+    return aggregate_daily(recent, extras).withColumn("janela_dias", F.explode(windows)).withColumn("data_processamento", moment(as_of))
 
 
 def aggregate_window(df: DataFrame, days: int, as_of: AsOf = None, extras: Extras = NONE) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AsOf, day_of_week, days_ago, ratio, today
+from ..functions.columns import AsOf, day_of_week, days_ago, moment, ratio, today
 from .enrich import base_customer, classe_risco
 
 
@@ -116,5 +116,6 @@ def customer_profile(
         .withColumns({
             "classe_risco": classe_risco(F.col("score_risco")),
             "perfil_ativo": F.coalesce(F.col("dias_desde_ultima_transacao") <= 30, F.lit(False)),
+            "data_processamento": moment(as_of),
         })
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bitmaps import distinct_counts
-from ..functions.columns import AsOf, is_night, ratio, today
+from ..functions.columns import AsOf, is_night, moment, ratio, today
 from .enrich import neutral_fill, nivel_risco
 
 # Weight of each component.
@@ -152,4 +152,5 @@ def risk_score(
         filled.withColumn("score_risco_calculado", (total * scale).cast("int"))
         .withColumn("nivel_risco", nivel_risco(F.col("score_risco_calculado")))
         .withColumn("data_scoring", today(as_of))
+        .withColumn("data_processamento", moment(as_of))
     )

@@ -344,7 +344,7 @@ DAILY_COLUMNS = (
     "conta_id:i data_ref:t total_transacoes:i valor_total:r valor_medio:r valor_maximo:r valor_minimo:r "
     "valor_desvio_padrao:r qtd_transacoes_unicas:i qtd_pix:i qtd_ted:i qtd_doc:i qtd_debito:i qtd_credito:i "
     "qtd_mobile:i qtd_web:i qtd_agencia:i hora_media:r score_risco_medio:r score_risco_maximo:r qtd_valor_alto:i "
-    "ticket_medio:r janela_dias:i"
+    "ticket_medio:r janela_dias:i data_processamento:t"
 )
 
 
@@ -358,7 +358,7 @@ def _daily_sql(days: int) -> str:
            sum(valor) AS valor_total, avg(valor) AS valor_medio, max(valor) AS valor_maximo, min(valor) AS valor_minimo,
            stddev_samp(valor) AS valor_desvio_padrao, count(DISTINCT id) AS qtd_transacoes_unicas, {kinds}, {channels},
            avg({HOUR}) AS hora_media, avg(score_risco) AS score_risco_medio, max(score_risco) AS score_risco_maximo,
-           count(*) FILTER (valor > 1000) AS qtd_valor_alto, sum(valor) / count(*) AS ticket_medio, {days} AS janela_dias
+           count(*) FILTER (valor > 1000) AS qtd_valor_alto, sum(valor) / count(*) AS ticket_medio, {days} AS janela_dias, TIMESTAMP '{BANK_DAY}' AS data_processamento
     FROM transacoes WHERE data_transacao >= DATE '{BANK_DAY}' - {days} GROUP BY 1, 2"""
 
 
@@ -529,13 +529,13 @@ CUSTOMER_BEHAVIOUR = _behaviour_sql("o.cliente_id", "transacoes t JOIN contas o
 
 @query("customer_profile", sql(
     f"id:i nome:s idade:i tempo_como_cliente_dias:i score_risco:r status:s data_cadastro:d {ROLLUP_COLUMNS} "
-    f"{BEHAVIOUR_COLUMNS} classe_risco:s perfil_ativo:b", f"""
+    f"{BEHAVIOUR_COLUMNS} classe_risco:s perfil_ativo:b data_processamento:t", f"""
     SELECT c.id, c.nome, trunc((DATE '{BANK_DAY}' - c.data_nascimento) / 365.25e0) AS idade,
            DATE '{BANK_DAY}' - c.created_at AS tempo_como_cliente_dias, c.score_risco, c.status,
            c.created_at AS data_cadastro, a.* EXCLUDE (cliente_id), b.* EXCLUDE (cliente_id),
            CASE WHEN c.score_risco >= 800 THEN 'A' WHEN c.score_risco >= 600 THEN 'B'
                 WHEN c.score_risco >= 400 THEN 'C' ELSE 'D' END AS classe_risco,
-           coalesce(b.dias_desde_ultima_transacao <= 30, false) AS perfil_ativo
+           coalesce(b.dias_desde_ultima_transacao <= 30, false) AS perfil_ativo, TIMESTAMP '{BANK_DAY}' AS data_processamento
     FROM clientes c LEFT JOIN ({ROLLUP}) a ON a.cliente_id = c.id
     LEFT JOIN ({CUSTOMER_BEHAVIOUR}) b ON b.cliente_id = c.id"""), precise=["utilizacao_limite_pct"])
 def _(spark, d):
@@ -618,12 +618,12 @@ def _risk_sql(scale: int) -> str:
                + score_concentracao * 0.10e0 + score_diversidade * 0.10e0) * {scale}) AS INT) AS score_risco_calculado FROM j)
     SELECT *, CASE WHEN score_risco_calculado >= 750 THEN 'BAIXO' WHEN score_risco_calculado >= 500 THEN 'MEDIO'
                    WHEN score_risco_calculado >= 250 THEN 'ALTO' ELSE 'MUITO_ALTO' END AS nivel_risco,
-           DATE '{BANK_DAY}' AS data_scoring FROM f"""
+           DATE '{BANK_DAY}' AS data_scoring, TIMESTAMP '{BANK_DAY}' AS data_processamento FROM f"""
 
 
 RISK_COLUMNS = (
     "id:i nome:s score_risco:r score_comportamento:r score_atividade:r score_concentracao:r score_credito:i "
-    "score_diversidade:i score_risco_calculado:i nivel_risco:s data_scoring:d"
+    "score_diversidade:i score_risco_calculado:i nivel_risco:s data_scoring:d data_processamento:t"
 )
 
 

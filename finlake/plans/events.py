@@ -516,17 +516,17 @@ def _(spark, d):
 
 @query("customer_features", sql(
     "cliente_id:i event_timestamp:t idade:i tempo_como_cliente_dias:i qtd_contas:i saldo_total:r "
-    "volume_mensal_transacoes:i frequencia_transacoes_semanal:r tem_investimento:b risco_score:r classe_risco:s", f"""
+    "volume_mensal_transacoes:i frequencia_transacoes_semanal:r tipos_produto_contratados:i tem_investimento:b risco_score:r classe_risco:s", f"""
     WITH n AS (SELECT conta_id, count(*) AS n30,
                       count(*) FILTER (data_transacao > TIMESTAMP '{BANK_DAY}' - INTERVAL 7 DAY) AS n7
                FROM transacoes WHERE data_transacao > TIMESTAMP '{BANK_DAY}' - INTERVAL 30 DAY GROUP BY conta_id),
          a AS (SELECT cliente_id, count(DISTINCT id) AS q, sum(saldo) AS s, sum(n30) AS n30, sum(n7) AS n7,
-                      bool_or(tipo_conta = 'INVESTIMENTO') AS inv
+                      bool_or(tipo_conta = 'INVESTIMENTO') AS inv, count(DISTINCT tipo_conta) AS tipos
                FROM contas LEFT JOIN n ON n.conta_id = contas.id GROUP BY cliente_id)
     SELECT c.id AS cliente_id, TIMESTAMP '{BANK_DAY}' AS event_timestamp,
            date_sub('year', c.data_nascimento, DATE '{BANK_DAY}') AS idade, DATE '{BANK_DAY}' - c.created_at AS tempo_como_cliente_dias,
            coalesce(a.q, 0) AS qtd_contas, coalesce(a.s, 0) AS saldo_total, coalesce(a.n30, 0) AS volume_mensal_transacoes,
-           coalesce(a.n7, 0) / 7.0e0 AS frequencia_transacoes_semanal, coalesce(a.inv, false) AS tem_investimento,
+           coalesce(a.n7, 0) / 7.0e0 AS frequencia_transacoes_semanal, coalesce(a.tipos, 0) AS tipos_produto_contratados, coalesce(a.inv, false) AS tem_investimento,
            c.score_risco AS risco_score,
            CASE WHEN c.score_risco >= 800 THEN 'A' WHEN c.score_risco >= 600 THEN 'B'
                 WHEN c.score_risco >= 400 THEN 'C' ELSE 'D' END AS classe_risco
@@ -560,40 +560,59 @@ def _with_place(rows):
     })
 
 
-@query("distance_to_previous", sql(
-    "id:i distancia_ultima_transacao_km:r", """
+DISTANCE_SQL = """
     WITH p AS (SELECT id, conta_id, data_transacao, -33.0e0 + (id % 380) / 10.0e0 AS la, -73.0e0 + (id % 390) / 10.0e0 AS lo
                FROM eventos),
          q AS (SELECT *, lag(la) OVER w AS pla, lag(lo) OVER w AS plo FROM p
                WINDOW w AS (PARTITION BY conta_id ORDER BY data_transacao, id))
     SELECT id, 2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(la - pla) / 2), 2)
            + cos(radians(pla)) * cos(radians(la)) * pow(sin(radians(lo - plo) / 2), 2))) AS distancia_ultima_transacao_km
-    FROM q"""))
+    FROM q"""
+
+
+@query("distance_to_previous", sql(
+    "id:i distancia_ultima_transacao_km:r", DISTANCE_SQL))
 def _(spark, d):
     rows = features.distance_to_previous(_with_place(eventos(spark, d)))
     return rows.select("id", "distancia_ultima_transacao_km")
 
 
-@query("new_devices", sql(
-    "id:i dispositivo:s is_novo_dispositivo:b", """
+NEW_DEVICES_SQL = """
     SELECT id, 'D' || (id % 11) AS dispositivo,
            row_number() OVER (PARTITION BY conta_id, id % 11 ORDER BY data_transacao, id) = 1 AS is_novo_dispositivo
-    FROM eventos"""))
+    FROM eventos"""
+
+
+@query("new_devices", sql(
+    "id:i dispositivo:s is_novo_dispositivo:b", NEW_DEVICES_SQL))
 def _(spark, d):
     rows = eventos(spark, d).withColumn("dispositivo", F.concat(F.lit("D"), F.col("id") % 11))
     return features.new_devices(rows).select("id", "dispositivo", "is_novo_dispositivo")
 
 
-@query("devices_30d", sql(
-    "id:i qtd_dispositivos_30d:i", """
+DEVICES_SQL = """
     SELECT id, (SELECT count(DISTINCT o.id % 11) FROM eventos o WHERE o.conta_id = t.conta_id
                 AND o.data_transacao BETWEEN t.data_transacao - INTERVAL 30 DAY AND t.data_transacao) AS qtd_dispositivos_30d
-    FROM eventos t"""))
+    FROM eventos t"""
+
+
+@query("devices_30d", sql(
+    "id:i qtd_dispositivos_30d:i", DEVICES_SQL))
 def _(spark, d):
     rows = eventos(spark, d).withColumn("dispositivo", F.concat(F.lit("D"), F.col("id") % 11))
     return features.recent_devices(rows).select("id", "qtd_dispositivos_30d")
 
 
+@query("fraud_features_context", sql(
+    f"{FRAUD_FEATURES} distancia_ultima_transacao_km:r qtd_dispositivos_30d:i is_novo_dispositivo:b", f"""
+    SELECT f.*, p.distancia_ultima_transacao_km, d.qtd_dispositivos_30d, n.is_novo_dispositivo
+    FROM ({_fraud_features("")}) f JOIN ({DISTANCE_SQL}) p ON p.id = f.transacao_id JOIN ({DEVICES_SQL}) d ON d.id = f.transacao_id
+    JOIN ({NEW_DEVICES_SQL}) n ON n.id = f.transacao_id"""))
+def _(spark, d):
+    rows = _with_place(eventos(spark, d)).withColumn("dispositivo", F.concat(F.lit("D"), F.col("id") % 11))
+    return features.fraud_features(rows, EVENT_DAY, hours=960)
+
+
 @query("point_in_time_features", sql(
     "conta_id:i request_ts:t event_timestamp:t score:r", """
     SELECT r.conta_id, r.request_ts, f.event_timestamp, f.score
