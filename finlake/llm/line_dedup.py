@@ -1,20 +1,23 @@
 """Line deduplication on levelled sorted runs of line hashes.
 
-Documents come in batches. A batch's distinct line hashes are merge-joined with the runs on disk: hashes no run holds
-are the batch's own first sightings, the others only add to counts. The batch is then written as a sorted run; when a
-level has ``fanout`` runs they are compacted into one run of the next level. A run takes about 40 bytes per line hash.
+Documents come in batches. A batch's distinct line hashes are merge-anti-joined with the runs on disk: hashes no run holds
+become the batch's own run, with their counts; for the others the batch leaves an update. So every hash has its row in one
+run only, and nothing is ever summed over all runs: updates are merged into their rows when a level has ``fanout`` runs and
+is compacted into one of the next level, and where the counts are read. Runs and updates are bucketed by the hash and
+sorted, so each of these joins is bucket by bucket, and only the batch itself moves. A run takes about 40 bytes per hash.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fields_and, per_batch, settle
+from .common import as_bytes, fields_and, per_batch, scratch_dir, settle
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
 
@@ -32,48 +35,78 @@ def key_hash(key: bytes, min_chars: int) -> bytes | None:
 
 
 class LineRuns:
-    """Runs of (key, docs, last_id, first): in how many documents a line occurs, the largest id among them.
+    """Runs of (key, docs, last_id): in how many documents a line occurs, the largest id among them.
 
-    ``first`` marks the run row in which a key was met first; over all runs each key has one such row.
+    A key is in one run, that of the batch it was met in first or one compacted from it. ``updates`` hold what later
+    batches add to keys that a run has.
     """
 
-    def __init__(self, fanout: int = FANOUT):
-        self.fanout = fanout
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+        self.spark, self.fanout = spark, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.updates: list[DataFrame] = []
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(settle(run.sortWithinPartitions("key"), f"line-run-{level}"))
-
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy("key").agg(
-            F.sum("docs").alias("docs"), F.max("last_id").alias("last_id"), F.max("first").alias("first")
-        )
+    def _write(self, rows: DataFrame) -> DataFrame:
+        """The rows as files bucketed by key and sorted; the catalogue names them only until they are resolved."""
+        name = f"finlake_line_run_{uuid.uuid4().hex}"
+        writer = rows.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key")
+        writer.option("path", f"{scratch_dir(self.spark)}/finlake-llm/{name}").saveAsTable(name, format="parquet")
+        written = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        return written
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
+    def _added(self) -> DataFrame | None:
+        """All updates, one row for each key."""
+        if not self.updates:
+            return None
+        return reduce(DataFrame.unionByName, self.updates).groupBy("key").agg(F.sum("docs").alias("more"), F.max("last_id").alias("later"))
+
+    @staticmethod
+    def _updated(run: DataFrame, added: DataFrame | None) -> DataFrame:
+        if added is None:
+            return run
+        return run.join(added, "key", "left").select(
+            "key", (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"), F.greatest("last_id", "later").alias("last_id")
+        )
+
     def add(self, lines: DataFrame) -> None:
         """Take a batch of (key, id), of documents no earlier batch held."""
-        batch = lines.select("key", "id").distinct().groupBy("key").agg(
+        batch = self._write(lines.select("key", "id").distinct().groupBy("key").agg(
             F.count(F.lit(1)).alias("docs"), F.max("id").alias("last_id")
-        )
-        first = F.lit(True)
-        if self.levels:
-            held = reduce(DataFrame.unionByName, self.runs()).where("first").select("key", F.lit(True).alias("held"))
-            batch, first = batch.join(held, "key", "left"), F.col("held").isNull()
-        self._write(batch.select("key", "docs", "last_id", first.alias("first")), 0)
-        level = 0
-        while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
+        ))
+        new = batch
+        if self.runs():
+            for run in self.runs():
+                new = new.join(run.select("key"), "key", "left_anti")
+            new = self._write(new)
+            self.updates.append(self._write(batch.join(new.select("key"), "key", "left_anti")))
+        self._put(new, 0)
+
+    def _put(self, run: DataFrame, level: int) -> None:
+        while len(self.levels) <= level:
+            self.levels.append([])
+        self.levels[level].append(run)
+        if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged(full), level + 1)
-            level += 1
+            self._put(self._compacted(full), level + 1)
+
+    def _compacted(self, runs: list[DataFrame]) -> DataFrame:
+        """One run of several, their updates merged in; updates of other runs stay."""
+        added = self._added()
+        merged = self._write(reduce(DataFrame.unionByName, [self._updated(run, added) for run in runs]))
+        if added is not None:
+            rest = added.join(merged.select("key"), "key", "left_anti")
+            self.updates = [self._write(rest.select("key", F.col("more").alias("docs"), F.col("later").alias("last_id")))]
+        return merged
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """Keys held by at least so many documents over all runs."""
-        return self._merged(self.runs()).where(F.col("docs") >= min_docs).drop("first")
+        """Keys held by at least so many documents."""
+        added = self._added()
+        return reduce(DataFrame.unionByName, [self._updated(run, added).where(F.col("docs") >= min_docs) for run in self.runs()])
 
 
 def line_hashes(docs: DataFrame, id_col: Column, text_col: Column, min_chars: int) -> DataFrame:
@@ -99,7 +132,7 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     lines = settle(
         held.select(F.pmod(F.xxhash64("id"), F.lit(batches)).alias("batch"), "id", F.explode("keys").alias("key")), "lines"
     )
-    runs = LineRuns()
+    runs = LineRuns(docs.sparkSession)
     for i in range(batches):
         runs.add(lines.where(F.col("batch") == i))
     frequent = settle(runs.frequent(min_docs), "line-counts")
@@ -107,6 +140,12 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS, batches: int = BATCHES,
@@ -114,19 +153,22 @@ def drop_repeated_lines(
     """All rows with their text less the repeated lines, plus __lines and __dropped (line counts).
 
     A line of at least ``min_chars`` code points found in ``min_docs`` documents stays only in the largest id that
-    holds it. Rows sharing an id count as one document; rows without an id neither count nor lose lines. A null text
-    is one empty line and stays null. An empty table gives an empty result.
+    holds it. Ids are whole numbers. Rows sharing an id count as one document; rows without an id neither count nor lose
+    lines. A null text is one empty line and stays null; texts and lines may be of any length. An empty table gives an
+    empty result. Other columns pass through, but for ``__lines`` and ``__dropped`` of the input, which are replaced.
     """
+    docs = docs.drop("__lines", "__dropped")
     lost = repeated_lines(docs, id_col, text_col, min_chars, min_docs, batches)
     names = docs.columns
-    rows = docs.join(lost.select(F.col("id").alias("__id"), F.col("keys").alias("__keys")),
-                     F.col(id_col).cast("long") == F.col("__id"), "left").drop("__id")
+    lost_id, lost_keys = _unused("__id", names), _unused("__keys", names)
+    rows = docs.join(lost.select(F.col("id").alias(lost_id), F.col("keys").alias(lost_keys)),
+                     F.col(id_col).cast("long") == F.col(lost_id), "left").drop(lost_id)
 
     def build():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, total, dropped = [], [], []
             for text, known, keys in zip(as_bytes(batch.column(text_col)), batch.column(text_col).is_valid().to_pylist(),
-                                         batch.column("__keys").to_pylist(), strict=True):
+                                         batch.column(lost_keys).to_pylist(), strict=True):
                 lines = text.split(b"\n")
                 kept = lines
                 if keys:

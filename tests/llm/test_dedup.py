@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from finlake.llm import minimal_hash
@@ -72,18 +73,46 @@ def test_line_dedup_odd_rows(spark):
     assert drop_repeated_lines(docs.limit(0)).count() == 0
 
 
-def test_line_runs_compact_and_know_first_sightings(spark):
-    runs, expected = LineRuns(fanout=2), {}
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_line_runs_hold_each_key_once(spark, fanout):
+    runs, expected = LineRuns(spark, fanout), {}
     for batch in range(5):
         lines = [(bytes([k]), 100 * batch + i) for i in range(6) for k in range(batch, batch + 3)]
         runs.add(spark.createDataFrame(lines, "key binary, id long"))
         for k, i in lines:
             expected.setdefault(k, set()).add(i)
+        # The anti-join decides: a key a run holds enters no other.
+        held = [bytes(r["key"]) for run in runs.runs() for r in run.collect()]
+        assert sorted(held) == sorted(expected)
     assert sum(map(len, runs.levels)) < 5
     got = {bytes(r["key"]): (r["docs"], r["last_id"]) for r in runs.frequent(1).collect()}
     assert got == {k: (len(v), max(v)) for k, v in expected.items()}
-    firsts = [bytes(r["key"]) for run in runs.runs() for r in run.where("first").collect()]
-    assert sorted(firsts) == sorted(expected)
+    assert runs.frequent(7).count() == sum(len(v) >= 7 for v in expected.values())
+
+
+def test_line_runs_are_read_bucket_by_bucket(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = LineRuns(spark)
+        for batch in range(2):
+            runs.add(spark.createDataFrame([(bytes([k, batch * (k % 2)]), k) for k in range(50)], "key binary, id long"))
+        first, second = runs.runs()
+        joined = second.join(first.select("key"), "key", "left_anti")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and joined.count() == 25 == second.count()
+        assert runs.updates[0].count() == 25
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_line_dedup_with_clashing_columns(spark):
+    line = "a line of more than forty characters, in every document"
+    rows = [(i, f"own {i}\n{line}", 1, "k", 2, 3) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id long, __keys string, __lines long, __dropped long")
+    found = drop_repeated_lines(docs)
+    assert found.columns == ["doc_id", "text", "__id", "__keys", "__lines", "__dropped"]
+    assert sorted(map(tuple, found.collect())) == [(i, f"own {i}", 1, "k", 2, 1) for i in range(5)] + [(5, rows[5][1], 1, "k", 2, 0)]
 
 
 def test_components_of_random_graphs(spark):
