@@ -49,6 +49,13 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
     return settle(rows.withColumn(name, F.monotonically_increasing_id()), "numbered", "zstd")
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, with further underscores while a column has it."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; a null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

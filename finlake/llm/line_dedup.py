@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, fields_and, per_batch, scratch_dir, settle
+from .common import as_bytes, fields_and, per_batch, scratch_dir, settle, unused
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
 
@@ -140,12 +140,6 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 
-def _unused(name: str, taken: list[str]) -> str:
-    while name in taken:
-        name += "_"
-    return name
-
-
 def drop_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS, batches: int = BATCHES,
@@ -160,7 +154,7 @@ def drop_repeated_lines(
     docs = docs.drop("__lines", "__dropped")
     lost = repeated_lines(docs, id_col, text_col, min_chars, min_docs, batches)
     names = docs.columns
-    lost_id, lost_keys = _unused("__id", names), _unused("__keys", names)
+    lost_id, lost_keys = unused("__id", names), unused("__keys", names)
     rows = docs.join(lost.select(F.col("id").alias(lost_id), F.col("keys").alias(lost_keys)),
                      F.col(id_col).cast("long") == F.col(lost_id), "left").drop(lost_id)
 

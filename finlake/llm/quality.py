@@ -43,6 +43,7 @@ class Model:
     vectors: np.ndarray  # BUCKETS + 1 x DIM
     output: np.ndarray  # DIM x classes
     bias: np.ndarray
+    rows: int = 0  # learned from
 
     def buckets(self) -> np.ndarray:
         """What each bucket adds to each class."""
@@ -65,6 +66,7 @@ def train(
     rows = np.flatnonzero(np.diff(cuts))
     if not len(rows):
         return model
+    model.rows = len(rows)
     share = np.bincount([labels[i] for i in rows], minlength=classes) + 1.0
     model.bias += np.log(share / share.sum()).astype(np.float32)
     step, steps = 0, epochs * len(rows)

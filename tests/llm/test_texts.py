@@ -174,6 +174,53 @@ def test_packing_of_odd_rows(spark):
     assert {r["bucket_tokens"] for r in packing.pack(docs_of(spark, [(1, None)]), TOKENIZER).collect()} == {0}
 
 
+def odd_tables(spark, path, labelled):
+    """documents with odd rows and clashing names, labels and benchmark, as the stages read them."""
+    line = "This line is long enough and stands in every document of the table."
+    own = [(i, " ".join(f"word{i}x{j}" for j in range(30)) + f"\n{line}") for i in range(10, 18)]
+    passage = " ".join(f"bench{j}" for j in range(12))
+    rows = ODD + own + [(20, own[0][1]), (None, None), (21, "long " * 60_000), (22, f"before {passage} after"), (23, own[1][1].replace("x5 ", "y5 "))]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or ""), 1, 2, "k", 0.5) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, __row long, __lines long, __keys string, __score double")
+    docs.write.parquet(f"{path}/documents.parquet")
+    marks = [(i, int(i < 16), 0) for i in range(10, 18)] if labelled else []
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_pipeline_stages_with_odd_rows(spark, tmp_path):
+    path = str(tmp_path)
+    docs = odd_tables(spark, path, labelled=False)
+    stages = dict(corpus_pipeline.STAGES)
+    passed = stages["quality classifier"](spark, docs, path)
+    assert sorted(map(tuple, passed.collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)  # nothing known of quality
+    # The stages that read __lines give and take the input's columns, but for those two of the line operator's own.
+    docs = docs.drop("__lines")
+    lines = settle(stages["line dedup"](spark, docs, path), "t")
+    assert lines.columns == docs.columns and lines.count() == docs.count()
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.collect()}
+    assert "\n" not in texts[10][0] and texts[10][1] == len(texts[10][0]) and texts[1] == (None, 0) and "\n" in texts[23][0]
+    near = stages["n-gram Jaccard join"](spark, lines, path)
+    kept = sorted((r["doc_id"], r["text"] or "") for r in near.collect() if r["doc_id"] is not None)
+    ids = [i for i, _ in kept]
+    assert near.columns == docs.columns and 20 not in ids and {1, 2, 3, 4, 10, 12, 21, 22} <= set(ids) and ids.count(6) == 1
+    clean = stages["benchmark decontamination"](spark, settle(near, "t"), path)
+    assert clean.columns == docs.columns and near.count() - clean.count() == 1
+    packed = stages["packing"](spark, settle(clean, "t"), path).collect()
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in clean.collect()} and max(r["segment"] for r in packed if r["doc_id"] == 21) > 10
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    path = str(tmp_path)
+    odd_tables(spark, path, labelled=True)
+    docs = spark.read.parquet(f"{path}/documents.parquet").where("false").drop("__lines")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = settle(stage(spark, docs, path), "t")
+        assert docs.count() == 0
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = documents(spark)
     scores = {r["doc_id"]: r["predicted"] for r in QUERIES["op1_quality_classifier"](spark, SF).collect()}
