@@ -3,15 +3,15 @@
 Documents come in batches. A batch's distinct line hashes are merge-anti-joined with the runs on disk: hashes no run holds
 become the batch's own run, with their counts; for the others the batch leaves an update. So every hash has its row in one
 run only, and nothing is ever summed over all runs: updates are merged into their rows when a level has ``fanout`` runs and
-is compacted into one of the next level, and where the counts are read. Runs and updates are bucketed by the hash and
-sorted, so each of these joins is bucket by bucket, and only the batch itself moves. A run takes about 40 bytes per hash.
+is compacted into one of the next level, and where the counts are read. Runs are bucketed by the hash and
+sorted, so each of these joins is bucket by bucket, and only the batch and the updates move. A run takes about 40 bytes a
+hash.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,25 +45,34 @@ class LineRuns:
         self.spark, self.fanout = spark, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
-        self.updates: list[DataFrame] = []
+        self.updates: list[str] = []
 
-    def _write(self, rows: DataFrame) -> DataFrame:
-        """The rows as files bucketed by key and sorted; the catalogue names them only until they are resolved."""
-        name = f"finlake_line_run_{uuid.uuid4().hex}"
-        writer = rows.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key")
-        writer.option("path", f"{scratch_dir(self.spark)}/finlake-llm/{name}").saveAsTable(name, format="parquet")
+    def _place(self, label: str) -> str:
+        return f"{scratch_dir(self.spark)}/finlake-llm/line-{label}-{uuid.uuid4().hex}"
+
+    def _written(self, parts: list[DataFrame]) -> DataFrame:
+        """A run of the parts' rows: files bucketed by key and sorted. The catalogue names it only until it is resolved."""
+        name, path = f"finlake_line_run_{uuid.uuid4().hex}", self._place("run")
+        for rows in parts:
+            writer = rows.repartition(self.buckets, "key").write.mode("append").bucketBy(self.buckets, "key").sortBy("key")
+            writer.option("path", path).saveAsTable(name, format="parquet")
         written = self.spark.table(name)
         self.spark.sql(f"DROP TABLE {name}")
         return written
 
+    def _update(self, rows: DataFrame) -> None:
+        self.updates.append(self._place("update"))
+        rows.write.parquet(self.updates[-1])
+
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _added(self) -> DataFrame | None:
-        """All updates, one row for each key."""
+    def added(self) -> DataFrame | None:
+        """(key, more, later): all updates, one row for each key."""
         if not self.updates:
             return None
-        return reduce(DataFrame.unionByName, self.updates).groupBy("key").agg(F.sum("docs").alias("more"), F.max("last_id").alias("later"))
+        rows = self.spark.read.schema("key binary, docs long, last_id long").parquet(*self.updates)
+        return rows.groupBy("key").agg(F.sum("docs").alias("more"), F.max("last_id").alias("later"))
 
     @staticmethod
     def _updated(run: DataFrame, added: DataFrame | None) -> DataFrame:
@@ -75,15 +84,15 @@ class LineRuns:
 
     def add(self, lines: DataFrame) -> None:
         """Take a batch of (key, id), of documents no earlier batch held."""
-        batch = self._write(lines.select("key", "id").distinct().groupBy("key").agg(
+        batch = self._written([lines.select("key", "id").distinct().groupBy("key").agg(
             F.count(F.lit(1)).alias("docs"), F.max("id").alias("last_id")
-        ))
+        )])
         new = batch
         if self.runs():
             for run in self.runs():
                 new = new.join(run.select("key"), "key", "left_anti")
-            new = self._write(new)
-            self.updates.append(self._write(batch.join(new.select("key"), "key", "left_anti")))
+            new = self._written([new])
+            self._update(batch.join(new.select("key"), "key", "left_anti"))
         self._put(new, 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
@@ -96,17 +105,20 @@ class LineRuns:
 
     def _compacted(self, runs: list[DataFrame]) -> DataFrame:
         """One run of several, their updates merged in; updates of other runs stay."""
-        added = self._added()
-        merged = self._write(reduce(DataFrame.unionByName, [self._updated(run, added) for run in runs]))
+        added = self.added()
+        merged = self._written([self._updated(run, added) for run in runs])
         if added is not None:
             rest = added.join(merged.select("key"), "key", "left_anti")
-            self.updates = [self._write(rest.select("key", F.col("more").alias("docs"), F.col("later").alias("last_id")))]
+            self.updates = []
+            self._update(rest.select("key", F.col("more").alias("docs"), F.col("later").alias("last_id")))
         return merged
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """Keys held by at least so many documents."""
-        added = self._added()
-        return reduce(DataFrame.unionByName, [self._updated(run, added).where(F.col("docs") >= min_docs) for run in self.runs()])
+        """(key, docs, last_id) of the keys held by at least so many documents, written run by run."""
+        added, path = self.added(), self._place("frequent")
+        for run in self.runs():
+            self._updated(run, added).where(F.col("docs") >= min_docs).write.mode("append").parquet(path)
+        return self.spark.read.schema("key binary, docs long, last_id long").parquet(path)
 
 
 def line_hashes(docs: DataFrame, id_col: Column, text_col: Column, min_chars: int) -> DataFrame:
@@ -135,8 +147,7 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     runs = LineRuns(docs.sparkSession)
     for i in range(batches):
         runs.add(lines.where(F.col("batch") == i))
-    frequent = settle(runs.frequent(min_docs), "line-counts")
-    lost = lines.join(frequent, "key").where(F.col("id") != F.col("last_id"))
+    lost = lines.join(runs.frequent(min_docs), "key").where(F.col("id") != F.col("last_id"))
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 

@@ -101,7 +101,7 @@ def test_line_runs_are_read_bucket_by_bucket(spark):
         joined = second.join(first.select("key"), "key", "left_anti")
         text = joined._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in text and joined.count() == 25 == second.count()
-        assert runs.updates[0].count() == 25
+        assert runs.added().count() == 25
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
