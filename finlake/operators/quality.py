@@ -176,21 +176,27 @@ def _failing_rows(df: DataFrame, e: Expectation) -> str | None:
 def _listed_values(df: DataFrame, checks: Mapping[int, Expectation]) -> DataFrame | None:
     """(posicao, valor) pairs that break a uniqueness or value-set check, each once.
 
-    Uniqueness reads and groups one column in its own type. Value sets share one scan, from which
-    only invalid values leave, each once per task.
+    All columns to be listed are read in one scan, as one narrow row per check; of a value set only invalid values leave.
+    Rows are counted by check and value, on the map side first.
     """
-    found, invalid = [], []
+    entries, unique_checks = [], []
     for i, e in checks.items():
+        if e.kind not in (UNIQUE, IN_SET):
+            continue
+        column = F.col(f"`{e.column}`")
+        if df.schema[e.column].dataType in (T.DoubleType(), T.FloatType()):
+            column = F.when(column == 0, F.lit(0.0)).otherwise(column)  # one zero, as groups have it
+        value = column.cast("string")
+        pair = F.struct(F.lit(i).alias("posicao"), value.alias("valor"))
         if e.kind == UNIQUE:
-            counted = df.groupBy(F.col(e.column).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-            found.append(counted.select(F.lit(i).alias("posicao"), F.col("v").cast("string").alias("valor")))
-        elif e.kind == IN_SET:
-            value = F.col(e.column).cast("string")
-            pair = F.struct(F.lit(i).alias("posicao"), value.alias("valor"))
-            invalid.append(F.when(value.isNotNull() & ~value.isin(*e.args["value_set"]), pair))
-    if invalid:
-        found.append(df.select(F.inline(F.array_compact(F.array(*invalid)))).distinct())
-    return reduce(DataFrame.unionByName, found) if found else None
+            unique_checks.append(i)
+            entries.append(pair)
+        else:
+            entries.append(F.when(value.isNotNull() & ~value.isin(*e.args["value_set"]), pair))
+    if not entries:
+        return None
+    counted = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("posicao", "valor").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where((F.col("_n") > 1) | ~F.col("posicao").isin(*unique_checks)).drop("_n")
 
 
 def _listed_results(listed: DataFrame, checks: Mapping[int, Expectation], samples: bool) -> list[DataFrame]:
