@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +45,29 @@ def settle(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(rows: DataFrame, name: str) -> DataFrame:
-    """Rows with a number, written once: numbers made anew by another scan may differ, as splits follow the executors."""
-    return settle(rows.withColumn(name, F.monotonically_increasing_id()), "numbered", "zstd")
+#: Files of a scan whose numbers are sent to all tasks; a table of more files is copied with its numbers.
+MAX_FILES = 100_000
+
+
+def numbered(rows: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of the rows (all by default) with a number each, the same in every scan.
+
+    Rows read from Parquet are numbered by their file and their place in it, which no scan changes, however it splits the
+    files. Other rows are written once with their numbers: made anew, these could differ, as splits follow the executors.
+    """
+    columns = columns or rows.columns
+    file = unused("__file", [*rows.columns, name])
+    try:
+        placed = rows.withColumns({name: F.col("_metadata.row_index"), file: F.col("_metadata.file_path")})
+        found = rows.select(F.col("_metadata.file_path").alias(file)).distinct().limit(MAX_FILES + 1).collect()
+    except AnalysisException:
+        found = None
+    if found is None or len(found) > MAX_FILES:
+        return settle(rows.select(*columns).withColumn(name, F.monotonically_increasing_id()), "numbered", "zstd")
+    number = unused("__number", [*rows.columns, name])
+    files = rows.sparkSession.createDataFrame([(f, i) for i, f in enumerate(sorted(r[0] for r in found))], f"{file} string, {number} long")
+    place = F.shiftleft(number, 40) + F.col(name)
+    return placed.join(F.broadcast(files), file).select(*columns, place.alias(name))
 
 
 def unused(name: str, taken: list[str]) -> str:

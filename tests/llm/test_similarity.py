@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from finlake.llm import jaccard
+from finlake.llm import common, jaccard
 from finlake.llm.decontaminate import contamination, winnowed
 from finlake.llm.jaccard import join_region, similarity_classes
 from finlake.llm.queries import ORACLE, QUERIES
@@ -211,3 +212,21 @@ def test_decontamination_of_short_items_and_odd_rows(spark):
     assert (found[1]["n_words"], found[2]["n_words"]) == (0, 0)
     assert contamination(docs_of(spark, rows), items.limit(0)).where("n_hit > 0").count() == 0
     assert contamination(docs_of(spark, rows).limit(0), items).count() == 0
+
+
+def test_numbers_of_parquet_rows_do_not_follow_the_splits(spark, tmp_path):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(1).alias("__file"))
+    df.repartition(3).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    first = {tuple(r) for r in common.numbered(read, "n", ["doc_id"]).collect()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        again = common.numbered(spark.read.parquet(str(tmp_path / "t")).where("doc_id >= 0"), "n")
+        assert again.columns == ["doc_id", "text", "__file", "n"] and {(r["doc_id"], r["n"]) for r in again.collect()} == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(first) == len({n for _, n in first}) == 5000
+    other = common.numbered(df.limit(40), "n", ["doc_id"])  # no file scan: written with its numbers
+    assert other.columns == ["doc_id", "n"] and len({r["n"] for r in other.collect()}) == 40
+    assert common.numbered(read.where("false"), "n").count() == 0
