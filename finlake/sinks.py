@@ -154,9 +154,15 @@ def score_write_back(scores: DataFrame) -> DataFrame:
     return scores.select(F.col("id").alias("cliente_id"), "score_risco_calculado")
 
 
-def write_dead_letters(batch: DataFrame, bad: Column, valid_path: str, dlq_path: str, batch_id: int) -> None:
-    """Both halves of one micro-batch; the condition is evaluated in each write."""
-    write_batch(batch.where(~bad), valid_path, batch_id)
-    write_batch(batch.where(bad), dlq_path, batch_id)
+def write_dead_letters(batch: DataFrame, bad: Column, path: str, batch_id: int) -> None:
+    """Both halves of one micro-batch in one pass, below the batch's folder: ``rejeitado=0`` and ``rejeitado=1``.
+
+    A row for which the condition is unknown is rejected, so none is lost. A repeated batch replaces its folder.
+    """
+    marked = batch.withColumn("rejeitado", F.coalesce(bad, F.lit(True)).cast("int"))
+    write_batch(marked, path, batch_id, ("rejeitado",))
 
 
+def read_half(spark: SparkSession, path: str, rejected: bool = False) -> DataFrame:
+    """Valid rows, or the rejected ones, of all batches ``write_dead_letters`` left."""
+    return spark.read.parquet(path).where(F.col("rejeitado") == int(rejected)).drop("rejeitado")

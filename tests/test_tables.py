@@ -164,9 +164,13 @@ def test_reports_and_dead_letters(spark, tmp_path):
         sinks.save_report(report, path, stamp)
     assert rows(spark.read.json(f"{path}/latest").select("timestamp")) == [("2024-01-02T10:00:00Z",)]
     assert spark.read.json(f"{path}/history").count() == 2
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
-    sinks.write_dead_letters(spark.range(5), F.col("id") > 2, good, bad, 0)
-    assert (spark.read.parquet(good).count(), spark.read.parquet(bad).count()) == (3, 2)
+    half = str(tmp_path / "half")
+    batch = spark.createDataFrame([(i,) for i in range(5)] + [(None,)], "id long")
+    for _ in range(2):  # a repeated batch replaces itself
+        sinks.write_dead_letters(batch, F.col("id") > 2, half, 0)
+    sinks.write_dead_letters(batch, F.col("id") > 3, half, 1)
+    assert rows(sinks.read_half(spark, half).where("batch_id = 0").select("id")) == [(0,), (1,), (2,)]
+    assert sinks.read_half(spark, half, rejected=True).count() == 3 + 2 and sinks.read_half(spark, half).count() == 3 + 4
 
 
 def test_sources(spark, tmp_path):
