@@ -20,14 +20,17 @@ def bit_of(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
 
 
-def value_numbers(df: DataFrame, column: str, name: str) -> DataFrame:
-    """(column, name): a whole number for each distinct value, NULL excepted.
+def value_numbers(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """(_thing, _value, _number): a whole number for each distinct value, NULL excepted, of each of the named columns.
 
     Numbers are dense within the partitions of the distinct values. A partition is sorted before it is numbered, so a
     partition computed again gives the same numbers.
     """
-    values = df.select(column).where(F.col(column).isNotNull()).distinct().sortWithinPartitions(column)
-    return values.withColumn(name, F.monotonically_increasing_id())
+    entries = [
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(n).alias("_thing"), F.col(c).cast("string").alias("_value"))) for n, c in columns.items()
+    ]
+    values = df.select(F.inline(F.array_compact(F.array(*entries)))).distinct().sortWithinPartitions("_thing", "_value")
+    return values.withColumn("_number", F.monotonically_increasing_id())
 
 
 def distinct_counts(
@@ -36,18 +39,21 @@ def distinct_counts(
 ) -> DataFrame:
     """One row per key: how often each condition in ``counts`` holds, and exact numbers of distinct values.
 
-    ``days`` names date expressions, whose day number is the bit; ``values`` names columns of any type, whose values are
-    numbered first. NULL is no value; a key that has none counts 0. The largest intermediate result has one row per key,
+    ``days`` names date expressions, whose day number is the bit; ``values`` names columns, whose values, told
+    apart as text, are numbered first. NULL is no value; a key that has none counts 0. The largest intermediate result has one row per key,
     counted thing and word.
     """
     days, values, counts = days or {}, values or {}, counts or {}
     coded = df.select(
         F.col(key).alias("_key"), *[c.cast("boolean").alias(f"_c_{n}") for n, c in counts.items()],
         *[F.unix_date(c).cast("long").alias(f"_n_{n}") for n, c in days.items()],
-        *[F.col(c).alias(f"_v_{n}") for n, c in values.items()],
+        *[F.col(c).cast("string").alias(f"_v_{n}") for n, c in values.items()],
     )
-    for name, column in values.items():
-        coded = coded.join(value_numbers(df.select(F.col(column).alias(f"_v_{name}")), f"_v_{name}", f"_n_{name}"), f"_v_{name}", "left")
+    # One scan finds the values of all columns; each column's numbers are looked up among them.
+    numbers = value_numbers(df, values) if values else None
+    for name in values:
+        own = numbers.where(F.col("_thing") == name).select(F.col("_value").alias(f"_v_{name}"), F.col("_number").alias(f"_n_{name}"))
+        coded = coded.join(own, f"_v_{name}", "left")
     things = [*days, *values]
 
     def entry(i: int, name: str) -> Column:
