@@ -1,5 +1,7 @@
 """Exact distinct counts as bitmaps against sets."""
 
+import contextlib
+import io
 import random
 from collections import defaultdict
 from datetime import date, timedelta
@@ -34,3 +36,14 @@ def test_one_key_with_most_rows_and_no_rows(spark):
     df = spark.range(200_000).select(F.lit(1).alias("k"), F.date_add(F.lit("2000-01-01"), (F.col("id") % 5000).cast("int")).alias("d"))
     assert rows(distinct_counts(df, "k", {"n": F.col("d")})) == [(1, 5000)]
     assert distinct_counts(df.where("k = 2"), "k", {"n": F.col("d")}, {"m": "d"}).count() == 0
+
+
+def test_rows_are_not_dealt_out_by_a_counted_value(spark):
+    """A join on the value would put all rows of a value into one task."""
+    df = spark.range(1000).select((F.col("id") % 100).alias("k"), F.lit("PIX").alias("kind"), F.date_add(F.lit("2000-01-01"), (F.col("id") % 7).cast("int")).alias("d"))
+    got = distinct_counts(df, "k", {"days": F.col("d")}, {"kinds": "kind"})
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain("simple")
+    assert "Join" not in out.getvalue() and out.getvalue().count("Range") == 1
+    assert rows(got.where("k < 2")) == [(0, 7, 1), (1, 7, 1)]
