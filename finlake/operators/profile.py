@@ -23,12 +23,15 @@ def account_rollup(contas: DataFrame) -> DataFrame:
     ).withColumn("utilizacao_limite_pct", ratio(F.col("saldo_total"), F.col("limite_total")) * 100)
 
 
+# The counted columns.
+KINDS = {"qtd_tipos_transacao": "tipo_transacao", "qtd_canais_utilizados": "canal"}
+
+
 def _sums(as_of: AsOf) -> list[Column]:
     """Additive measures of the behaviour, so they can be rolled up again."""
     ts, valor, score = F.col("data_transacao"), F.col("valor"), F.col("score_risco")
     in30, in90 = ts >= days_ago(30, as_of), ts >= days_ago(90, as_of)
     return [
-        F.count(F.lit(1)).alias("n"),
         F.count_if(in30).alias("n30"),
         F.sum(F.when(in30, valor).otherwise(0)).alias("v30"),
         F.count(F.when(in30, valor)).alias("c30"),
@@ -46,39 +49,49 @@ def _sums(as_of: AsOf) -> list[Column]:
     ]
 
 
-def _behaviour(grain: DataFrame, by: str, as_of: AsOf) -> DataFrame:
-    """Behaviour columns out of (by, tipo_transacao, canal) rows of ``_sums``."""
+def _kinds(transacoes: DataFrame) -> DataFrame:
+    """One narrow row per account and type or channel it used."""
+    things = [F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_kind")) for i, c in enumerate(KINDS.values())]
+    return transacoes.select("conta_id", F.inline(F.array(*things))).distinct()
 
-    def mean(total: str, count: str) -> Column:
-        return F.when(F.sum(count) > 0, F.sum(total) / F.sum(count))
 
-    return (
-        grain.groupBy(by)
-        .agg(
-            F.sum("n30").alias("transacoes_30d"),
-            F.sum("v30").alias("volume_30d"),
-            mean("v30", "c30").alias("ticket_medio_30d"),
-            F.sum("n90").alias("transacoes_90d"),
-            F.sum("v90").alias("volume_90d"),
-            mean("v90", "c90").alias("ticket_medio_90d"),
-            mean("horas", "cts").alias("hora_media_transacoes"),
-            mean("dias", "cts").alias("dia_semana_medio"),
-            F.sum("pix30").alias("pix_30d"),
-            mean("score", "cscore").alias("score_risco_medio_transacoes"),
-            F.max("maxscore").alias("score_risco_max_transacoes"),
-            F.countDistinct("tipo_transacao").alias("qtd_tipos_transacao"),
-            F.countDistinct("canal").alias("qtd_canais_utilizados"),
-            F.max("ultima").alias("ultima_transacao"),
-        )
-        .withColumns({
-            "frequencia_semanal": F.col("transacoes_90d") / 13.0,
-            "dias_desde_ultima_transacao": F.datediff(today(as_of), "ultima_transacao"),
-        })
-    )
+def _kind_counts(kinds: DataFrame, by: str) -> DataFrame:
+    """Distinct types and channels, each counted once however many rows of ``_kinds`` name it."""
+    own = kinds.select(by, "_i", "_kind").distinct() if by != "conta_id" else kinds
+    counts = [F.count_if((F.col("_i") == i) & F.col("_kind").isNotNull()).alias(n) for i, n in enumerate(KINDS)]
+    return own.groupBy(F.col(by).alias("_by")).agg(*counts)
 
 
-def _grain(transacoes: DataFrame, as_of: AsOf) -> DataFrame:
-    return transacoes.groupBy("conta_id", "tipo_transacao", "canal").agg(*_sums(as_of))
+def _behaviour(sums: DataFrame, kinds: DataFrame, by: str, as_of: AsOf) -> DataFrame:
+    """Behaviour columns out of one row of ``_sums`` per ``by`` and the ``_kinds`` of these.
+
+    The wide sums and the narrow kinds are aggregated apart: counted in one aggregate, each wide row would be held once for
+    every counted column.
+    """
+
+    def mean(total: str, count: str) -> Column:
+        return F.when(F.col(count) > 0, F.col(total) / F.col(count))
+
+    # NULL is a ``by`` like any other.
+    joined = sums.join(_kind_counts(kinds, by), F.col(by).eqNullSafe(F.col("_by")), "left")
+    return joined.select(
+        by,
+        F.col("n30").alias("transacoes_30d"),
+        F.col("v30").alias("volume_30d"),
+        mean("v30", "c30").alias("ticket_medio_30d"),
+        F.col("n90").alias("transacoes_90d"),
+        F.col("v90").alias("volume_90d"),
+        mean("v90", "c90").alias("ticket_medio_90d"),
+        mean("horas", "cts").alias("hora_media_transacoes"),
+        mean("dias", "cts").alias("dia_semana_medio"),
+        F.col("pix30").alias("pix_30d"),
+        mean("score", "cscore").alias("score_risco_medio_transacoes"),
+        F.col("maxscore").alias("score_risco_max_transacoes"),
+        *KINDS,
+        F.col("ultima").alias("ultima_transacao"),
+        (F.col("n90") / 13.0).alias("frequencia_semanal"),
+        F.datediff(today(as_of), "ultima").alias("dias_desde_ultima_transacao"),
+    )
 
 
 def _distinct_30d(transacoes: DataFrame, as_of: AsOf) -> DataFrame:
@@ -88,7 +101,8 @@ def _distinct_30d(transacoes: DataFrame, as_of: AsOf) -> DataFrame:
 
 def account_behaviour(transacoes: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Behaviour per account over 30 and 90 days."""
-    whole = _behaviour(_grain(transacoes, as_of), "conta_id", as_of)
+    sums = transacoes.groupBy("conta_id").agg(*_sums(as_of))
+    whole = _behaviour(sums, _kinds(transacoes), "conta_id", as_of)
     return whole.join(_distinct_30d(transacoes, as_of), "conta_id", "left").fillna(0, ["qtd_transacoes_30d"])
 
 
@@ -98,7 +112,13 @@ def customer_behaviour(contas: DataFrame, transacoes: DataFrame, as_of: AsOf = N
     Transactions shrink to one row per account, type and channel before they meet the accounts.
     """
     owner = contas.select(F.col("id").alias("conta_id"), "cliente_id")
-    whole = _behaviour(_grain(transacoes, as_of).join(owner, "conta_id"), "cliente_id", as_of)
+    by = ("conta_id", *KINDS.values())
+    grain = transacoes.groupBy(*by).agg(*_sums(as_of))
+    latest = ("maxscore", "ultima")
+    sums = grain.join(owner, "conta_id").groupBy("cliente_id").agg(
+        *[(F.max if c in latest else F.sum)(c).alias(c) for c in grain.columns if c not in by]
+    )
+    whole = _behaviour(sums, _kinds(transacoes).join(owner, "conta_id"), "cliente_id", as_of)
     ids = _distinct_30d(transacoes, as_of).join(owner, "conta_id").groupBy("cliente_id")
     ids = ids.agg(F.sum("qtd_transacoes_30d").alias("qtd_transacoes_30d"))
     return whole.join(ids, "cliente_id", "left").fillna(0, ["qtd_transacoes_30d"])

@@ -107,3 +107,18 @@ def test_empty_input(spark):
     live = metrics.live_transaction_metrics(df, 60, "2024-03-15").head()
     assert live.transacoes_por_canal == {} and live.taxa_aprovacao == 0.0
     assert metrics.running_metrics(df).count() == 0
+
+
+def test_behaviour_counts_kinds_of_accounts_and_owners(spark):
+    from finlake.operators import profile
+
+    df = tx(
+        spark, (1, 1, "PIX", 10.0, "2024-03-10T10:00:00"), (2, 1, "TED", 20.0, "2024-03-14T10:00:00"), (3, 2, "PIX", 5.0, "2024-03-14T10:00:00"),
+        (4, None, "PIX", 1.0, "2024-03-14T10:00:00"), (5, None, None, 1.0, "2024-03-14T10:00:00"),
+    )
+    columns = ["transacoes_30d", "volume_30d", "qtd_tipos_transacao", "qtd_canais_utilizados"]
+    got = profile.account_behaviour(df, "2024-03-15").select("conta_id", *columns)
+    assert rows(got) == [(1, 2, 30.0, 2, 1), (2, 1, 5.0, 1, 1), (None, 2, 2.0, 1, 1)]
+    owners = spark.createDataFrame([(1, 7), (2, 7), (2, 7), (2, None)], "id long, cliente_id long")
+    got = profile.customer_behaviour(owners, df, "2024-03-15").select("cliente_id", *columns)
+    assert rows(got) == [(7, 4, 40.0, 2, 1), (None, 1, 5.0, 1, 1)]
