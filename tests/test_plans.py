@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from check import TABLES, rows_of
 from finlake.operators import enrich, metrics, reports
 from finlake.plans import ORACLE, QUERIES
+from finlake.session import configure, size_in_bytes
 from finlake.sources.testdata import eventos, transacoes
 
 
@@ -78,3 +79,22 @@ def test_time_filters_reach_the_scan(spark):
 def test_risk_score_reads_each_table_for_its_columns_only(spark):
     text = plan(entry.queries()["risk_score"](spark, SF))
     assert "l_discount" not in text and "l_tax" not in text and "o_orderdate" not in text
+
+
+@pytest.mark.parametrize("name", ["account_behaviour", "customer_profile"])
+def test_wide_sums_are_not_repeated_for_each_counted_column(spark, name):
+    assert "Expand" not in plan(QUERIES[name](spark, SF))
+
+
+def test_parts_are_bounded_and_smaller_ones_kept(spark):
+    split, joined = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = [spark.conf.get(split), spark.conf.get(joined)]
+    try:
+        spark.conf.set(split, "128MB")
+        spark.conf.set(joined, "8m")
+        configure(spark)
+        assert [spark.conf.get(split), spark.conf.get(joined)] == [str(16 << 20), "8m"]
+    finally:
+        spark.conf.set(split, before[0])
+        spark.conf.set(joined, before[1])
+    assert [size_in_bytes(s) for s in ("1024", "64m", "128MB", "7b", "2 KiB")] == [1024, 64 << 20, 128 << 20, 7, 2048]
