@@ -23,7 +23,7 @@ BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 12, 12, 1.0
 MIN_GRAM, MAX_GRAM = 3, 4
 #: Labelled rows the model is fitted on: those with the smallest hash of the id.
 MAX_TRAIN_ROWS = 6000
-#: Features of those rows together, 8 bytes each on the driver; about 1,700 a row make 10 million.
+#: Features of those rows together, 2 bytes each on the driver; about 1,700 a row make 10 million.
 MAX_TRAIN_FEATURES = 25_000_000
 REPEAT = BUCKETS  # the vector of a word that repeats the one before
 MAX_WORDS, MAX_WORD_BYTES, PART = 600_000, 1 << 25, 1 << 16
@@ -51,10 +51,12 @@ class Model:
 
 
 def train(
-    buckets: np.ndarray, counts: np.ndarray, cuts: np.ndarray, labels: list[int], classes: int, epochs: int = EPOCHS, rate: float = RATE,
+    packed: np.ndarray, starts: np.ndarray, cuts: np.ndarray, labels: list[int], classes: int, epochs: int = EPOCHS, rate: float = RATE,
     seed: int = 7,
 ) -> Model:
-    """Stochastic gradient descent over rows: row i has ``buckets[cuts[i]:cuts[i + 1]]``, how often each, and a class.
+    """Stochastic gradient descent over rows: row i has ``cuts[i + 1] - cuts[i]`` features and a class.
+
+    Its features begin at ``packed[starts[i]]``, as ``pack_counts`` puts them; they are unpacked when it is their turn.
 
     The rate falls to zero over the epochs. Rows without features are passed over.
     """
@@ -73,8 +75,8 @@ def train(
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
             i = rows[k]
-            mine = buckets[cuts[i] : cuts[i + 1]]
-            weights = counts[cuts[i] : cuts[i + 1]].astype(np.float32)
+            mine, counts = read_counts(packed[starts[i] : starts[i + 1]])
+            weights = counts.astype(np.float32)
             weights /= weights.sum()
             hidden = weights @ model.vectors[mine]
             logits = hidden @ model.output + model.bias
@@ -103,13 +105,18 @@ def pack_counts(total: np.ndarray) -> bytes:
     return zlib.compress(head.tobytes() + np.where(large, 255, numbers).astype(np.uint8).tobytes() + numbers[large].astype(np.uint32).tobytes(), 1)
 
 
+def read_counts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts) of the bytes that ``pack_counts`` compresses."""
+    size, n_large = np.frombuffer(data[:8].tobytes(), np.uint32).tolist()
+    numbers = data[8 : 8 + 2 * size].astype(np.uint32)
+    if n_large:
+        numbers[numbers == 255] = np.frombuffer(data[8 + 2 * size :].tobytes(), np.uint32, n_large)
+    return (np.cumsum(numbers[:size], dtype=np.int64) - 1).astype(np.int32), numbers[size:]
+
+
 def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, counts) of ``pack_counts``."""
-    data = zlib.decompress(data)
-    size, n_large = np.frombuffer(data, np.uint32, 2)
-    numbers = np.frombuffer(data, np.uint8, 2 * size, 8).astype(np.uint32)
-    numbers[numbers == 255] = np.frombuffer(data[8 + 2 * size :], np.uint32, n_large)
-    return (np.cumsum(numbers[:size], dtype=np.int64) - 1).astype(np.int32), numbers[size:]
+    return read_counts(np.frombuffer(zlib.decompress(data), np.uint8))
 
 
 def row_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
@@ -180,13 +187,16 @@ def fit(
     ends = np.cumsum([n for *_, n in sizes], dtype=np.int64)
     used = int(np.searchsorted(ends, max_features, side="right"))
     cuts = np.concatenate([[0], ends[:used]]).astype(np.int64)
-    buckets, counts = np.zeros(cuts[-1], np.int32), np.zeros(cuts[-1], np.uint32)
     place = {(row_id, label): i for i, (_, row_id, label, _) in enumerate(sizes[:used])}
+    rows = [b""] * used
     for row in found.select("__id", "__label", "packed").toLocalIterator():
         i = place.get((row["__id"], row["__label"]))
         if i is not None:
-            buckets[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]] = unpack_counts(row["packed"])
-    return train(buckets, counts, cuts, [label for _, _, label, _ in sizes[:used]], 2)
+            rows[i] = zlib.decompress(row["packed"])
+    starts = np.cumsum([0, *map(len, rows)], dtype=np.int64)
+    packed = np.frombuffer(b"".join(rows), np.uint8)
+    del rows
+    return train(packed, starts, cuts, [label for _, _, label, _ in sizes[:used]], 2)
 
 
 class _Words(dict):

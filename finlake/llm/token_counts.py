@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -24,6 +24,8 @@ MAX_PIECES, MAX_PIECE_CHARS, CHUNK = 400_000, 64, 1 << 20
 #: Fixed value: the splitter of the byte-level tokenizers (public_tokenizers.PATTERN).
 SPLITTER = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHECKED_PLANES = 2
+#: Strings or characters the driver puts to the library at once; what comes back takes far more room than they do.
+PROVEN_AT_ONCE = 4096
 
 
 def byte_letters() -> list[str]:
@@ -33,6 +35,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+def _parts_of(items: list) -> Iterator[list]:
+    for i in range(0, len(items), PROVEN_AT_ONCE):
+        yield items[i : i + PROVEN_AT_ONCE]
+
+
 @lru_cache(maxsize=4)
 def prove(path: str) -> tuple[str, frozenset[str], frozenset[str], tuple[str, ...]]:
     """Tokenizer text, strings proven to be one token, doubtful characters of the checked planes, special strings."""
@@ -56,16 +63,20 @@ def prove(path: str) -> tuple[str, frozenset[str], frozenset[str], tuple[str, ..
         except (UnicodeDecodeError, KeyError):
             continue
     strings = [s for s in strings if splitter.findall(s) == [s] and s not in special]
-    encoded = tokenizer.encode_batch(strings, add_special_tokens=False)
-    whole = frozenset(s for s, e in zip(strings, encoded, strict=True) if len(e.ids) == 1)
+    whole = frozenset(
+        s for some in _parts_of(strings)
+        for s, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True) if len(e.ids) == 1
+    )
 
     # Every character between a letter and a digit: the cuts on both sides show its class.
-    points = [c for c in range(0x80, CHECKED_PLANES << 16) if not 0xD800 <= c <= 0xDFFF]
-    probe = "".join(f"a{chr(c)}1" for c in points)
-    here = {m.span() for m in splitter.finditer(probe)}
-    there = {span for _, span in tokenizer.pre_tokenizer.pre_tokenize_str(probe)}
-    odd = frozenset(probe[i] for a, b in here ^ there for i in range(a, b)) - {"a", "1"}
-    return text, whole, odd, special
+    # A digit before a letter is cut everywhere, so the characters may be checked part by part.
+    odd: set[str] = set()
+    for points in _parts_of([c for c in range(0x80, CHECKED_PLANES << 16) if not 0xD800 <= c <= 0xDFFF]):
+        probe = "".join(f"a{chr(c)}1" for c in points)
+        here = {m.span() for m in splitter.finditer(probe)}
+        there = {span for _, span in tokenizer.pre_tokenizer.pre_tokenize_str(probe)}
+        odd.update(probe[i] for a, b in here ^ there for i in range(a, b))
+    return text, whole, frozenset(odd - {"a", "1"}), special
 
 
 class _Pieces(dict):

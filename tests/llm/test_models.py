@@ -357,3 +357,12 @@ def test_sixteen_thousand_symbols():
     head = texts[0][:5]
     total = sum(math.exp(s) for s in recurrent.score(trainer.model, [np.append(head, s).astype(np.int32) for s in range(symbols)]))
     assert math.log(total) == pytest.approx(recurrent.score(trainer.model, [head])[0], abs=2e-3)
+
+
+def test_features_of_the_training_rows_take_little_of_the_driver(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(quality, "train", lambda b, c, cuts, y, classes: held.append((b.nbytes + c.nbytes, cuts[-1], len(y))))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.hex(i * 7919 + F.col("id")))).alias("text"))
+    quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")), F.lit(True))
+    (size, features, rows), = held
+    assert rows == 40 and features > 20_000 and size < 3 * features

@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -264,3 +265,14 @@ def test_entry_imports_without_the_text_queries():
         "assert e.queries() and not any(n.startswith('op') or n == 'pipeline' for n in e.queries())\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+
+
+def test_the_proof_of_a_tokenizer_is_bounded_in_memory():
+    # tracemalloc sees what Python holds; the driver has 1500 MB for everything.
+    token_counts.prove.cache_clear()
+    tracemalloc.start()
+    try:
+        token_counts.prove(public_tokenizers.path("byte_bpe_50k.json"))
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
