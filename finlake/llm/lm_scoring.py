@@ -26,7 +26,9 @@ from .common import as_bytes, fields_and, per_batch, settle
 HEAD_WORDS, HEAD_BYTES, SYMBOLS = 1 << 17, 64, 2048
 #: Beyond the fewest, one symbol for so many distinct words, up to a model that tasks can hold.
 WORDS_A_SYMBOL, MOST_SYMBOLS = 16, 1 << 14
-ROUNDS, SMOOTH, COUNTER_WORDS, CHUNKS, FAN_IN = 2, 0.1, 250_000, 32, 16
+ROUNDS, SMOOTH, COUNTER_WORDS, CHUNKS = 2, 0.1, 250_000, 32
+#: Tokens a copy of the model is trained on, about those of 8 MB: copies grow with the texts, not with their partitions.
+COPY_TOKENS = 1_250_000
 UNKNOWN, END = 0, 1
 TAIL_ROWS = 256
 END_WORD = "\n"  # no word holds white space
@@ -95,23 +97,42 @@ class Numbers(dict):
         return out
 
 
-def _averaged(copies: DataFrame) -> DataFrame:
-    """Sums of weighted parameters by chunk, in two steps so that no task reads all copies."""
+def _averaged(copies: DataFrame, fan_in: int) -> DataFrame:
+    """Sums of weighted parameters by chunk, in two steps so that no task reads all copies.
+
+    Copies bring their parameters as 32-bit numbers, sums have 64 bits.
+    """
     schema = "chunk int, part int, weight double, numbers binary"
 
-    def summed(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.float64) for x in table.column("numbers").to_pylist())
-        return pa.table({
-            "chunk": table.column("chunk").slice(0, 1), "part": table.column("part").slice(0, 1),
-            "weight": pa.array([sum(table.column("weight").to_pylist())]), "numbers": pa.array([total.tobytes()], pa.binary()),
-        })
+    def summed(weighted: bool):
+        def run(table: pa.Table) -> pa.Table:
+            weights = table.column("weight").to_pylist()
+            parts = table.column("numbers").to_pylist()
+            if weighted:
+                total = sum(np.frombuffer(x, np.float64) for x in parts)
+            else:
+                total = sum(np.frombuffer(x, np.float32).astype(np.float64) * w for x, w in zip(parts, weights, strict=True))
+            return pa.table({
+                "chunk": table.column("chunk").slice(0, 1), "part": table.column("part").slice(0, 1),
+                "weight": pa.array([sum(weights)]), "numbers": pa.array([total.tobytes()], pa.binary()),
+            })
+
+        return run
+
+    first = copies.withColumn("part", F.col("part") % fan_in).groupBy("chunk", "part").applyInArrow(summed(False), schema)
+    return first.groupBy("chunk").applyInArrow(summed(True), schema)
+
 
-    first = copies.withColumn("part", F.col("part") % FAN_IN).groupBy("chunk", "part").applyInArrow(summed, schema)
-    return first.groupBy("chunk").applyInArrow(summed, schema)
+def copy_count(n_tokens: int) -> int:
+    """Copies of the model that are trained on so many tokens."""
+    return max(1, -(-n_tokens // COPY_TOKENS))
 
 
-def train_round(texts: DataFrame, model: dict[str, np.ndarray], numbers: dict[bytes, int]) -> dict[str, np.ndarray]:
-    """The average of the copies that all tasks train on their texts, each beginning with ``model``."""
+def train_round(texts: DataFrame, model: dict[str, np.ndarray], numbers: dict[bytes, int], copies: int) -> dict[str, np.ndarray]:
+    """The average of at most ``copies`` copies that tasks train on their texts, each beginning with ``model``.
+
+    Each copy is shuffled whole, so there must not be one for every small partition.
+    """
 
     def run(batches):
         from pyspark import TaskContext
@@ -120,16 +141,15 @@ def train_round(texts: DataFrame, model: dict[str, np.ndarray], numbers: dict[by
         for batch in batches:
             trainer.learn([known.of(x) for x in as_bytes(batch.column("text"))])
         if trainer.tokens:
-            values = recurrent.flatten(trainer.model).astype(np.float64) * trainer.tokens
-            parts = np.array_split(values, CHUNKS)
+            parts = np.array_split(recurrent.flatten(trainer.model), CHUNKS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(CHUNKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * CHUNKS, pa.int32()),
                  pa.array([float(trainer.tokens)] * CHUNKS), pa.array([x.tobytes() for x in parts], pa.binary())],
                 ["chunk", "part", "weight", "numbers"],
             )
 
-    copies = texts.mapInArrow(run, "chunk int, part int, weight double, numbers binary")
-    rows = sorted(_averaged(copies).collect(), key=lambda r: r["chunk"])  # CHUNKS rows, together one model
+    trained = texts.coalesce(copies).mapInArrow(run, "chunk int, part int, weight double, numbers binary")
+    rows = sorted(_averaged(trained, math.isqrt(copies)).collect(), key=lambda r: r["chunk"])  # CHUNKS rows, together one model
     if not rows:
         return model
     return recurrent.unflatten(np.concatenate([np.frombuffer(r["numbers"]) / r["weight"] for r in rows]), model)
@@ -166,7 +186,7 @@ def lm_scores(
     amounts = np.array([n_train - in_model, n_ends, *(head[w] for w in names), *[-1] * (symbols - 2 - len(names))], float)
     model = recurrent.new_model(amounts)
     for i in range(rounds):
-        model = train_round(training.where(F.col("round") == i).select("text"), model, numbers)
+        model = train_round(training.where(F.col("round") == i).select("text"), model, numbers, copy_count(n_train // rounds))
 
     others = n_train - in_model + SMOOTH * (n_distinct - len(names) - bool(n_ends) + 1)
     # No word holds white space, so the head travels as one text.

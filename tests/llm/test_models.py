@@ -366,3 +366,14 @@ def test_features_of_the_training_rows_take_little_of_the_driver(spark, monkeypa
     quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")), F.lit(True))
     (size, features, rows), = held
     assert rows == 40 and features > 20_000 and size < 3 * features
+
+
+def test_model_copies_follow_the_tokens_not_the_partitions(spark, monkeypatch):
+    copies, averaged = [], lm_scoring._averaged
+    monkeypatch.setattr(lm_scoring, "_averaged", lambda df, *more: copies.append(df.select("part").distinct().count()) or averaged(df, *more))
+    docs = docs_of(spark, [(i, f"a b c{i % 7} d") for i in range(200)]).repartition(23)
+    assert lm_scoring.lm_scores(docs, F.lit(True)).count() == 200
+    assert copies == [1, 1]
+    monkeypatch.setattr(lm_scoring, "COPY_TOKENS", 200)  # 1000 tokens, 500 a round
+    assert lm_scoring.lm_scores(docs, F.lit(True)).count() == 200
+    assert copies[2:] == [3, 3]
