@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, fields_and, per_batch, settle
 
 MAX_GRAM, PROFILE = 3, 400
-MAX_WORDS, MAX_GRAMS, PART = 200_000, 200_000, 50_000
+MAX_WORDS, MAX_GRAMS, MAX_FLAT, PART = 200_000, 200_000, 1 << 23, 50_000
 UNKNOWN = "und"
 #: Languages whose profiles a task holds at once.
 BLOCK = 1000
@@ -27,6 +27,8 @@ TEXT, PRED, SCORE = "__text", "__lang_pred", "__score"
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LETTERS = regex.compile(r"\p{L}+")
+# ASCII but a-z, in no word, as spaces; bytes of other characters stay.
+_SPACED = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def grams_of(word: str) -> list[str]:
@@ -43,87 +45,110 @@ def grams_of(word: str) -> list[str]:
     return out
 
 
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    """The values, with zeros behind them if there is no room for ``size``: twice as many at least."""
+    return values if size <= len(values) else np.concatenate([values, np.zeros(max(len(values), size - len(values)), values.dtype)])
+
+
 class _Numbers(dict):
-    """Numbers in the order of first use."""
+    """Numbers in the order of first use, and a hash of each n-gram: ``order`` holds those made so far, room follows."""
+
+    def __init__(self, items=()):
+        super().__init__(items)
+        self.fresh, self.order, self.hashed = list(self), np.zeros(1 << 12, np.uint64), 0
 
     def __missing__(self, gram: str) -> int:
         number = self[gram] = len(self)
+        self.fresh.append(gram)
         return number
 
+    def hashes(self) -> np.ndarray:
+        """Hash of each n-gram by its number; only n-grams met since the last call cost anything."""
+        if self.fresh:
+            end = self.hashed + len(self.fresh)
+            self.order = _with_room(self.order, end)
+            self.order[self.hashed : end] = [xxhash.xxh3_64_intdigest(g) for g in self.fresh]
+            self.hashed, self.fresh = end, []
+        return self.order
+
 
 class _Words(dict):
-    """Number of each word, and the numbers of its n-grams one after the other in ``flat``."""
+    """Number of each run of ``runs_of``, and the numbers of its words' n-grams one after the other in ``flat``."""
 
     def __init__(self, number: _Numbers):
         super().__init__()
         self.number = number
-        self.flat, self.fresh = np.zeros(1 << 16, np.int32), []
-        self.used, self.ends = 0, [0]
-
-    def __missing__(self, word: str) -> int:
-        self.fresh += map(self.number.__getitem__, grams_of(word))
+        self.flat, self.fresh = np.zeros(1 << 16, np.int64), []
+        # Where the n-grams of each word begin, and after the last one where they end.
+        self.first, self.ends, self.settled = np.zeros(1 << 12, np.int64), [], 0
+        self.used = 0
+
+    def __missing__(self, run: bytes) -> int:
+        for word in _WORD.findall(run.decode()):
+            self.fresh += map(self.number.__getitem__, grams_of(word))
         self.ends.append(self.used + len(self.fresh))
-        number = self[word] = len(self)
+        number = self[run] = len(self)
         return number
 
     def settle(self) -> None:
         """Put the n-grams of words met since the last call into ``flat``."""
-        if self.fresh:
+        if self.ends:
             end = self.used + len(self.fresh)
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), end - len(self.flat)), np.int32)])
+            self.flat = _with_room(self.flat, end)
             self.flat[self.used : end] = self.fresh
             self.used, self.fresh = end, []
+            self.first = _with_room(self.first, len(self) + 1)
+            self.first[self.settled + 1 : len(self) + 1] = self.ends
+            self.settled, self.ends = len(self), []
 
 
 class Grams:
-    """Numbers for n-grams and, per word, the numbers of its n-grams; both are forgotten beyond a bound."""
+    """Numbers for n-grams and, per run, the numbers of its n-grams; both are forgotten beyond a bound."""
 
     def __init__(self, fixed: list[str] = ()):
-        self.fixed, self.forgotten = list(fixed), 0
+        self.fixed = list(fixed)
         self.forget()
 
     def forget(self) -> None:
-        self.forgotten += 1
         self.number = _Numbers((g, i) for i, g in enumerate(self.fixed))
         self.words = _Words(self.number)
         self.total, self.slot = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def full(self) -> bool:
-        return len(self.words) > MAX_WORDS or len(self.number) > len(self.fixed) + MAX_GRAMS
+        return len(self.words) > MAX_WORDS or self.words.used > MAX_FLAT or len(self.number) > len(self.fixed) + MAX_GRAMS
 
-    def counts(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """(n-gram numbers, occurrences) of counted words, each n-gram once, in no order."""
+    def counts(self, words: Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram numbers, occurrences) of counted runs, each n-gram once, in no order."""
         if self.full():
             self.forget()
-        at = [self.words[w] for w in words]
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         self.words.settle()
-        ends = self.words.ends
-        first = np.array([ends[i] for i in at], np.int64)
-        size = np.array([ends[i + 1] for i in at], np.int64) - first
+        first = self.words.first.take(at)
+        size = self.words.first.take(at + 1) - first
         before = np.cumsum(size) - size
         index = np.arange(int(size.sum()))
-        grams = self.words.flat[np.repeat(first - before, size) + index]
+        grams = self.words.flat.take(np.repeat(first - before, size) + index)
         times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), size)
         if len(self.total) < len(self.number):
             self.total, self.slot = (np.zeros(2 * len(self.number), np.int64) for _ in range(2))
         # ``total`` is zero but for this text; of equal n-grams the one whose index stays in its slot stands for all.
         np.add.at(self.total, grams, times)
         self.slot[grams] = index
-        once = grams[self.slot[grams] == index]
-        found = self.total[once]
+        once = grams[self.slot.take(grams) == index]
+        found = self.total.take(once)
         self.total[once] = 0
         return once, found
 
 
-def words_of(text: str) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
+def runs_of(text: str) -> list[bytes]:
+    """Runs of a-z and characters beyond ASCII in the lower-cased text: each word lies within one."""
+    return text.lower().encode().translate(_SPACED).split()
 
 
 def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, gram, n) as each task counts them; the same pair may come from many tasks.
 
-    A task counts the words of each language and takes them apart when it holds MAX_WORDS different ones, and at its end.
+    A task counts the runs of each language and takes them apart when it holds MAX_WORDS different ones, and at its end.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
@@ -144,7 +169,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                words[lang].update(_WORD.findall(text.decode().lower()))
+                words[lang].update(runs_of(text.decode()))
             if sum(map(len, words.values())) > MAX_WORDS:
                 yield from emptied()
         yield from emptied()
@@ -177,20 +202,15 @@ def make_ranker(known: dict[str, list[str]], size: int):
     for i, lang in enumerate(langs):
         ranks[i, [place[g] for g in known[lang]]] = np.arange(len(known[lang]))
     grams = Grams(fixed)
-    order, of = np.zeros(0, np.uint64), 0
 
     def find(text: str) -> tuple[str, float]:
-        nonlocal order, of
-        words = words_of(text)
+        words = Counter(runs_of(text))
         if not words or not langs:
             return UNKNOWN, 0.0
         at, counts = grams.counts(words)
         if not len(at):
             return UNKNOWN, 0.0
-        if len(order) != len(grams.number) or of != grams.forgotten:
-            kept, of = order if of == grams.forgotten else order[: len(fixed)], grams.forgotten
-            names = list(grams.number)[len(kept) :]
-            order = np.concatenate([kept, np.array([xxhash.xxh3_64_intdigest(g) for g in names], np.uint64)])
+        order = grams.number.hashes()
         if len(at) > size:
             # Only n-grams at least as frequent as the one in the last place can rank.
             enough = counts >= np.partition(counts, len(at) - size)[len(at) - size]

@@ -1,6 +1,7 @@
 """Classifier, language model and language profiles: held-out accuracy, gradients, brute-force counts, odd rows."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -377,3 +378,18 @@ def test_model_copies_follow_the_tokens_not_the_partitions(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "COPY_TOKENS", 200)  # 1000 tokens, 500 a round
     assert lm_scoring.lm_scores(docs, F.lit(True)).count() == 200
     assert copies[2:] == [3, 3]
+
+
+def test_ranker_looks_for_words_only_in_runs_not_met_before(monkeypatch):
+    texts = ["Σας ΟΔΟΣ, a", "½a “quoted”—dash x", "ǅ İstanbul a_b 9z९z", "\x1c a\x85b don't", "日本語、テスト 12", "", "_ 7"]
+    expected = [Counter(re.findall(r"[^\W\d_]+", t.lower())) for t in texts]
+    assert [Counter(w for r in lang.runs_of(t) for w in lang._WORD.findall(r.decode())) for t in texts] == expected
+    rank = lang.make_ranker({"x": ["a", "s", "ab"], "y": ["z", " z"]}, 5)
+    first = [rank(t) for t in texts]
+
+    class Never:
+        def findall(self, text):
+            raise AssertionError(text)
+
+    monkeypatch.setattr(lang, "_WORD", Never())
+    assert [rank(t) for t in texts] == first
